@@ -16,7 +16,8 @@ WINDOW_DAYS = 32
 def day_bit(days_since: Column) -> Column:
     """``1 << (31 - days_since)`` for 0 <= days_since < 32, else 0."""
     in_window = (days_since >= 0) & (days_since < WINDOW_DAYS)
-    return F.when(in_window, F.shiftleft(F.lit(1).cast("long"), 31 - days_since)).otherwise(
+    shifted = F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(31) - days_since).cast("int"))
+    return F.when(in_window, shifted).otherwise(
         F.lit(0).cast("long")
     )
 
