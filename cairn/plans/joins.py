@@ -1 +1,224 @@
-"""Registered queries."""
+"""Registered queries: star join answers, bucketed and broadcast joins,
+shared intermediates, enrichment, layout and validation."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from cairn.functions.banding import SCORING_DOMAIN
+from cairn.operators import cumulative, enrich, joins, scd
+from cairn.plans import oracle_sql as O
+from cairn.plans import standins
+from cairn.plans.dimensional import _actors, _players
+from cairn.plans.facts import _events
+from cairn.plans.registry import register
+from cairn.session import scratch_path
+from cairn.sources.catalog import file_stats
+
+MEDAL = "ECONOMY"
+
+MATCH_SQL = """md AS (
+    SELECT l_orderkey AS match_id, 'gamer-' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
+           CAST(l_quantity AS INTEGER) AS kills
+    FROM lineitem
+),
+m AS (SELECT DISTINCT o_orderkey AS match_id, o_orderpriority AS playlist_id, CAST(o_custkey % 25 AS INTEGER) AS mapid FROM orders)"""
+
+
+@register(
+    "match_leaderboard",
+    "WITH " + MATCH_SQL + f""",
+q1 AS (SELECT 'most_kills_per_game' AS question, player_gamertag AS answer,
+              CAST(sum(kills) AS DOUBLE) / CAST(count(DISTINCT match_id) AS DOUBLE) AS metric
+       FROM md GROUP BY 2 ORDER BY metric DESC, answer LIMIT 1),
+q2 AS (SELECT 'most_played_playlist' AS question, playlist_id AS answer, CAST(count(*) AS DOUBLE) AS metric
+       FROM m GROUP BY 2 ORDER BY metric DESC, answer LIMIT 1),
+q3 AS (SELECT 'most_played_map' AS question, n.n_name AS answer, CAST(count(*) AS DOUBLE) AS metric
+       FROM m JOIN nation n ON m.mapid = n.n_nationkey GROUP BY 2 ORDER BY metric DESC, answer LIMIT 1),
+q4 AS (SELECT 'most_{MEDAL.lower()}_medals_map' AS question, n.n_name AS answer, CAST(count(*) AS DOUBLE) AS metric
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey AND p.p_type = '{MEDAL}'
+       JOIN m ON m.match_id = l.l_orderkey JOIN nation n ON n.n_nationkey = m.mapid
+       GROUP BY 2 ORDER BY metric DESC, answer LIMIT 1)
+SELECT * FROM q1 UNION ALL SELECT * FROM q2 UNION ALL SELECT * FROM q3 UNION ALL SELECT * FROM q4""",
+    ids=("C39", "J16", "A15", "O07", "J13"),
+)
+def match_leaderboard(spark, sf_dir):
+    return joins.match_answers(
+        standins.match_details(spark, sf_dir),
+        standins.matches(spark, sf_dir),
+        standins.medals_matches_players(spark, sf_dir),
+        standins.medals(spark, sf_dir),
+        standins.maps(spark, sf_dir),
+        MEDAL,
+    )
+
+
+@register(
+    "bucketed_match_kills",
+    """SELECT o.o_orderkey AS match_id, CAST(o.o_orderdate AS DATE) AS completion_date, o.o_orderpriority AS playlist_id,
+       count(*) AS players, CAST(sum(CAST(l.l_quantity AS INTEGER)) AS BIGINT) AS total_kills
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2, 3""",
+    ids=("C28", "S22", "J12", "S13", "S19"),
+)
+def bucketed_match_kills(spark, sf_dir):
+    matches, details = joins.bucketed_pair(
+        spark,
+        standins.matches(spark, sf_dir).select("match_id", "completion_date", "playlist_id"),
+        standins.match_details(spark, sf_dir).select("match_id", "player_gamertag", "player_total_kills"),
+        "match_id",
+        buckets=16,
+        name="matches",
+    )
+    joined = details.join(matches, "match_id")
+    return joined.groupBy("match_id", "completion_date", "playlist_id").agg(
+        F.count(F.lit(1)).alias("players"), F.sum("player_total_kills").cast("long").alias("total_kills")
+    )
+
+
+@register(
+    "broadcast_match_details",
+    """SELECT l.l_orderkey AS match_id, 'gamer-' || CAST(l.l_suppkey AS VARCHAR) AS player_gamertag,
+       CAST(l.l_quantity AS INTEGER) AS player_total_kills, strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d') AS ds
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
+    ids=("J13", "J14", "F27", "J11"),
+)
+def broadcast_match_details(spark, sf_dir):
+    m = standins.matches(spark, sf_dir).select(
+        "match_id", F.split(F.col("completion_date").cast("string"), " ").getItem(0).alias("ds")
+    )
+    m_side, _ = joins.broadcast_if_small(m)
+    return standins.match_details(spark, sf_dir).join(m_side, "match_id").select(
+        "match_id", "player_gamertag", "player_total_kills", "ds"
+    )
+
+
+@register(
+    "user_device_rollup",
+    O.with_(O.WEB_EVENTS)
+    + """, agg AS (SELECT user_id, device_id, count(*) AS event_counts FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2)
+SELECT user_id, max(event_counts) AS total_hits, count(*) AS n_devices,
+       string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices
+FROM agg GROUP BY user_id""",
+    ids=("C25", "A06", "S24", "J17"),
+)
+def user_device_rollup(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    users = joins.users_with_devices(joins.user_device_aggregate(ev))
+    return users.select(
+        "user_id", "total_hits", F.size("devices").cast("long").alias("n_devices"),
+        F.concat_ws(",", F.transform("devices", lambda d: d.cast("string"))).alias("devices"),
+    )
+
+
+@register(
+    "device_user_rollup",
+    O.with_(O.DEVICES)
+    + """, agg AS (SELECT user_id, device_id, count(*) AS event_counts FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2)
+SELECT d.device_id, d.device_type, count(*) AS num_users, CAST(sum(a.event_counts) AS BIGINT) AS events
+FROM devices d JOIN agg a ON d.device_id = a.device_id GROUP BY 1, 2""",
+    ids=("C25", "A06"),
+)
+def device_user_rollup(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return joins.devices_with_users(joins.user_device_aggregate(ev), standins.devices(spark, sf_dir))
+
+
+@register(
+    "events_with_devices",
+    O.with_(O.DEVICES)
+    + """SELECT e.user_id, e.device_id, upper(d.browser_type) AS browser_type, d.os_type, d.device_type,
+       coalesce(e.referrer, 'unknown') AS referrer, e.host, e.url, e.event_time
+FROM web_events e JOIN devices d ON e.device_id = d.device_id
+WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL""",
+    ids=("C26", "P06", "J15", "F28", "F29", "P01", "P14", "P15"),
+)
+def events_with_devices(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return joins.events_with_devices(ev, standins.devices(spark, sf_dir))
+
+
+@register(
+    "ip_geo_enrichment",
+    O.with_(O.WEB_EVENTS)
+    + """, loc AS (
+    SELECT (CAST(n_nationkey AS BIGINT) * 8 + 1) * 16777216 AS start_ip,
+           (CAST(n_nationkey AS BIGINT) * 8 + 1 + 8) * 16777216 - 1 AS end_ip,
+           n_name AS country, r_name AS state, n_name || ' city' AS city
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+),
+ev AS (
+    SELECT *, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536
+              + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS ipn
+    FROM web_events
+)
+SELECT ev.event_id, ev.ip, ev.event_time AS event_timestamp, ev.referrer, ev.host, ev.url,
+       CASE WHEN loc.country IS NULL THEN '{}'
+            ELSE json_object('country', loc.country, 'state', loc.state, 'city', loc.city)::VARCHAR END AS geodata
+FROM ev LEFT JOIN loc ON ev.ipn BETWEEN loc.start_ip AND loc.end_ip""",
+    ids=("C29", "X01", "X02", "T06", "F30"),
+)
+def ip_geo_enrichment(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    out = enrich.enrich_ip(ev, standins.ip_locations(spark, sf_dir))
+    return out.select("event_id", "ip", F.col("event_time").alias("event_timestamp"), "referrer", "host", "url", "geodata")
+
+
+@register("layout_file_sizes", None, ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03"))
+def layout_file_sizes(spark, sf_dir):
+    """Writes events JOIN devices repartitioned by day, once unsorted and once
+    per sort key list (sortWithinPartitions), and reports bytes and files of
+    each layout. Low-cardinality sort keys first give the smallest files."""
+    ev, _ = _events(spark, sf_dir)
+    df = ev.join(standins.devices(spark, sf_dir), on="device_id", how="left").withColumnsRenamed(
+        {"browser_type": "browser_family", "os_type": "os_family"}
+    ).withColumn("event_date", F.to_date("event_time"))
+    layouts = {
+        "unsorted": [],
+        "sorted_date_host": ["event_date", "host"],
+        "sorted_date_host_url_browser": ["event_date", "host", "url", "browser_family"],
+        "sorted_user_time": ["user_id", "event_time"],
+    }
+    tag = uuid.uuid4().hex[:8]
+    out = None
+    for name, keys in layouts.items():
+        path = scratch_path(spark, f"layout_{tag}_{name}")
+        part = df.repartition(4, F.col("event_date"))
+        if keys:
+            part = part.sortWithinPartitions(*keys)
+        part.write.mode("overwrite").parquet(path)
+        stats = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("layout"), "total_bytes", "num_files")
+        out = stats if out is None else out.unionByName(stats)
+    return out
+
+
+@register(
+    "players_key_check",
+    "WITH " + O.PLAYERS_DENSE + """,
+dups AS (SELECT player_id, current_season, 'duplicate_key' AS problem FROM players GROUP BY 1, 2 HAVING count(*) > 1),
+bad AS (SELECT player_id, current_season, 'scoring_class_domain' AS problem FROM players
+        WHERE scoring_class IS NULL OR scoring_class NOT IN ('bad', 'average', 'good', 'star'))
+SELECT * FROM dups UNION ALL SELECT * FROM bad""",
+    ids=("V1",),
+)
+def players_key_check(spark, sf_dir):
+    from cairn.operators.quality import domain_violations, key_violations
+
+    seasons, last = _players(spark, sf_dir)
+    p = cumulative.players_backfill(seasons, last)
+    keys = ["player_id", "current_season"]
+    return key_violations(p, keys).unionByName(domain_violations(p, keys, "scoring_class", SCORING_DOMAIN))
+
+
+@register(
+    "actors_scd_overlap_check",
+    "SELECT CAST(NULL AS BIGINT) AS actorid, CAST(NULL AS INTEGER) AS start_year, CAST(NULL AS INTEGER) AS end_year, "
+    "CAST(NULL AS INTEGER) AS prev_end, CAST(NULL AS VARCHAR) AS problem WHERE false",
+    ids=("V2",),
+)
+def actors_scd_overlap_check(spark, sf_dir):
+    films, last = _actors(spark, sf_dir)
+    history = scd.scd_backfill(cumulative.actors_backfill(films, last), "actorid", "current_year",
+                               ["quality_class", "is_active"], as_of=last, start_name="start_year", end_name="end_year")
+    return scd.scd_overlaps(history, "actorid", "start_year", "end_year")

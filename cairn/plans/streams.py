@@ -1 +1,101 @@
-"""Registered queries."""
+"""Registered queries: event-time windows and sessions (batch), and the
+streaming aggregation job run end to end over a JSON file stream."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from cairn.plans import oracle_sql as O
+from cairn.plans.facts import _events
+from cairn.plans.registry import register
+from cairn.session import scratch_path
+from cairn.streaming import aggregation, jobs
+from cairn.streaming.sources import events_as_json, json_file_stream
+
+TUMBLING_HOST_SQL = O.with_(O.WEB_EVENTS) + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS event_hour, host,
+       count(host) AS num_hits
+FROM web_events GROUP BY 1, 2"""
+
+
+@register("tumbling_host_counts", TUMBLING_HOST_SQL, ids=("C30", "T03", "T10"))
+def tumbling_host_counts(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return aggregation.tumbling_counts(ev, "event_time", ["host"], "5 minutes", watermark=None)
+
+
+@register(
+    "tumbling_host_referrer_counts",
+    O.with_(O.WEB_EVENTS)
+    + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS event_hour, host, referrer, count(host) AS num_hits
+FROM web_events GROUP BY 1, 2, 3""",
+    ids=("C30", "T04"),
+)
+def tumbling_host_referrer_counts(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return aggregation.tumbling_counts(ev, "event_time", ["host", "referrer"], "5 minutes", watermark=None)
+
+
+SESSIONS_SQL = O.with_(O.WEB_EVENTS) + """, marked AS (
+    SELECT ip, host, event_time,
+           CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL 5 MINUTE
+                THEN 1 ELSE 0 END AS new_session
+    FROM web_events WINDOW w AS (PARTITION BY ip, host ORDER BY event_time)
+),
+numbered AS (
+    SELECT *, sum(new_session) OVER (PARTITION BY ip, host ORDER BY event_time
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+    FROM marked
+),
+sessions AS (
+    SELECT ip, host, min(event_time) AS session_start, max(event_time) + INTERVAL 5 MINUTE AS session_end,
+           count(*) AS num_events
+    FROM numbered GROUP BY ip, host, sid
+)
+"""
+
+
+@register("host_sessions", SESSIONS_SQL + "SELECT * FROM sessions", ids=("C40", "T08"))
+def host_sessions(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return aggregation.sessions(ev, "event_time", ["ip", "host"], "5 minutes", watermark=None)
+
+
+@register(
+    "session_summary_by_host",
+    SESSIONS_SQL
+    + """SELECT host, count(*) AS sessions, CAST(sum(num_events) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_events_per_session
+FROM sessions GROUP BY host""",
+    ids=("C40", "T08"),
+)
+def session_summary_by_host(spark, sf_dir):
+    ev, _ = _events(spark, sf_dir)
+    return aggregation.session_summary(aggregation.sessions(ev, "event_time", ["ip", "host"], "5 minutes", watermark=None))
+
+
+@register(
+    "stream_tumbling_host_counts",
+    TUMBLING_HOST_SQL,
+    ids=("C30", "T01", "T02", "T05", "T07", "T09", "T11", "S09", "S11", "S12"),
+)
+def stream_tumbling_host_counts(spark, sf_dir):
+    """The streaming aggregation job over the events rendered as JSON files
+    (time-ordered, plus one far-future sentinel record that moves the
+    watermark past every real window). Runs with ``availableNow`` and
+    returns what the by-host sink received."""
+    ev, _ = _events(spark, sf_dir)
+    tag = uuid.uuid4().hex[:8]
+    src = scratch_path(spark, f"stream_src_{tag}")
+    events_as_json(ev.orderBy("event_time")).write.mode("overwrite").text(f"{src}/part=0")
+    sentinel = ev.limit(1).select(
+        *[c for c in ev.columns if c != "event_time"], F.lit("2999-01-01 00:00:00").cast("timestamp_ntz").alias("event_time")
+    )
+    events_as_json(sentinel).write.mode("overwrite").text(f"{src}/part=1")
+    raw = json_file_stream(spark, f"{src}/*")
+    out = scratch_path(spark, f"stream_out_{tag}")
+    queries = jobs.aggregation_job(spark, raw, out, scratch_path(spark, f"stream_ckpt_{tag}"),
+                                   trigger={"availableNow": True})
+    jobs.await_all(queries)
+    res = spark.read.parquet(f"{out}/by_host")
+    return res.select(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), "host", "num_hits")

@@ -1,0 +1 @@
+"""Structured Streaming jobs: JSON sources, event-time windows, sinks."""
