@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from cairn.operators import cumulative, graph, scd
 from cairn.plans import oracle_sql as O
 from cairn.plans import standins
-from cairn.plans.registry import register, scalar
+from cairn.plans.registry import input_key, register, scalar
 from cairn.session import cut_lineage
 
 
 def _players(spark, sf_dir):
     seasons = standins.player_seasons(spark, sf_dir)
-    last = scalar(seasons, F.max("season"))
+    last = scalar(seasons, F.max("season"), input_key(sf_dir, "orders", "max_season"))
     return seasons, last
 
 
@@ -143,7 +143,7 @@ def players_scd_increment(spark, sf_dir):
 
 def _actors(spark, sf_dir):
     films = standins.actor_films(spark, sf_dir)
-    last = scalar(films, F.max("year"))
+    last = scalar(films, F.max("year"), input_key(sf_dir, "lineitem", "max_film_year"))
     return films, last
 
 

@@ -12,7 +12,7 @@ from cairn.operators import array_metrics as am
 from cairn.operators import cumulative, datelist
 from cairn.plans import oracle_sql as O
 from cairn.plans import standins
-from cairn.plans.registry import register, scalar
+from cairn.plans.registry import input_key, register, scalar
 from cairn.session import cut_lineage
 
 ANCHOR = "(SELECT max(CAST(event_time AS DATE)) FROM web_events)"
@@ -24,7 +24,7 @@ USER_DAYS = f"""user_days AS (
 
 def _events(spark, sf_dir):
     ev = standins.web_events(spark, sf_dir)
-    anchor = scalar(ev, F.max(F.to_date("event_time")))
+    anchor = scalar(ev, F.max(F.to_date("event_time")), input_key(sf_dir, "events", "max_day"))
     return ev, anchor
 
 

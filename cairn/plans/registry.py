@@ -30,12 +30,39 @@ def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
     return deco
 
 
-def scalar(df: DataFrame, expr):
+_SCALARS: dict = {}
+
+
+def scalar(df: DataFrame, expr, cache_key=None):
     """One aggregate value computed on the cluster (a run parameter such as
-    the as-of period); only the single value reaches the driver."""
+    the as-of period); only the single value reaches the driver.
+
+    With ``cache_key`` the value is kept for the session (key it on the
+    input path and its modification time so new data gives a new value).
+    """
+    if cache_key is not None:
+        key = (df.sparkSession.sparkContext.applicationId, cache_key)
+        if key not in _SCALARS:
+            _SCALARS[key] = df.agg(expr.alias("v")).first()["v"]
+        return _SCALARS[key]
     return df.agg(expr.alias("v")).first()["v"]
 
 
+def input_key(sf_dir: str, table: str, what: str):
+    """Cache key for a scalar derived from one input table."""
+    import os
+
+    from cairn.sources.tables import table_path
+
+    path = table_path(sf_dir, table)
+    try:
+        st = os.stat(path)
+        stamp = (st.st_mtime_ns, st.st_size)
+    except OSError:  # remote file systems: no local stat, no caching
+        return None
+    return (path, stamp, what)
+
+
 def load_all() -> dict[str, Query]:
     # importing the modules fills REGISTRY
     from cairn.plans import analytics, dimensional, facts, joins, streams  # noqa: F401

@@ -129,7 +129,9 @@ DEDUP_ORDER = (
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    k = F.get_json_object("props", "$.k").cast("int")
+    # parse the JSON once; the derived columns below read the parsed value
+    parsed = e.select("*", F.get_json_object("props", "$.k").cast("int").alias("_k"))
+    k = F.col("_k")
     uid = F.col("user_id")
     octets = [
         (uid * 7) % 223 + 1,
@@ -137,7 +139,7 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (uid * 17) % 256,
         uid % 256,
     ]
-    return e.select(
+    return parsed.select(
         "event_id",
         F.concat(F.lit("/"), F.col("event_type")).alias("url"),
         pick(REFERRERS, k % len(REFERRERS)).alias("referrer"),

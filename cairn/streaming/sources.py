@@ -65,13 +65,20 @@ def parse_events(raw: DataFrame, schema: StructType, time_field: str = "event_ti
                  ts_name: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
     """(good, dead_letter): good rows have typed fields and ``ts_name``;
     dead-letter rows keep the raw text and a reason."""
-    parsed = raw.select("value", F.from_json("value", schema).alias("r"))
+    corrupt = "_corrupt_record"
+    with_corrupt = StructType(schema.fields + [StructField(corrupt, StringType())])
+    parsed = raw.select(
+        "value",
+        F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("r"),
+    )
+    broken = F.col("r").isNull() | F.col(f"r.{corrupt}").isNotNull()
     ts = parse_iso_millis(F.col(f"r.{time_field}"))
-    with_ts = parsed.select("value", "r", ts.alias(ts_name))
-    good = with_ts.where(F.col("r").isNotNull() & F.col(ts_name).isNotNull()).select("r.*", ts_name)
-    bad = with_ts.where(F.col("r").isNull() | F.col(ts_name).isNull()).select(
+    with_ts = parsed.select("value", "r", broken.alias("_broken"), ts.alias(ts_name))
+    fields = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
+    good = with_ts.where(~F.col("_broken") & F.col(ts_name).isNotNull()).select(*fields, ts_name)
+    bad = with_ts.where(F.col("_broken") | F.col(ts_name).isNull()).select(
         "value",
-        F.when(F.col("r").isNull(), "unparsable_json").otherwise("bad_event_time").alias("reason"),
+        F.when(F.col("_broken"), "unparsable_json").otherwise("bad_event_time").alias("reason"),
     )
     return good, bad
 
