@@ -9,11 +9,19 @@ from cairn.functions.structs import json_object, string_map
 
 
 def dedup(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Keep one row per ``keys``: ``row_number() = 1`` under a total order.
+    """Keep one row per ``keys``: the first row under ``order`` (the
+    reference's ``row_number() OVER (PARTITION BY keys) = 1``, made
+    deterministic by a total order).
 
-    Spark requires an ORDER BY for ``row_number``; pass enough columns to
-    make the pick deterministic.
+    With plain ascending column names the pick is ``min(struct(order...,
+    rest...))``, an aggregation with a map-side partial step, so a key with
+    millions of duplicate rows is reduced in every task before the shuffle.
+    Other orderings (``desc`` columns) fall back to ``row_number``.
     """
+    if all(isinstance(c, str) for c in order):
+        rest = [c for c in df.columns if c not in keys and c not in order]
+        packed = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+        return packed.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [*order, *rest]]).select(*df.columns)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
