@@ -75,4 +75,5 @@ def z_test(readout_df: DataFrame, control: str = "control", treatment: str = "tr
     p2 = F.col("x2") / F.col("n2")
     p = (F.col("x1") + F.col("x2")) / (F.col("n1") + F.col("n2"))
     se = F.sqrt(p * (1 - p) * (1 / F.col("n1") + 1 / F.col("n2")))
-    return both.select(p1.alias("control_rate"), p2.alias("treatment_rate"), ((p2 - p1) / se).alias("z"))
+    # z is undefined (NULL) when the pooled rate is 0 or 1
+    return both.select(p1.alias("control_rate"), p2.alias("treatment_rate"), F.try_divide(p2 - p1, se).alias("z"))
