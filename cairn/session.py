@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,7 +89,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from the written files.
+
+    This cuts the lineage (later stages and retries after an executor loss
+    read the files instead of recomputing the plan), computes the input
+    once (an eager ``Dataset.checkpoint`` runs its plan twice unless it is
+    cached), and keeps later scans columnar and prunable.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}_{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
