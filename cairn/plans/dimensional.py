@@ -34,7 +34,7 @@ def players_summary(players: DataFrame) -> DataFrame:
 PLAYERS_COLS = "player_id, current_season, n_seasons, total_gp, scoring_class, years_since_last_active, is_active"
 
 
-@register("players_cumulated", O.with_(O.PLAYERS_DENSE) + f"SELECT {PLAYERS_COLS} FROM players", ids=("C02", "S07", "W05", "F06", "F07"))
+@register("players_cumulated", O.with_(O.PLAYERS_DENSE) + f"SELECT {PLAYERS_COLS} FROM players", ids=("C02", "S07", "J06", "W05", "F06", "F07"))
 def players_cumulated(spark, sf_dir):
     seasons, last = _players(spark, sf_dir)
     return players_summary(cumulative.players_backfill(seasons, last))

@@ -42,7 +42,7 @@ q4 AS (SELECT 'most_{MEDAL.lower()}_medals_map' AS question, n.n_name AS answer,
        JOIN m ON m.match_id = l.l_orderkey JOIN nation n ON n.n_nationkey = m.mapid
        GROUP BY 2 ORDER BY metric DESC, answer LIMIT 1)
 SELECT * FROM q1 UNION ALL SELECT * FROM q2 UNION ALL SELECT * FROM q3 UNION ALL SELECT * FROM q4""",
-    ids=("C39", "J16", "A15", "O07", "J13"),
+    ids=("C39", "J16", "A15", "O07", "J13", "O01", "O08", "U02"),
 )
 def match_leaderboard(spark, sf_dir):
     return joins.match_answers(
@@ -165,7 +165,7 @@ def ip_geo_enrichment(spark, sf_dir):
     return out.select("event_id", "ip", F.col("event_time").alias("event_timestamp"), "referrer", "host", "url", "geodata")
 
 
-@register("layout_file_sizes", None, ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03"))
+@register("layout_file_sizes", None, ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03", "U02"))
 def layout_file_sizes(spark, sf_dir):
     """Writes events JOIN devices repartitioned by day, once unsorted and once
     per sort key list (sortWithinPartitions), and reports bytes and files of

@@ -77,17 +77,19 @@ def session_summary_by_host(spark, sf_dir):
 @register(
     "stream_tumbling_host_counts",
     TUMBLING_HOST_SQL,
-    ids=("C30", "T01", "T02", "T05", "T07", "T09", "T11", "S09", "S11", "S12"),
+    ids=("C30", "T01", "T02", "T05", "T07", "T09", "T11", "S09", "S11", "S12", "F19"),
 )
 def stream_tumbling_host_counts(spark, sf_dir):
     """The streaming aggregation job over the events rendered as JSON files
-    (time-ordered, plus one far-future sentinel record that moves the
-    watermark past every real window). Runs with ``availableNow`` and
-    returns what the by-host sink received."""
+    plus one far-future sentinel record that moves the watermark past every
+    real window. Runs with ``availableNow`` (all files in one micro-batch,
+    so file order cannot make records late) and returns what the by-host
+    sink received. The sentinel's own window stays open and is never
+    emitted."""
     ev, _ = _events(spark, sf_dir)
     tag = uuid.uuid4().hex[:8]
     src = scratch_path(spark, f"stream_src_{tag}")
-    events_as_json(ev.orderBy("event_time")).write.mode("overwrite").text(f"{src}/part=0")
+    events_as_json(ev).write.mode("overwrite").text(f"{src}/part=0")
     sentinel = ev.limit(1).select(
         *[c for c in ev.columns if c != "event_time"], F.lit("2999-01-01 00:00:00").cast("timestamp_ntz").alias("event_time")
     )
@@ -99,3 +101,46 @@ def stream_tumbling_host_counts(spark, sf_dir):
     jobs.await_all(queries)
     res = spark.read.parquet(f"{out}/by_host")
     return res.select(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), "host", "num_hits")
+
+
+@register(
+    "stream_ip_geo_enrichment",
+    O.with_(O.WEB_EVENTS)
+    + """, loc AS (
+    SELECT (CAST(n_nationkey AS BIGINT) * 8 + 1) * 16777216 AS start_ip,
+           (CAST(n_nationkey AS BIGINT) * 8 + 1 + 8) * 16777216 - 1 AS end_ip,
+           n_name AS country, r_name AS state, n_name || ' city' AS city
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+),
+ev AS (
+    SELECT *, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536
+              + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS ipn
+    FROM web_events
+)
+SELECT ev.ip, date_trunc('millisecond', ev.event_time) AS event_timestamp, ev.referrer, ev.host, ev.url,
+       CASE WHEN loc.country IS NULL THEN '{}'
+            ELSE json_object('country', loc.country, 'state', loc.state, 'city', loc.city)::VARCHAR END AS geodata
+FROM ev LEFT JOIN loc ON ev.ipn BETWEEN loc.start_ip AND loc.end_ip""",
+    ids=("C29", "S10", "T06", "X01"),
+)
+def stream_ip_geo_enrichment(spark, sf_dir):
+    """The enrichment job over the events rendered as JSON records (no
+    watermark: stateless), run with ``availableNow``; returns what the
+    processed-events sink received."""
+    from cairn.plans import standins
+    from cairn.streaming.sources import enrichment_records
+
+    ev, _ = _events(spark, sf_dir)
+    tag = uuid.uuid4().hex[:8]
+    src = scratch_path(spark, f"enrich_src_{tag}")
+    enrichment_records(ev).write.mode("overwrite").text(src)
+    out = scratch_path(spark, f"enrich_out_{tag}")
+    queries = jobs.enrichment_job(
+        spark, json_file_stream(spark, src), standins.ip_locations(spark, sf_dir), out,
+        scratch_path(spark, f"enrich_ckpt_{tag}"), trigger={"availableNow": True},
+    )
+    jobs.await_all(queries)
+    res = spark.read.parquet(f"{out}/processed_events")
+    return res.select(
+        "ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "referrer", "host", "url", "geodata"
+    )

@@ -98,3 +98,20 @@ def events_as_json(events: DataFrame) -> DataFrame:
             )
         ).alias("value")
     )
+
+
+def enrichment_records(events: DataFrame) -> DataFrame:
+    """Web events as the enrichment topic's JSON records (``value``)."""
+    return events.select(
+        F.to_json(
+            F.struct(
+                "url",
+                "referrer",
+                F.lit(None).cast("string").alias("user_agent"),
+                "host",
+                "ip",
+                F.lit(None).cast("string").alias("headers"),
+                F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"),
+            )
+        ).alias("value")
+    )
