@@ -18,6 +18,7 @@ from cairn.session import scratch_path
 from cairn.sources.catalog import file_stats
 
 MEDAL = "ECONOMY"
+DAY_SALT = 4
 
 MATCH_SQL = """md AS (
     SELECT l_orderkey AS match_id, 'gamer-' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
@@ -181,10 +182,13 @@ def layout_file_sizes(spark, sf_dir):
         "sorted_user_time": ["user_id", "event_time"],
     }
     tag = uuid.uuid4().hex[:8]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = None
     for name, keys in layouts.items():
         path = scratch_path(spark, f"layout_{tag}_{name}")
-        part = df.repartition(4, F.col("event_date"))
+        # by day like the reference, plus a small salt so one hot day is
+        # written by several tasks instead of one
+        part = df.repartition(n, F.col("event_date"), F.pmod(F.xxhash64("event_id"), F.lit(DAY_SALT)))
         if keys:
             part = part.sortWithinPartitions(*keys)
         part.write.mode("overwrite").parquet(path)
