@@ -78,6 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: give the cluster a shared folder "
+                "(distributed file system or object store) for lineage cuts and stream state"
+            )
         conf_dir = tempfile.mkdtemp(prefix="cairn-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
