@@ -74,6 +74,16 @@ def session_summary_by_host(spark, sf_dir):
     return aggregation.session_summary(aggregation.sessions(ev, "event_time", ["ip", "host"], "5 minutes", watermark=None))
 
 
+def _stream_source_with_sentinel(spark, ev, tag):
+    src = scratch_path(spark, f"stream_src_{tag}")
+    events_as_json(ev).write.mode("overwrite").text(f"{src}/part=0")
+    sentinel = ev.limit(1).select(
+        *[c for c in ev.columns if c != "event_time"], F.lit("2999-01-01 00:00:00").cast("timestamp_ntz").alias("event_time")
+    )
+    events_as_json(sentinel).write.mode("overwrite").text(f"{src}/part=1")
+    return json_file_stream(spark, f"{src}/*")
+
+
 @register(
     "stream_tumbling_host_counts",
     TUMBLING_HOST_SQL,
@@ -88,13 +98,7 @@ def stream_tumbling_host_counts(spark, sf_dir):
     emitted."""
     ev, _ = _events(spark, sf_dir)
     tag = uuid.uuid4().hex[:8]
-    src = scratch_path(spark, f"stream_src_{tag}")
-    events_as_json(ev).write.mode("overwrite").text(f"{src}/part=0")
-    sentinel = ev.limit(1).select(
-        *[c for c in ev.columns if c != "event_time"], F.lit("2999-01-01 00:00:00").cast("timestamp_ntz").alias("event_time")
-    )
-    events_as_json(sentinel).write.mode("overwrite").text(f"{src}/part=1")
-    raw = json_file_stream(spark, f"{src}/*")
+    raw = _stream_source_with_sentinel(spark, ev, tag)
     out = scratch_path(spark, f"stream_out_{tag}")
     queries = jobs.aggregation_job(spark, raw, out, scratch_path(spark, f"stream_ckpt_{tag}"),
                                    trigger={"availableNow": True})
@@ -144,3 +148,41 @@ def stream_ip_geo_enrichment(spark, sf_dir):
     return res.select(
         "ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "referrer", "host", "url", "geodata"
     )
+
+
+@register(
+    "stream_host_sessions",
+    O.with_(O.WEB_EVENTS) + """, ms AS (SELECT ip, host, date_trunc('millisecond', event_time) AS event_time FROM web_events),
+marked AS (
+    SELECT ip, host, event_time,
+           CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL 5 MINUTE
+                THEN 1 ELSE 0 END AS new_session
+    FROM ms WINDOW w AS (PARTITION BY ip, host ORDER BY event_time)
+),
+numbered AS (
+    SELECT *, sum(new_session) OVER (PARTITION BY ip, host ORDER BY event_time
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+    FROM marked
+)
+SELECT ip, host, min(event_time) AS session_start, max(event_time) + INTERVAL 5 MINUTE AS session_end,
+       count(*) AS num_events
+FROM numbered GROUP BY ip, host, sid""",
+    ids=("C40", "T08", "T02"),
+)
+def stream_host_sessions(spark, sf_dir):
+    """Session windows over the JSON event stream (5-minute gap, 15-second
+    watermark, append mode), with a far-future sentinel that closes every
+    real session; the sentinel's own session stays open and is not emitted.
+    Event times travel as millisecond text, so the oracle truncates too."""
+    ev, _ = _events(spark, sf_dir)
+    tag = uuid.uuid4().hex[:8]
+    raw = _stream_source_with_sentinel(spark, ev, tag)
+    out = scratch_path(spark, f"sess_out_{tag}")
+    jobs.await_all(jobs.session_job(spark, raw, out, scratch_path(spark, f"sess_ckpt_{tag}"), trigger={"availableNow": True}))
+    res = spark.read.parquet(f"{out}/sessions")
+    return res.select(
+        "ip", "host",
+        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+        "num_events",
+    )

@@ -54,3 +54,15 @@ def read_output(spark: SparkSession, path: str) -> DataFrame:
 def as_timestamp(df: DataFrame, col: str) -> DataFrame:
     """TIMESTAMP_NTZ to TIMESTAMP (session zone UTC) for watermarking."""
     return df.withColumn(col, F.col(col).cast("timestamp"))
+
+
+def session_job(spark: SparkSession, raw: DataFrame, out_dir: str, checkpoint_dir: str,
+                trigger: dict | None = None, gap: str = "5 minutes", watermark: str = "15 seconds"):
+    """Sessions per (ip, host) with a gap, emitted when the watermark closes
+    them (append mode); dead letters as in the aggregation job."""
+    good, bad = parse_events(raw, AGGREGATION_EVENT)
+    sess = aggregation.sessions(good, "event_timestamp", ["ip", "host"], gap, watermark)
+    return [
+        sinks.start(sess, sinks.parquet_batch_writer(f"{out_dir}/sessions"), f"{checkpoint_dir}/sessions", trigger),
+        sinks.start(bad, sinks.parquet_batch_writer(f"{out_dir}/dead_letter"), f"{checkpoint_dir}/dead_letter", trigger),
+    ]
