@@ -105,9 +105,9 @@ game_details_dedup AS (
         SELECT *, row_number() OVER (
             PARTITION BY player_id, game_id
             ORDER BY l_linenumber, l_partkey, pts, l_extendedprice, l_discount, l_tax,
-                     start_position, l_linestatus, game_date) AS row_num
+                     start_position, l_linestatus, game_date) AS pick
         FROM game_details)
-    WHERE row_num = 1
+    WHERE pick = 1
 )"""
 
 def _case(index_sql: str, values) -> str:
