@@ -232,7 +232,14 @@ def team_vertices(spark, sf_dir):
 
 
 def _dedup_details(spark, sf_dir):
-    return graph.dedup(standins.game_details(spark, sf_dir), ["player_id", "game_id"], list(standins.DEDUP_ORDER))
+    """Deduplicated game details. The dedup runs on the line items before
+    the player columns are attached (they depend on the player only): the
+    aggregation reduces each task's rows before the shuffle, and the join
+    then sees one row per (player, game), so a hot player cannot pile raw
+    rows into one join task."""
+    lines = standins.game_detail_lines(spark, sf_dir)
+    one = graph.dedup(lines, ["player_id", "game_id"], list(standins.DEDUP_ORDER))
+    return standins.attach_players(one, spark, sf_dir)
 
 
 @register(

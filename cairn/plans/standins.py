@@ -94,7 +94,8 @@ def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def game_detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-item part of game details (no supplier columns yet)."""
     li = read_table(
         spark,
         sf_dir,
@@ -105,14 +106,9 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_shipdate",
         ],
     )
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    joined = li.join(s, li.l_suppkey == s.s_suppkey, "inner")
-    return joined.select(
+    return li.select(
         F.col("l_orderkey").alias("game_id"),
-        F.col("s_nationkey").alias("team_id"),
-        F.concat(F.lit("T"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("team_abbreviation"),
         F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
         F.col("l_returnflag").alias("start_position"),
         F.col("l_quantity").alias("pts"),
         F.to_date("l_shipdate").alias("game_date"),
@@ -121,6 +117,24 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attach_players(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player name and team (the supplier's nation) for each detail row."""
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    joined = lines.join(s, lines.player_id == s.s_suppkey, "inner")
+    return joined.select(
+        "game_id",
+        F.col("s_nationkey").alias("team_id"),
+        F.concat(F.lit("T"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("team_abbreviation"),
+        "player_id",
+        F.col("s_name").alias("player_name"),
+        *[c for c in lines.columns if c not in ("game_id", "player_id")],
+    )
+
+
+def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attach_players(game_detail_lines(spark, sf_dir), spark, sf_dir)
+
+
 DEDUP_ORDER = (
     "l_linenumber", "l_partkey", "pts", "l_extendedprice", "l_discount", "l_tax",
     "start_position", "l_linestatus", "game_date",
