@@ -47,7 +47,8 @@ def players_cumulated(spark, sf_dir):
 )
 def players_season_load(spark, sf_dir):
     seasons, last = _players(spark, sf_dir)
-    prev = cut_lineage(cumulative.players_backfill(seasons, last - 1))
+    # the previous season's snapshot is all the step reads (one partition in production)
+    prev = cut_lineage(cumulative.players_backfill(seasons, last - 1).where(F.col("current_season") == last - 1))
     return players_summary(cumulative.players_step(prev, seasons, last))
 
 
@@ -175,7 +176,7 @@ def actors_cumulated(spark, sf_dir):
 )
 def actors_year_load(spark, sf_dir):
     films, last = _actors(spark, sf_dir)
-    prev = cut_lineage(cumulative.actors_backfill(films, last - 1))
+    prev = cut_lineage(cumulative.actors_backfill(films, last - 1).where(F.col("current_year") == last - 1))
     return actors_summary(cumulative.actors_step(prev, films, last))
 
 
