@@ -35,6 +35,7 @@ def scd_backfill(
     carry: list[str] | None = None,
 ) -> DataFrame:
     """Streaks of unchanged tracked values per entity (reference C05/C06).
+    ``carry`` columns ride along and must be constant per entity.
 
     One shuffle: the window's hash partitioning on ``key`` also serves the
     group-by on ``(key, streak)``.
@@ -47,9 +48,10 @@ def scd_backfill(
         "streak_identifier",
         F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
-    out = streaks.groupBy(key, "streak_identifier").agg(
-        *[F.first(c, ignorenulls=False).alias(c) for c in tracked],
-        *[F.max(c).alias(c) for c in carry],
+    # tracked values are constant within a streak and ``carry`` columns are
+    # constant per entity, so they are grouping keys (NULL groups with NULL);
+    # that keeps every aggregate buffer fixed-width (hash aggregation)
+    out = streaks.groupBy(key, "streak_identifier", *tracked, *carry).agg(
         F.min(period).alias(start_name),
         F.max(period).alias(end_name),
     )
