@@ -79,4 +79,5 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf_small):
     schemas = [set(s.split(",")) for s in re.findall(r"ReadSchema: struct<([^>]*)>", p)]
     assert schemas and all(s <= needed for s in schemas)  # every scan pruned
     assert set().union(*schemas) == needed
-    assert "PushedFilters: [IsNotNull(o_custkey)" in p
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", p)
+    assert any("IsNotNull(o_custkey)" in f for f in pushed)
