@@ -72,3 +72,33 @@ def test_tumbling_counts_ignore_null_host(spark):
     )
     out = aggregation.tumbling_counts(df, "event_time", [], "5 minutes", watermark=None).orderBy("event_hour").collect()
     assert [(r.event_hour, r.num_hits) for r in out] == [(t0, 1), (t0 + timedelta(minutes=5), 1)]
+
+
+def test_players_step_three_join_branches_and_zero_guard(spark):
+    from cairn.operators import cumulative
+
+    season_t = "struct<season:int,gp:long,pts:double>"
+    prev = spark.createDataFrame(
+        [
+            (1, [(2000, 3, 0.0)], "bad", 0, True, 2000),   # yesterday only: first pts 0
+            (2, [(2000, 2, 12.0)], "average", 0, True, 2000),  # in both
+        ],
+        f"player_id long, seasons array<{season_t}>, scoring_class string, years_since_last_active int, "
+        "is_active boolean, current_season int",
+    )
+    seasons = spark.createDataFrame(
+        [(2, 2001, 4, 21.0), (3, 2001, 1, 15.0)], "player_id long, season int, gp long, pts double"
+    )  # 3: today only; 15.0 sits on a boundary
+    out = {r.player_id: r for r in cumulative.players_step(prev, seasons, 2001).collect()}
+    assert (out[1].is_active, out[1].scoring_class, out[1].years_since_last_active, len(out[1].seasons)) == (False, "bad", 1, 1)
+    assert (out[2].is_active, out[2].scoring_class, len(out[2].seasons)) == (True, "star", 2)
+    assert (out[3].is_active, out[3].scoring_class, len(out[3].seasons)) == (True, "average", 1)
+    assert {r.current_season for r in out.values()} == {2001}
+    # first-to-last ratio with the zero guard: first pts 0 divides by 1
+    first = F.try_element_at("seasons", F.lit(1))["pts"]
+    latest = F.try_element_at("seasons", F.lit(-1))["pts"]
+    ratio = cumulative.players_step(prev, seasons, 2001).select(
+        "player_id", (latest / F.when(first == 0, F.lit(1.0)).otherwise(first)).alias("r")
+    )
+    got = {r.player_id: r.r for r in ratio.collect()}
+    assert got == {1: 0.0, 2: 21.0 / 12.0, 3: 1.0}
