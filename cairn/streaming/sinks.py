@@ -38,3 +38,18 @@ def start(df: DataFrame, writer, checkpoint: str, trigger: dict | None = None, o
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def kafka_batch_writer(servers: str, topic: str, extra_options: dict | None = None):
+    """Publish each micro-batch's ``value`` column (JSON text, see
+    ``cairn.streaming.sources.events_as_json``) to a Kafka topic. Kafka
+    delivery is at-least-once; consumers dedupe on an event id. Needs the
+    Kafka connector jar on the classpath."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
+        writer = batch.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+        for k, v in (extra_options or {}).items():
+            writer = writer.option(k, v)
+        writer.option("topic", topic).save()
+
+    return write

@@ -22,7 +22,7 @@ LIBRARY = {
     "S08": "sources.files.date_series; sequence(..., INTERVAL 1 DAY) in operators.array_metrics",
     "S09": "streaming.sources.kafka_options / kafka_json_stream / json_file_stream",
     "S10": "streaming.sources.kafka_json_stream; streaming.jobs.enrichment_job",
-    "S11": "streaming.sources.events_as_json (payload for a Kafka sink)",
+    "S11": "streaming.sources.events_as_json + streaming.sinks.kafka_batch_writer (needs the Kafka jar)",
     "S12": "streaming.sinks.jdbc_batch_writer / parquet_batch_writer (idempotent by batch id)",
     "S13": "sources.catalog.overwrite_table [test_sources_sinks]",
     "S14": "sources.catalog.insert_partition (positional, reordered) [test_sources_sinks]",
