@@ -1,4 +1,7 @@
-"""Window analyses: grouping-set dashboards, referrer trends, streaks."""
+"""Window analyses: grouping-set dashboards, winners, referrer trends.
+
+Per-key ordered sequences (rolling stretches, streaks) are in
+``cairn.operators.sequences``, which stays parallel for a hot key."""
 
 from __future__ import annotations
 
@@ -93,6 +96,28 @@ def game_details_grouping_sets(details: DataFrame) -> DataFrame:
     return g.select(level.alias("aggregation_level"), "player_id", "team_id", "season", "total_pts", "games", "games_won")
 
 
+def grouping_set_leaders(sets: DataFrame) -> DataFrame:
+    """Top answer of each grouping-set question (ties by answer text):
+    most points for one team, most points in one season, most games won by
+    a team. Top-1 is the feature; each is a global TakeOrderedAndProject."""
+
+    def top(level, question, answer, metric):
+        return (
+            sets.where(F.col("aggregation_level") == level)
+            .select(answer.alias("answer"), metric.cast("double").alias("metric"))
+            .orderBy(F.desc("metric"), F.asc("answer"))
+            .limit(1)
+            .select(F.lit(question).alias("question"), "answer", "metric")
+        )
+
+    pid = F.col("player_id").cast("string")
+    return (
+        top("player__team", "most_points_for_one_team", F.concat_ws("@", pid, F.col("team_id").cast("string")), F.col("total_pts"))
+        .unionByName(top("player__season", "most_points_in_one_season", F.concat_ws("@", pid, F.col("season").cast("string")), F.col("total_pts")))
+        .unionByName(top("team", "most_games_won_by_team", F.col("team_id").cast("string"), F.col("games_won")))
+    )
+
+
 def referrer_trends(augmented: DataFrame, min_total: int = 500, prev_week=(-13, -7)) -> DataFrame:
     """Daily hits per (referrer, url) with rolling, monthly and total sums.
 
@@ -128,25 +153,3 @@ def referrer_trends(augmented: DataFrame, min_total: int = 500, prev_week=(-13,
         (F.col("count").cast("double") / F.col("total_cumulative_sum")).alias("pct_of_total"),
     )
 
-
-def best_stretch(games: DataFrame, key: str, order: list[str], flag: str, length: int = 90) -> DataFrame:
-    """Most flagged games in any ``length``-game stretch per key (W11)."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(length - 1), 0)
-    rolled = games.withColumn("_n", F.sum(F.col(flag).cast("int")).over(w))
-    return rolled.groupBy(key).agg(F.count(F.lit(1)).alias("games"), F.max("_n").alias(f"max_{flag}_in_{length}"))
-
-
-def longest_streak(games: DataFrame, key: str, order: list[str], condition, name: str = "longest_streak") -> DataFrame:
-    """Longest run of consecutive games meeting ``condition`` (W12, gaps
-    and islands: the island id is the running count of breaking games)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    ok = F.coalesce(condition, F.lit(False))
-    marked = games.select(
-        key,
-        ok.alias("_ok"),
-        F.sum((~ok).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_island"),
-    )
-    runs = marked.where("_ok").groupBy(key, "_island").agg(F.count(F.lit(1)).alias("_len"))
-    best = runs.groupBy(key).agg(F.max("_len").alias(name))
-    totals = games.groupBy(key).agg(F.count(F.lit(1)).alias("games"))
-    return totals.join(best, key, "left").select(key, "games", F.coalesce(name, F.lit(0)).cast("long").alias(name))
