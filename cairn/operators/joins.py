@@ -12,19 +12,31 @@ from cairn.session import scratch_path
 from cairn.sources.catalog import write_bucketed
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; the job stops reading
-    after ``max_rows + 1`` rows, so the check is cheap for large inputs."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast hint only behind a proven row bound; otherwise the plain
-    frame (shuffle join, or AQE's runtime conversion when it turns out
-    small)."""
-    if has_at_most(df, max_rows):
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and (if given) about
+    ``max_bytes`` of data. One job over at most ``max_rows + 1`` rows: every
+    task stops reading after that many rows, so the check stays cheap when
+    the input is large. Bytes are estimated from each row's JSON text, an
+    upper-side proxy for its in-memory size."""
+    probe = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return probe.count() <= max_rows
+    stats = probe.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("b"),
+    ).first()
+    return stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast hint only behind a proven bound on rows and bytes; otherwise
+    the plain frame (shuffle join, or AQE's runtime conversion when it turns
+    out small)."""
+    if has_at_most(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 

@@ -81,3 +81,10 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf_small):
     assert set().union(*schemas) == needed
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", p)
     assert any("IsNotNull(o_custkey)" in f for f in pushed)
+
+
+def test_broadcast_check_bounds_bytes_too(spark):
+    wide = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 10_000).alias("payload"))
+    _, ok_rows_only = joins.broadcast_if_small(wide, max_rows=1000, max_bytes=None)
+    _, ok_bytes = joins.broadcast_if_small(wide, max_rows=1000, max_bytes=100_000)
+    assert ok_rows_only and not ok_bytes
