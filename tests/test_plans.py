@@ -88,3 +88,12 @@ def test_broadcast_check_bounds_bytes_too(spark):
     _, ok_rows_only = joins.broadcast_if_small(wide, max_rows=1000, max_bytes=None)
     _, ok_bytes = joins.broadcast_if_small(wide, max_rows=1000, max_bytes=100_000)
     assert ok_rows_only and not ok_bytes
+
+
+def test_ip_enrichment_same_result_broadcast_or_salted(spark, sf_small):
+    ev = standins.web_events(spark, sf_small)
+    loc = standins.ip_locations(spark, sf_small)
+    a = enrich.enrich_ip(ev, loc, max_broadcast_rows=1_000_000).select("event_id", "geodata")
+    b = enrich.enrich_ip(ev, loc, max_broadcast_rows=1, salts=7).select("event_id", "geodata")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.where("geodata != '{}'").count() > 0 and a.where("geodata = '{}'").count() > 0
