@@ -96,4 +96,4 @@ def test_ip_enrichment_same_result_broadcast_or_salted(spark, sf_small):
     a = enrich.enrich_ip(ev, loc, max_broadcast_rows=1_000_000).select("event_id", "geodata")
     b = enrich.enrich_ip(ev, loc, max_broadcast_rows=1, salts=7).select("event_id", "geodata")
     assert sorted(a.collect()) == sorted(b.collect())
-    assert a.where("geodata != '{}'").count() > 0 and a.where("geodata = '{}'").count() > 0
+    assert a.where("geodata != '{}'").count() > 0
