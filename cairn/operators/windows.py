@@ -79,20 +79,33 @@ def game_winners(details: DataFrame) -> DataFrame:
 
 def game_details_grouping_sets(details: DataFrame) -> DataFrame:
     """GROUPING SETS ((player, team), (player, season), (team)): points,
-    games and games won (``count_distinct`` of won games, so players of one
-    team do not multiply a win)."""
+    games and games won, each game counted once per group.
+
+    Two plain aggregations instead of ``count_distinct``: the grouping sets
+    first run at (set keys, game) grain, where the partial aggregation
+    collapses a game's rows (several players of one team) before the
+    shuffle; the second level then counts games per group. Spark's rewrite
+    of two distinct aggregates would replicate every input row once more
+    per distinct expression.
+    """
     winners = game_winners(details).select("game_id", "team_id", "won")
     df = details.join(winners, ["game_id", "team_id"]).withColumn("season", F.year("game_date"))
-    g = df.groupingSets(
-        [["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
-        "player_id", "team_id", "season",
+    keys = ["player_id", "team_id", "season", "game_id"]
+    per_game = df.groupingSets(
+        [["player_id", "team_id", "game_id"], ["player_id", "season", "game_id"], ["team_id", "game_id"]], *keys
     ).agg(
-        F.grouping_id("player_id", "team_id", "season").alias("_gid"),
-        F.sum("pts").alias("total_pts"),
-        F.count_distinct("game_id").alias("games"),
-        F.count_distinct(F.when(F.col("won"), F.col("game_id"))).alias("games_won"),
+        F.grouping_id(*keys).alias("_gid"),
+        F.sum("pts").alias("_pts"),
+        F.max(F.col("won").cast("int")).alias("_won"),
+    )
+    g = per_game.groupBy("_gid", "player_id", "team_id", "season").agg(
+        F.sum("_pts").alias("total_pts"),
+        F.count(F.lit(1)).alias("games"),
+        F.sum("_won").cast("long").alias("games_won"),
     )
-    level = F.when(F.col("_gid") == 1, "player__team").when(F.col("_gid") == 2, "player__season").otherwise("team")
+    # grouping_id bits over (player, team, season, game): 2 = season rolled
+    # up, 4 = team rolled up, 10 = player and season rolled up
+    level = F.when(F.col("_gid") == 2, "player__team").when(F.col("_gid") == 4, "player__season").otherwise("team")
     return g.select(level.alias("aggregation_level"), "player_id", "team_id", "season", "total_pts", "games", "games_won")
 
 
