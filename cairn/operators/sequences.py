@@ -1,7 +1,9 @@
 """Ordered per-key sequences that stay parallel when one key is huge.
 
 A window ``PARTITION BY key ORDER BY t`` puts every row of a key into one
-task. For running totals that is not needed: range-partition on
+task. That is fine while the largest key fits a task, so the operators
+below check the largest group first (one partial aggregation over the
+written input) and use a single window then. Beyond that, for running totals: range-partition on
 ``(key, order...)`` so a hot key's rows spread over many partitions (each
 partition holds a contiguous slice of the key's sequence), compute running
 totals inside each (key, partition) block, and add the totals of the
@@ -56,29 +58,52 @@ def prefix_totals(df: DataFrame, key: str, order: list[str], sums: list[str], pa
     )
 
 
-def best_stretch(games: DataFrame, key: str, order: list[str], flag: str, length: int = 90) -> DataFrame:
+# Above this many rows one key's sequence is split over several tasks.
+MAX_ROWS_PER_TASK = 5_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Row count of the largest key (one partial aggregation; one number
+    reaches the driver)."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+
+def best_stretch(games: DataFrame, key: str, order: list[str], flag: str, length: int = 90,
+                 max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """Most flagged rows in any ``length`` consecutive rows per key
     (``sum(flag) OVER (ROWS length-1 PRECEDING)``, then ``max``).
 
-    The rolling sum is ``cum(r) - cum(r - length)``; the earlier total is
-    fetched by an equi join on (key, position), which spreads a hot key
-    over all tasks.
+    When every key fits one task, that is one window per key. Otherwise the
+    rolling sum is ``cum(r) - cum(r - length)`` from ``prefix_totals``; the
+    earlier total is fetched by an equi join on (key, position), which
+    spreads a hot key over all tasks. Both give the same answer.
     """
-    g = games.select(key, *order, F.col(flag).cast("long").alias("_f"))
-    pre = prefix_totals(g, key, order, ["_f"])
-    back = pre.select(key, (F.col("_rn") + length).alias("_rn"), F.col("cum__f").alias("_back"))
-    rolled = pre.join(back, [key, "_rn"], "left").select(
-        key, (F.col("cum__f") - F.coalesce("_back", F.lit(0))).alias("_n")
-    )
+    # written once: the size check and the chosen plan both read it
+    g = cut_lineage(games.select(key, *order, F.col(flag).cast("long").alias("_f")), "stretch_in")
+    if largest_group(g, key) <= max_rows_per_task:
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(length - 1), 0)
+        rolled = g.select(key, F.sum("_f").over(w).alias("_n"))
+    else:
+        pre = prefix_totals(g, key, order, ["_f"])
+        back = pre.select(key, (F.col("_rn") + length).alias("_rn"), F.col("cum__f").alias("_back"))
+        rolled = pre.join(back, [key, "_rn"], "left").select(
+            key, (F.col("cum__f") - F.coalesce("_back", F.lit(0))).alias("_n")
+        )
     return rolled.groupBy(key).agg(F.count(F.lit(1)).alias("games"), F.max("_n").alias(f"max_{flag}_in_{length}"))
 
 
-def longest_streak(games: DataFrame, key: str, order: list[str], condition, name: str = "longest_streak") -> DataFrame:
+def longest_streak(games: DataFrame, key: str, order: list[str], condition, name: str = "longest_streak",
+                   max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """Longest run of consecutive rows meeting ``condition`` per key (gaps
-    and islands: a row's island is the number of breaking rows before it)."""
+    and islands: a row's island is the number of breaking rows before it).
+    One window per key when keys fit a task, else ``prefix_totals``."""
     ok = F.coalesce(condition, F.lit(False))
-    g = games.select(key, *order, ok.alias("_ok"), (~ok).cast("long").alias("_brk"))
-    pre = prefix_totals(g, key, order, ["_brk"])
+    g = cut_lineage(games.select(key, *order, ok.alias("_ok"), (~ok).cast("long").alias("_brk")), "streak_in")
+    if largest_group(g, key) <= max_rows_per_task:
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        pre = g.select(key, "_ok", F.sum("_brk").over(w).alias("cum__brk"))
+    else:
+        pre = prefix_totals(g, key, order, ["_brk"])
     runs = pre.where("_ok").groupBy(key, "cum__brk").agg(F.count(F.lit(1)).alias("_len"))
     best = runs.groupBy(key).agg(F.max("_len").alias(name))
     totals = g.groupBy(key).agg(F.count(F.lit(1)).alias("games"))

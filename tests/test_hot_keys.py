@@ -43,12 +43,15 @@ def test_prefix_totals_across_blocks(spark, partitions):
             cum += w
             assert got[(team, t)] == (pos, cum)
 
-    stretch = {r.team: r.max_won_in_90 for r in sequences.best_stretch(df, "team", ["t"], "won", 90).collect()}
-    streak = {r.team: r.longest_streak for r in sequences.longest_streak(df, "team", ["t"], F.col("won")).collect()}
-    for team, seq in by_team.items():
-        flags = [w for _, w in sorted(seq)]
-        assert stretch[team] == _brute_stretch(flags, 90)
-        assert streak[team] == _brute_streak(flags)
+    for limit in (0, 10_000_000):  # split path and single-window path
+        stretch = {r.team: r.max_won_in_90 for r in
+                   sequences.best_stretch(df, "team", ["t"], "won", 90, max_rows_per_task=limit).collect()}
+        streak = {r.team: r.longest_streak for r in
+                  sequences.longest_streak(df, "team", ["t"], F.col("won"), max_rows_per_task=limit).collect()}
+        for team, seq in by_team.items():
+            flags = [w for _, w in sorted(seq)]
+            assert stretch[team] == _brute_stretch(flags, 90)
+            assert streak[team] == _brute_streak(flags)
 
 
 def test_dedup_hot_duplicate_group(spark):
