@@ -63,7 +63,9 @@ def growth_accounting(events: DataFrame, end_day, key: str = "user_id", time_col
 
     The grid is the output table itself (one row per user per day); the
     activity is reduced to distinct (user, day) before the join, and one
-    window per user carries the last active day forward.
+    window per user carries the last active day forward. ``with_dates``
+    adds the running date list, which is quadratic in days per user; for
+    one day's rows use ``growth_snapshot``.
     """
     end = F.lit(end_day).cast("date")
     days = (
@@ -128,3 +130,35 @@ def season_states(players: DataFrame, key: str = "player_id", period: str = "cur
         .otherwise("Stayed Retired")
     )
     return players.select(key, period, active, state.alias("season_state"))
+
+
+def growth_snapshot(events: DataFrame, day, key: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """The ``growth_accounting`` rows of one day, computed directly: every
+    state depends only on the first active day, the last active day before
+    ``day`` and activity on ``day``, so one aggregation per user suffices
+    (no dense user x day grid, no running window). This is what a daily
+    load reads as its previous partition when none is stored yet."""
+    d = F.lit(day).cast("date")
+    days = (
+        events.where(F.col(key).isNotNull() & (F.to_date(time_col) <= d))
+        .select(key, F.to_date(time_col).alias("_day"))
+        .distinct()
+    )
+    per_user = days.groupBy(key).agg(
+        F.min("_day").alias("first_active_date"),
+        F.max("_day").alias("last_active_date"),
+        F.max(F.when(F.col("_day") < d, F.col("_day"))).alias("_y_last"),
+        F.max(F.when(F.col("_day") == d, F.col("_day"))).alias("_today"),
+        F.array_sort(F.collect_list("_day")).alias("dates_active"),
+    )
+    has_y = d > F.col("first_active_date")
+    y_date = F.date_sub(d, 1)
+    return per_user.select(
+        key,
+        "first_active_date",
+        "last_active_date",
+        _daily_state(has_y, F.col("_today"), F.col("_y_last"), y_date).alias("daily_active_state"),
+        _weekly_state(has_y, F.col("_today"), F.col("_y_last"), y_date).alias("weekly_active_state"),
+        "dates_active",
+        d.alias("date"),
+    )

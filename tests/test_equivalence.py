@@ -163,3 +163,13 @@ def test_funnel_window_equals_self_join(spark):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-12
+
+
+def test_growth_snapshot_equals_backfill_day(spark, sf_small):
+    ev = standins.web_events(spark, sf_small).cache()
+    first, last = ev.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+    full = growth.growth_accounting(ev, last).cache()
+    for d in (first, first + timedelta(days=8), last):
+        one = full.where(F.col("date") == F.lit(d))
+        snap = growth.growth_snapshot(ev, d)
+        assertDataFrameEqual(snap, one.select(*snap.columns))
