@@ -31,7 +31,7 @@ def main() -> None:
 
 **Setup.**
 - Hardware: one machine, Spark {b['spark']} `local[{b['cpus']}]`, driver memory 8 GiB, shuffle partitions
-  {b['cpus'] * 2} with AQE.
+  {b.get('shuffle_partitions', b['cpus'])} with AQE.
 - Data: `/root/testdata/sf0.1` (600,000 line items, 100,000 events). Every table is one parquet file with
   one row group, so each scan is a single task here.
 - Spark timing: the wall time of {b['repeats']} timed run(s) (median) into the `noop` sink, after
