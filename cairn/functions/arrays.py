@@ -35,19 +35,6 @@ def fill(value: Column, n: Column) -> Column:
     return F.array_repeat(value, F.greatest(n, F.lit(0)))
 
 
-def positional_sums(df, array_col: str, group_cols: list[str], pos_name: str = "pos",
-                    value_name: str = "value"):
-    """Element-wise sum of arrays of any length: one row per (group, position).
-
-    posexplode runs map-side; the aggregation is partial first, so the
-    shuffle carries one row per (group, position) per task.
-    """
-    exploded = df.select(*group_cols, F.posexplode(array_col).alias(pos_name, "_v"))
-    return exploded.groupBy(*group_cols, pos_name).agg(
-        F.sum(F.coalesce(F.col("_v"), F.lit(0))).alias(value_name)
-    )
-
-
 def render(arr: Column, null_text: str = "null", sep: str = ",") -> Column:
     """Deterministic text form of a scalar array (for comparison outputs)."""
     return F.concat_ws(

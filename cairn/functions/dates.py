@@ -16,11 +16,6 @@ def month_start(d: Column) -> Column:
     return F.trunc(d, "month")
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    """``later - earlier`` in whole days (``-`` on dates is an interval in Spark)."""
-    return F.datediff(later, earlier)
-
-
 def parse_iso_millis(text: Column) -> Column:
     """``yyyy-MM-dd'T'HH:mm:ss.SSS'Z'`` text to TIMESTAMP; malformed -> NULL."""
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))

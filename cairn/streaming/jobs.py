@@ -10,7 +10,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cairn.operators.enrich import enrich_ip
 from cairn.streaming import aggregation, sinks
@@ -47,15 +46,6 @@ def await_all(queries) -> None:
         q.awaitTermination()
 
 
-def read_output(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id") if path else None
-
-
-def as_timestamp(df: DataFrame, col: str) -> DataFrame:
-    """TIMESTAMP_NTZ to TIMESTAMP (session zone UTC) for watermarking."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
-
-
 def session_job(spark: SparkSession, raw: DataFrame, out_dir: str, checkpoint_dir: str,
                 trigger: dict | None = None, gap: str = "5 minutes", watermark: str = "15 seconds"):
     """Sessions per (ip, host) with a gap, emitted when the watermark closes

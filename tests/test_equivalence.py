@@ -1,7 +1,7 @@
 """One-pass backfills equal the looped daily/periodic increments, and the
 window rewrite of the funnel equals the reference's self join."""
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import functions as F

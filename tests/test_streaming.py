@@ -5,7 +5,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from cairn.streaming import jobs
 from cairn.streaming.sources import json_file_stream
