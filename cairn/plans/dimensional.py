@@ -180,6 +180,25 @@ def actors_year_load(spark, sf_dir):
     return actors_summary(cumulative.actors_step(prev, films, last))
 
 
+@register(
+    "actors_upsert_load",
+    "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS} FROM actors",
+    ids=("C09", "S16", "J01"),
+)
+def actors_upsert_load(spark, sf_dir):
+    """The stored actors table (every year up to the previous one) with this
+    year's rows upserted on its key (actorid, current_year), the reference's
+    INSERT ... ON CONFLICT DO UPDATE. Re-running the year replaces the same
+    keys, so the load is idempotent."""
+    from cairn.sources.catalog import upsert
+
+    films, last = _actors(spark, sf_dir)
+    stored = cut_lineage(cumulative.actors_backfill(films, last - 1), "actors_table")
+    incoming = cumulative.actors_step(stored, films, last)
+    merged = upsert(stored, incoming, ["actorid", "current_year"])
+    return actors_summary(merged)
+
+
 ACTORS_SCD = """,
 flags AS (
     SELECT actorid, actor, current_year, quality_class, is_active,
