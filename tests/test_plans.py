@@ -97,3 +97,23 @@ def test_ip_enrichment_same_result_broadcast_or_salted(spark, sf_small):
     b = enrich.enrich_ip(ev, loc, max_broadcast_rows=1, salts=7).select("event_id", "geodata")
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.where("geodata != '{}'").count() > 0
+
+
+def test_funnel_has_one_equi_join_and_no_self_join(spark, sf_small):
+    from cairn.operators import funnel
+
+    ev = standins.web_events(spark, sf_small)
+    p = plan(funnel.funnel_conversion(ev, "/purchase"))
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    joins_found = [line for line in p.splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(joins_found) == 1
+    assert "user_id" in joins_found[0] and "event_date" in joins_found[0]
+
+
+def test_kafka_options():
+    from cairn.streaming.sources import kafka_options
+
+    plain = kafka_options("broker:9092", "events")
+    assert plain["subscribe"] == "events" and plain["startingOffsets"] == "latest"
+    secured = kafka_options("broker:9092", "events", group_id="g", username="u", password="p")
+    assert secured["kafka.security.protocol"] == "SASL_SSL" and 'username="u"' in secured["kafka.sasl.jaas.config"]
