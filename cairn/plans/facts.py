@@ -56,6 +56,9 @@ def users_cumulated_daily_load(spark, sf_dir):
     return _cumulated_view(cumulative.dates_cumulated_step(prev, ev, "user_id", anchor), ["user_id"])
 
 
+DAYS_BACK = f"date_diff('day', d, {ANCHOR})"
+
+
 def _bits_sql(days_expr: str) -> str:
     return (
         f"CAST(sum(CASE WHEN {days_expr} BETWEEN 0 AND 31 THEN CAST(1 AS BIGINT) << (31 - {days_expr}) ELSE 0 END) AS BIGINT)"
@@ -65,7 +68,7 @@ def _bits_sql(days_expr: str) -> str:
 @register(
     "user_datelist_int",
     O.with_(O.WEB_EVENTS, USER_DAYS)
-    + f"SELECT user_id, {_bits_sql(f'date_diff(' + chr(39) + 'day' + chr(39) + f', d, {ANCHOR})')} AS datelist_int, {ANCHOR} AS date FROM user_days GROUP BY user_id",
+    + f"SELECT user_id, {_bits_sql(DAYS_BACK)} AS datelist_int, {ANCHOR} AS date FROM user_days GROUP BY user_id",
     ids=("C15", "A07", "F09", "F18", "F20", "J09"),
 )
 def user_datelist_int(spark, sf_dir):
@@ -75,7 +78,7 @@ def user_datelist_int(spark, sf_dir):
 
 
 FLAGS_SQL = O.with_(O.WEB_EVENTS, USER_DAYS) + f""", masks AS (
-    SELECT user_id, {_bits_sql(f"date_diff('day', d, {ANCHOR})")} AS datelist_int FROM user_days GROUP BY user_id
+    SELECT user_id, {_bits_sql(DAYS_BACK)} AS datelist_int FROM user_days GROUP BY user_id
 )
 SELECT user_id, datelist_int,
        bit_count(datelist_int) > 0 AS monthly_active,
@@ -119,7 +122,7 @@ def user_devices_cumulated(spark, sf_dir):
 @register(
     "user_devices_datelist_int",
     O.with_(O.DEVICES, BROWSER_DAYS)
-    + f"""SELECT user_id, browser_type, {_bits_sql(f"date_diff('day', d, {ANCHOR})")} AS datelist_int, {ANCHOR} AS date
+    + f"""SELECT user_id, browser_type, {_bits_sql(DAYS_BACK)} AS datelist_int, {ANCHOR} AS date
 FROM browser_days GROUP BY user_id, browser_type""",
     ids=("C33",),
 )
