@@ -123,23 +123,20 @@ def actors_backfill(films: DataFrame, last_year: int, key: str = "actorid") -> D
     return hist.select(key, "actor", "films", "quality_class", "is_active", "current_year")
 
 
-def activity_days(events: DataFrame, key: str, time_col: str = "event_time") -> DataFrame:
-    """Distinct (key, day) pairs; the aggregation is partial map-side."""
-    return (
-        events.where(F.col(key).isNotNull())
-        .select(key, F.to_date(time_col).alias("active_date"))
-        .distinct()
-    )
-
-
 def dates_cumulated_step(prev: DataFrame, events: DataFrame, key: str, day, time_col: str = "event_time") -> DataFrame:
     """One day of a date-list table (users_cumulated / hosts_cumulated).
 
     ``prev`` holds ``key, dates_active, date`` for ``day - 1``.
     """
-    y = prev.where(F.col("date") == F.date_sub(F.lit(day).cast("date"), 1)).alias("y")
+    d = F.lit(day).cast("date")
+    y = prev.where(F.col("date") == F.date_sub(d, 1)).alias("y")
+    # one day: distinct on the key alone, so today's side is hash-partitioned
+    # on the join key (one shuffle; none on a snapshot bucketed by the key)
     t = (
-        activity_days(events.where(F.to_date(time_col) == F.lit(day).cast("date")), key, time_col)
+        events.where(F.col(key).isNotNull() & (F.to_date(time_col) == d))
+        .select(key)
+        .distinct()
+        .withColumn("active_date", d)
         .alias("t")
     )
     return t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full").select(

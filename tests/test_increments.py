@@ -43,3 +43,32 @@ def test_growth_accounting_daily_runs_equal_backfill(spark, sf_small):
     cols = ["user_id", "first_active_date", "last_active_date", "daily_active_state", "weekly_active_state",
             "dates_active", "date"]
     assertDataFrameEqual(stored.select(*cols), want.select(*cols))
+
+
+def test_bucketed_daily_runs_shuffle_only_today(spark, sf_small):
+    import uuid
+
+    from cairn.plans.increments import run_daily_bucketed
+
+    ev = standins.web_events(spark, sf_small).cache()
+    first = ev.agg(F.min(F.to_date("event_time"))).first()[0]
+    last = first + timedelta(days=5)
+    table = f"users_cumulated_{uuid.uuid4().hex[:8]}"
+    schema = spark.createDataFrame([], "user_id long, dates_active array<date>, date date").schema
+    step = lambda prev, day: cumulative.dates_cumulated_step(prev, ev, "user_id", day)
+    run_daily_bucketed(spark, table, step, first, last, schema, "user_id", 8)
+    run_daily_bucketed(spark, table, step, last, last, schema, "user_id", 8)  # re-run a day
+    stored = spark.table(table).where(F.col("date") == F.lit(last))
+    want = cumulative.dates_cumulated(ev, "user_id", last)
+    assertDataFrameEqual(stored.select("user_id", "dates_active", "date"), want.select("user_id", "dates_active", "date"))
+    # next day's plan: the stored snapshot is a bucketed scan; only today's side shuffles
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prev = spark.table(table).where(F.col("date") == F.lit(last))
+        plan = step(prev, last + timedelta(days=1))._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
