@@ -24,6 +24,18 @@ def daily_metric(events: DataFrame, keys, value, name: str, time_col: str = "eve
     )
 
 
+def one_day_metric(events: DataFrame, key: str, day, value, name: str, time_col: str = "event_time") -> DataFrame:
+    """One day's metric per key, grouped by the key alone (the day is a
+    constant), so the result is partitioned on the join key of the step."""
+    d = F.lit(day).cast("date")
+    return (
+        events.where(F.col(key).isNotNull() & (F.to_date(time_col) == d))
+        .groupBy(key)
+        .agg(value.alias(name))
+        .withColumn("day", d)
+    )
+
+
 def monthly_arrays(daily: DataFrame, keys, metrics: list[str], anchor, fill_value=None) -> DataFrame:
     """Month rows ``(keys, month_start, first_found_date, <metric>_array...)``
     with one slot per day from the month start to the month end or
@@ -62,7 +74,7 @@ def hits_array_step(prev: DataFrame, events: DataFrame, key: str, day, time_col:
     d = F.lit(day).cast("date")
     ms = F.trunc(d, "month")
     y = prev.where((F.col("date_partition") == F.date_sub(d, 1)) & (F.col("month_start") == ms)).alias("y")
-    t = daily_metric(events.where(F.to_date(time_col) == d), key, F.count(F.lit(1)), "num_hits", time_col).alias("t")
+    t = one_day_metric(events, key, d, F.count(F.lit(1)), "num_hits", time_col).alias("t")
     return y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full").select(
         F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
         F.concat(
@@ -87,7 +99,7 @@ def metric_array_upsert_step(existing: DataFrame, events: DataFrame, key: str, d
     ms = F.trunc(d, "month")
     offset = F.datediff(d, ms)
     ya = existing.where((F.col("month_start") == ms) & (F.col("metric_name") == metric_name)).alias("ya")
-    da = daily_metric(events.where(F.to_date(time_col) == d), key, F.count(F.lit(1)), "n", time_col).alias("da")
+    da = one_day_metric(events, key, d, F.count(F.lit(1)), "n", time_col).alias("da")
     today = F.array(F.coalesce(F.col("da.n"), F.lit(0)).cast("long"))
     arr = (
         F.when(F.col("ya.metric_array").isNull(), F.concat(fill(F.lit(0).cast("long"), offset), today))

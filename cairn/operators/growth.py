@@ -35,10 +35,12 @@ def growth_accounting_step(prev: DataFrame, events: DataFrame, day, key: str = "
     """One day of ``users_growth_accounting`` from yesterday's rows."""
     d = F.lit(day).cast("date")
     y = prev.where(F.col("date") == F.date_sub(d, 1)).alias("y")
+    # one day: distinct on the key alone keeps today's side partitioned on the join key
     t = (
         events.where(F.col(key).isNotNull() & (F.to_date(time_col) == d))
-        .select(F.col(key), F.to_date(time_col).alias("today_date"))
+        .select(key)
         .distinct()
+        .withColumn("today_date", d)
         .alias("t")
     )
     has_y = F.col(f"y.{key}").isNotNull()
