@@ -59,6 +59,28 @@ def users_cumulated_daily_load(spark, sf_dir):
 DAYS_BACK = f"date_diff('day', d, {ANCHOR})"
 
 
+@register("users_cumulated_bucketed_load", USERS_CUMULATED_SQL, ids=("C14", "S15", "S22", "J12"))
+def users_cumulated_bucketed_load(spark, sf_dir):
+    """The snapshot two days before the anchor is stored as a table
+    partitioned by date and bucketed by user; the last two days then run
+    through ``run_daily_bucketed``, whose joins read yesterday as a bucketed
+    scan and shuffle only the new day. Returns the anchor day's partition."""
+    import uuid
+
+    from cairn.plans.increments import run_daily_bucketed, write_bucketed_partition
+
+    ev, anchor = _events(spark, sf_dir)
+    table = f"users_cumulated_{uuid.uuid4().hex[:8]}"
+    seed = cumulative.dates_cumulated(ev, "user_id", anchor - timedelta(days=2))
+    write_bucketed_partition(seed, table, "user_id", 16)
+    run_daily_bucketed(
+        spark, table, lambda prev, day: cumulative.dates_cumulated_step(prev, ev, "user_id", day),
+        anchor - timedelta(days=1), anchor, seed.schema, "user_id", 16,
+    )
+    final = spark.table(table).where(F.col("date") == F.lit(anchor))
+    return _cumulated_view(final, ["user_id"])
+
+
 def _bits_sql(days_expr: str) -> str:
     return (
         f"CAST(sum(CASE WHEN {days_expr} BETWEEN 0 AND 31 THEN CAST(1 AS BIGINT) << (31 - {days_expr}) ELSE 0 END) AS BIGINT)"

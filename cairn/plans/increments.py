@@ -51,6 +51,25 @@ def run_daily(
         day += timedelta(days=1)
 
 
+def write_bucketed_partition(df: DataFrame, table: str, key: str, buckets: int, partition_col: str = "date") -> None:
+    """Write the partitions present in ``df`` into a table partitioned by
+    ``partition_col`` and bucketed (and sorted) by ``key``; created on first
+    use in the shared folder, later writes replace only their partitions."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if spark.catalog.tableExists(table):
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    else:
+        (
+            df.write.format("parquet")
+            .partitionBy(partition_col)
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .option("path", scratch_path(spark, table))
+            .saveAsTable(table)
+        )
+
+
 def run_daily_bucketed(
     spark: SparkSession,
     table: str,
@@ -66,23 +85,12 @@ def run_daily_bucketed(
     and bucketed (and sorted) by ``key``. The previous partition is then
     read as a bucketed scan, so the FULL OUTER JOIN on ``key`` shuffles only
     the new day's side, not the whole cumulative snapshot."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     day = first_day
     while day <= last_day:
         if spark.catalog.tableExists(table):
             prev = spark.table(table).where(F.col(partition_col) == F.lit(day - timedelta(days=1)))
         else:
             prev = spark.createDataFrame([], schema)
-        out = step(prev, day).where(F.col(partition_col) == F.lit(day))
-        if spark.catalog.tableExists(table):
-            out.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-        else:
-            (
-                out.write.format("parquet")
-                .partitionBy(partition_col)
-                .bucketBy(buckets, key)
-                .sortBy(key)
-                .option("path", scratch_path(spark, table))
-                .saveAsTable(table)
-            )
+        write_bucketed_partition(step(prev, day).where(F.col(partition_col) == F.lit(day)), table, key, buckets,
+                                 partition_col)
         day += timedelta(days=1)
