@@ -53,7 +53,10 @@ def enrich_ip(events: DataFrame, locations: DataFrame, ip_col: str = "ip", max_b
         # salt per event (not per address), so one hot address, even as many
         # identical copies, spreads over all salts; every salt value sees
         # every range, so the salt never changes which range matches
-        row_hash = F.xxhash64(*[F.col(c) for c in events.columns], F.monotonically_increasing_id())
+        parts = [F.col(c) for c in events.columns]
+        if not events.isStreaming:  # row ids are not available in streams
+            parts.append(F.monotonically_increasing_id())
+        row_hash = F.xxhash64(*parts)
         ev = ev.withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
         # each range is listed once per salt value (explode, no join)
         right = ranges.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
