@@ -102,3 +102,25 @@ def test_players_step_three_join_branches_and_zero_guard(spark):
     )
     got = {r.player_id: r.r for r in ratio.collect()}
     assert got == {1: 0.0, 2: 21.0 / 12.0, 3: 1.0}
+
+
+def test_json_object_keeps_nulls_and_map_casts(spark):
+    from cairn.functions.structs import json_object, string_map
+
+    df = spark.createDataFrame([("G", None, 23.0, 7)], "pos string, abbr string, pts double, team long")
+    row = df.select(
+        json_object(start_position=F.col("pos"), team_abbreviation=F.col("abbr"), pts=F.col("pts"), team_id=F.col("team")).alias("j"),
+        string_map(pts=F.col("pts"), team_id=F.col("team")).alias("m"),
+    ).first()
+    assert row.j == '{"start_position":"G","team_abbreviation":null,"pts":23.0,"team_id":7}'
+    assert row.m == {"pts": "23.0", "team_id": "7"}
+
+
+def test_render_helpers(spark):
+    from datetime import date
+
+    from cairn.functions.arrays import render, render_dates
+
+    df = spark.createDataFrame([([1, None, 3], [date(2024, 1, 3), date(2024, 1, 1)])], "a array<long>, d array<date>")
+    r = df.select(render(F.col("a")).alias("a"), render_dates(F.col("d")).alias("d")).first()
+    assert r.a == "1,null,3" and r.d == "2024-01-01,2024-01-03"
