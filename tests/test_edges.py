@@ -124,3 +124,28 @@ def test_render_helpers(spark):
     df = spark.createDataFrame([([1, None, 3], [date(2024, 1, 3), date(2024, 1, 1)])], "a array<long>, d array<date>")
     r = df.select(render(F.col("a")).alias("a"), render_dates(F.col("d")).alias("d")).first()
     assert r.a == "1,null,3" and r.d == "2024-01-01,2024-01-03"
+
+
+def test_quality_checks_flag_problems(spark):
+    from cairn.functions.banding import SCORING_DOMAIN
+    from cairn.operators.quality import array_length_histogram, domain_violations, key_violations
+
+    df = spark.createDataFrame(
+        [(1, 2000, "good", [1]), (1, 2000, "good", [1, 2]), (2, 2000, "legend", []), (3, 2000, None, [5])],
+        "player_id long, current_season int, scoring_class string, a array<long>",
+    )
+    keys = ["player_id", "current_season"]
+    assert [tuple(r) for r in key_violations(df, keys).collect()] == [(1, 2000, "duplicate_key")]
+    bad = sorted(r.player_id for r in domain_violations(df, keys, "scoring_class", SCORING_DOMAIN).collect())
+    assert bad == [2, 3]
+    hist = {r.cardinality: r.rows for r in array_length_histogram(df, "a").collect()}
+    assert hist == {1: 2, 2: 1, 0: 1}
+
+
+def test_scd_overlap_check_flags_overlap_and_gap(spark):
+    df = spark.createDataFrame(
+        [(1, 2000, 2002), (1, 2002, 2003), (2, 2000, 2000), (2, 2003, 2004), (3, 2000, 2001), (3, 2002, 2002)],
+        "k long, start_period int, end_period int",
+    )
+    got = {(r.k, r.problem) for r in scd.scd_overlaps(df, "k", "start_period", "end_period").collect()}
+    assert got == {(1, "overlap"), (2, "gap")}
