@@ -195,7 +195,7 @@ def actors_upsert_load(spark, sf_dir):
     films, last = _actors(spark, sf_dir)
     stored = cut_lineage(cumulative.actors_backfill(films, last - 1), "actors_table")
     incoming = cumulative.actors_step(stored, films, last)
-    merged = upsert(stored, incoming, ["actorid", "current_year"])
+    merged = upsert(stored, incoming, ["actorid", "current_year"], partition_col="current_year", partitions=[last])
     return actors_summary(merged)
 
 

@@ -278,7 +278,8 @@ def array_metrics_daily_upsert(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
     existing = cut_lineage(_array_metrics(ev, anchor - timedelta(days=1)))
     incoming = am.metric_array_upsert_step(existing, ev, "user_id", anchor, "site_hits")
-    merged = upsert(existing, incoming, ["user_id", "month_start", "metric_name"])
+    merged = upsert(existing, incoming, ["user_id", "month_start", "metric_name"], partition_col="month_start",
+                    partitions=[anchor.replace(day=1)])
     return merged.withColumn("metric_array", render(F.col("metric_array")))
 
 

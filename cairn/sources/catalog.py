@@ -62,15 +62,29 @@ def write_bucketed(
     writer.saveAsTable(table)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], partition_col: str | None = None,
+           partitions: list | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO UPDATE: incoming rows replace the
     existing rows with the same key, other existing rows stay.
 
-    A left-anti join plus a union; plans as one shuffle on ``keys``. Write
-    the result to a new location or overwrite only the touched partitions.
+    A left-anti join plus a union. With ``partition_col`` (one of ``keys``,
+    e.g. the period), only the partitions present in ``incoming`` take part
+    in the anti join; the rest of the table passes through without a
+    shuffle, and only those partitions need rewriting. Pass ``partitions``
+    when the load knows them (the period it loads); otherwise the distinct
+    values (a handful) are read from ``incoming``.
     """
-    kept = existing.join(incoming.select(*keys).distinct(), on=keys, how="left_anti")
-    return kept.unionByName(incoming.select(*existing.columns))
+    new_keys = incoming.select(*keys).distinct()
+    if partition_col is None:
+        kept = existing.join(new_keys, on=keys, how="left_anti")
+        return kept.unionByName(incoming.select(*existing.columns))
+    touched = partitions if partitions is not None else [
+        r[0] for r in incoming.select(partition_col).distinct().collect()
+    ]
+    in_touched = F.col(partition_col).isin(touched)
+    untouched = existing.where(~in_touched)
+    kept = existing.where(in_touched).join(new_keys, on=keys, how="left_anti")
+    return untouched.unionByName(kept).unionByName(incoming.select(*existing.columns))
 
 
 def file_stats(df: DataFrame) -> DataFrame:

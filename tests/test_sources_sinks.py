@@ -103,3 +103,13 @@ def test_file_stats_and_persist(spark):
     with catalog.persisted(spark.range(10)) as cached:
         assert cached.is_cached and cached.count() == 10
     assert not cached.is_cached
+
+
+def test_partition_aware_upsert_matches_plain(spark):
+    old = spark.createDataFrame(
+        [(1, 2000, "a"), (2, 2000, "b"), (1, 2001, "c"), (2, 2001, "d")], "k long, y int, v string"
+    )
+    new = spark.createDataFrame([(2, 2001, "D"), (3, 2001, "E")], "k long, y int, v string")
+    plain = sorted(tuple(r) for r in catalog.upsert(old, new, ["k", "y"]).collect())
+    aware = sorted(tuple(r) for r in catalog.upsert(old, new, ["k", "y"], partition_col="y").collect())
+    assert plain == aware == [(1, 2000, "a"), (1, 2001, "c"), (2, 2000, "b"), (2, 2001, "D"), (3, 2001, "E")]
