@@ -3,13 +3,13 @@
 The reference works on basketball seasons, films, web events and game
 matches. The driver's data is a TPC-H-like star schema plus an ``events``
 log, so every role is derived from those tables by a fixed rule. The same
-rules are spelled out in SQL in ``cairn.plans.oracle`` for the DuckDB check.
+rules are spelled out in SQL in ``cairn.plans.oracle_sql`` for the DuckDB check.
 
 Rules (all exact in both engines: integer-valued sums, IEEE divisions):
 
 * player_seasons: player = ``o_custkey``, season = ``year(o_orderdate)``,
   gp = orders in the year, pts = average of ``floor(o_totalprice / 16000)``.
-* actor_films: actor = ``l_partkey`` (name ``p_name``), film = line item,
+* actor_films: actor = ``l_partkey`` (name ``actor-<partkey>``), film = line item,
   year = ``year(l_shipdate)``, votes = quantity, rating = ``round(100*discount)``.
 * game_details: game = ``l_orderkey``, player = ``l_suppkey``, team = the
   supplier's nation, pts = ``l_quantity``, start_position = ``l_returnflag``.
