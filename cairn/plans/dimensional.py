@@ -341,7 +341,7 @@ SELECT subject_identifier, subject_name, object_identifier, object_name,
        count(*) AS num_games, sum(s_pts) AS subject_points, sum(o_pts) AS object_points
 FROM pair_rows
 GROUP BY subject_identifier, subject_name, object_identifier, object_name, same_team""",
-    ids=("C12", "J08", "A11"),
+    ids=("C12", "J08", "A11", "J17"),
 )
 def player_player_edges(spark, sf_dir):
     return graph.player_player_edges(_dedup_details(spark, sf_dir))

@@ -102,7 +102,7 @@ def broadcast_match_details(spark, sf_dir):
 SELECT user_id, max(event_counts) AS total_hits, count(*) AS n_devices,
        string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices
 FROM agg GROUP BY user_id""",
-    ids=("C25", "A06", "J17"),
+    ids=("C25", "A06"),
 )
 def user_device_rollup(spark, sf_dir):
     ev, _ = _events(spark, sf_dir)
