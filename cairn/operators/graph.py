@@ -61,25 +61,53 @@ def player_game_edges(details: DataFrame) -> DataFrame:
     )
 
 
-def player_player_edges(details: DataFrame) -> DataFrame:
+MAX_ROSTER_PER_TASK = 5000
+
+
+def player_player_edges(details: DataFrame, max_roster_per_task: int | None = MAX_ROSTER_PER_TASK) -> DataFrame:
     """``shares_team`` / ``plays_against`` edges between players of one game,
     each unordered pair once (subject id > object id), with the number of
     shared games and both players' points.
 
-    The pair list is the output itself, so the self join on ``game_id`` is
-    kept; both sides are projected to five columns first, and the join is
-    an equi join on the game with a residual predicate (no nested loop).
-    A game's roster bounds its pairs; AQE's skew-join splitting spreads a
-    very large game over several tasks.
+    The pair list is the output itself, so the players of a game are joined
+    with each other: an equi join on the game with a residual predicate (no
+    nested loop), on five projected columns. When a game's roster exceeds
+    ``max_roster_per_task`` (one aggregation checks the largest), games are
+    split into blocks of players and each block pair becomes its own join
+    key, so a huge game's pairs spread over many tasks instead of one.
     """
     slim = details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    a = slim.alias("a")
-    b = slim.alias("b")
+    blocked = max_roster_per_task is not None and (
+        slim.groupBy("game_id").count().agg(F.max("count")).first()[0] or 0
+    ) > max_roster_per_task
+    if blocked:
+        rosters = slim.groupBy("game_id").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(max_roster_per_task)).cast("int").alias("_nb")
+        )
+        x = (
+            slim.join(rosters, "game_id")
+            .withColumn("_b", F.pmod(F.xxhash64("player_id"), F.col("_nb")).cast("int"))
+            .withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+            .select(
+                "game_id", "player_id", "player_name", "team_abbreviation", "pts", "_b",
+                F.least("_b", "_p").alias("_lo"), F.greatest("_b", "_p").alias("_hi"),
+            )
+        )
+        a, b = x.alias("a"), x.alias("b")
+        on = (
+            (F.col("a.game_id") == F.col("b.game_id"))
+            & (F.col("a._lo") == F.col("b._lo"))
+            & (F.col("a._hi") == F.col("b._hi"))
+            # each pair only in the task of its own block pair
+            & (F.least("a._b", "b._b") == F.col("a._lo"))
+            & (F.greatest("a._b", "b._b") == F.col("a._hi"))
+        )
+    else:
+        a, b = slim.alias("a"), slim.alias("b")
+        on = F.col("a.game_id") == F.col("b.game_id")
     pairs = a.join(
         b,
-        (F.col("a.game_id") == F.col("b.game_id"))
-        & (F.col("a.player_name") != F.col("b.player_name"))
-        & (F.col("a.player_id") > F.col("b.player_id")),
+        on & (F.col("a.player_name") != F.col("b.player_name")) & (F.col("a.player_id") > F.col("b.player_id")),
         "inner",
     )
     edge = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), "shares_team").otherwise(

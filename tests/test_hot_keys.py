@@ -59,3 +59,22 @@ def test_dedup_hot_duplicate_group(spark):
     df = spark.createDataFrame(rows, "player_id long, game_id long, line int, v string").repartition(8)
     got = sorted(tuple(r) for r in graph.dedup(df, ["player_id", "game_id"], ["line"]).collect())
     assert got == [(1, 1, 3, "y"), (1, 2, 9, "z"), (2, 1, 1, "w")]
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3])
+def test_blocked_player_pairs_equal_plain(spark, sf_small, limit):
+    from cairn.plans.dimensional import _dedup_details
+
+    details = _dedup_details(spark, sf_small)
+    plain = graph.player_player_edges(details, max_roster_per_task=None)
+    blocked = graph.player_player_edges(details, max_roster_per_task=limit)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, blocked.collect()))
+
+
+def test_blocked_player_pairs_hot_game(spark):
+    rows = [(1, p, f"p{p}", "T" + str(p % 2), float(p)) for p in range(60)] + [(2, 5, "p5", "T1", 1.0), (2, 7, "p7", "T1", 2.0)]
+    df = spark.createDataFrame(rows, "game_id long, player_id long, player_name string, team_abbreviation string, pts double")
+    plain = sorted(map(tuple, graph.player_player_edges(df, max_roster_per_task=None).collect()))
+    blocked = sorted(map(tuple, graph.player_player_edges(df, max_roster_per_task=7).collect()))
+    assert plain == blocked
+    assert len(plain) == 60 * 59 // 2  # every pair of the hot game once (5-7 also shares game 2)
