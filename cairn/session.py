@@ -59,6 +59,7 @@ def apply_job_conf(spark: SparkSession) -> None:
         "spark.sql.adaptive.enabled",
         "spark.sql.adaptive.skewJoin.enabled",
         "spark.sql.sources.partitionOverwriteMode",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition",
     ):
         spark.conf.set(key, BASE_CONF[key])
 
