@@ -51,9 +51,10 @@ LENGTH = 100
 GRAM = 32
 SIDE = (LENGTH - GRAM) // 2  # bytes beside the substring that part groups
 CORE = GRAM + SIDE
-BUCKET_BYTES = 16 << 20  # text per bucket of documents
+BUCKET_BYTES = 4 << 20  # text per bucket of documents
+RUN_BYTES = 8 << 20  # text per bucket of runs
 SEGMENT = 8 << 20  # a longer text is cut into overlapping segments
-FLUSH = 1_000_000
+FLUSH = 400_000
 
 RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("id", "<i8"), ("row", "<i8"), ("start", "<i8"), ("n", "<i2"), ("at", "<i2"), ("done", "<i2")])
 SPOT = np.dtype([("id", "<i8"), ("row", "<i8"), ("start", "<i8"), ("n", "<i8"), ("at", "<i8")])
@@ -200,7 +201,7 @@ def _gather(batches, kind):
     got: dict[int, list] = {}
     for batch in batches:
         for b, blob in zip(tb.column(batch, "bucket").to_pylist(), tb.column(batch, "blob")):
-            got.setdefault(b, []).append(blob.as_py())
+            got.setdefault(b, []).append(blob.as_py())  # packed until its turn
     for b in list(got):
         yield b, [unpack(x, kind) if kind is not None else x for x in got.pop(b)]
 
@@ -251,13 +252,12 @@ def fetch_shared(texts: DataFrame, spots: DataFrame, n_buckets: int) -> DataFram
             first, last = base + e["start"], base + e["start"] + e["n"] - 1  # first and last window
             # windows that reach SIDE bytes right of the substring, and the others
             turn = np.clip(anchor + CORE - LENGTH, first, last + 1)
-            ph = tb.PrefixHash(data)
             keys, strings = [], []
             for right_side, a, b in ((0, first, turn - 1), (1, turn, last)):
                 ok = np.flatnonzero(a <= b)
                 a, b, p = a[ok], b[ok], anchor[ok]
                 core = p if right_side else p - SIDE
-                keys.append(tb.mix(ph.ranges(core, core + CORE) + np.uint64(right_side)))
+                keys.append(tb.mix(tb.fixed_ranges(data, core, CORE) + np.uint64(right_side)))
                 s = np.zeros(len(ok), SPOT)
                 s["id"], s["row"], s["start"] = e["id"][ok], e["row"][ok], a - base[ok]
                 s["n"], s["at"] = b - a + 1, core - a
@@ -453,7 +453,7 @@ def remove_covered(texts: DataFrame, spots: DataFrame, id_type: str, with_text:
             base = off[order[np.searchsorted(rows[order], e["row"])]]
             np.add.at(delta, base + e["start"], 1)
             np.add.at(delta, base + e["start"] + e["n"] - 1 + LENGTH, -1)
-        gone = np.cumsum(delta[:-1]) > 0
+        gone = np.cumsum(delta[:-1], dtype=np.int32) > 0
         removed, spans, digest, kept_texts = [], [], [], []
         raw = data.tobytes()
         for a, b in zip(off[:-1], off[1:]):
@@ -489,7 +489,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     id_type = base.schema["id"].dataType.simpleString()
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_homes = max(8, int(total // BUCKET_BYTES) + 1)
-    n_buckets = n_homes
+    n_buckets = max(8, int(total // RUN_BYTES) + 1)
     runs = find_runs(base.select(F.col("id").cast("long").alias("id"), "row", "text"), n_buckets)
     spots = cut_lineage(settle_runs(runs, n_buckets, n_homes), "suffix_spots")
     texts = base.withColumn("home", row_bucket(F.col("row"), n_homes))

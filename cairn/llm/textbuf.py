@@ -68,6 +68,14 @@ def distinct(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
+def fixed_ranges(data: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """``PrefixHash(data).ranges(start, start + size)`` for few ranges."""
+    out = np.zeros(len(start), np.uint64)
+    for k, power in enumerate(_powers(_BASE, size)):
+        out += _BYTE[data[start + k]] * power
+    return out
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
