@@ -287,7 +287,8 @@ def pack(
     blocks = part.select("block", "row", "piece", "length").groupBy("block").applyInPandas(problem, STATE)
     state = blocks.withColumn("immigrant", F.lit(None).cast("binary"))
     for r in range(rounds):
-        spread = state.repartition("block", "island")
+        # a number of its own: the rows are small but the work on them is not
+        spread = state.repartition(n_blocks * islands // 4 + 1, "block", "island")
         evolved = cut_lineage(spread.mapInPandas(step(r), STATE), "packing_islands")
         # the elite (first packing) of an island moves to the next island
         elite = evolved.select(

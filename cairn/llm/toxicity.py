@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cairn.llm import textbuf as tb
+from cairn.llm.samples import bounded_sample
 
 BITS = 22
 MAX_ROWS = 20_000  # bound of the labelled rows that are fitted
@@ -171,7 +172,7 @@ def training_rows(
     if where is not None:
         ids = ids.where(where)
     ids = ids.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__label"))
-    ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
+    ids = bounded_sample(ids, ["__id"], max_rows)
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     return docs.join(F.broadcast(ids), "__id").dropDuplicates(["__id", "__text"])
 
