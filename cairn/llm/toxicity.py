@@ -134,7 +134,7 @@ def fit(
         got.sort(key=lambda r: r[0])
         if not got or len({y for _, y, _ in got}) < 2:
             # one class only: a constant close to it
-            bias = 0.0 if not got else (35.0 if got[0][1] else -35.0)
+            bias = 35.0 if got and got[0][1] else -35.0
             index, weight = np.zeros(0, np.int64), np.zeros(0)
         else:
             x = [np.frombuffer(f, np.int32).astype(np.int64) for _, _, f in got]
