@@ -114,6 +114,32 @@ def metric_array_upsert_step(existing: DataFrame, events: DataFrame, key: str, d
     )
 
 
+def zero_filled_step(existing: DataFrame, today: DataFrame, key: str, metrics: list[str], day) -> DataFrame:
+    """One day of a month table with one zero-filled array per metric.
+
+    ``existing`` holds (key, month_start, <metric>_array...), ``today`` one
+    row per active key with the day's metrics. Returns the month's rows; an
+    array that already covers ``day`` stays as it is, so a day can be run
+    again.
+    """
+    d = F.lit(day).cast("date")
+    ms = F.trunc(d, "month")
+    offset = F.datediff(d, ms)
+    y = existing.where(F.col("month_start") == ms).alias("y")
+    t = today.alias("t")
+
+    def appended(m):
+        old, value = F.col(f"y.{m}_array"), F.array(F.coalesce(F.col(f"t.{m}"), F.lit(0)).cast("long"))
+        fresh = F.concat(fill(F.lit(0).cast("long"), offset), value)
+        return F.when(old.isNull(), fresh).when(F.size(old) == offset, F.concat(old, value)).otherwise(old)
+
+    return y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full").select(
+        F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
+        *[appended(m).alias(f"{m}_array") for m in metrics],
+        ms.alias("month_start"),
+    )
+
+
 def array_to_daily(arrays: DataFrame, array_col: str, group_cols: list[str], start_col: str = "month_start") -> DataFrame:
     """Element-wise sums of arrays to one row per date (reference C19):
     ``posexplode`` + partial aggregation; the array length is unbounded."""

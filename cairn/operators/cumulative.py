@@ -123,25 +123,31 @@ def actors_backfill(films: DataFrame, last_year: int, key: str = "actorid") -> D
     return hist.select(key, "actor", "films", "quality_class", "is_active", "current_year")
 
 
-def dates_cumulated_step(prev: DataFrame, events: DataFrame, key: str, day, time_col: str = "event_time") -> DataFrame:
-    """One day of a date-list table (users_cumulated / hosts_cumulated).
+def dates_cumulated_step(prev: DataFrame, events: DataFrame, key, day, time_col: str = "event_time") -> DataFrame:
+    """One day of a date-list table (users_cumulated / hosts_cumulated /
+    user_devices_cumulated). ``key`` is a column or a list of them; rows
+    whose first key is NULL are left out, further keys may be NULL.
 
-    ``prev`` holds ``key, dates_active, date`` for ``day - 1``.
+    ``prev`` holds the keys, ``dates_active`` and ``date`` for ``day - 1``.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     d = F.lit(day).cast("date")
     y = prev.where(F.col("date") == F.date_sub(d, 1)).alias("y")
-    # one day: distinct on the key alone, so today's side is hash-partitioned
-    # on the join key (one shuffle; none on a snapshot bucketed by the key)
+    # one day: distinct on the keys alone, so today's side is hash-partitioned
+    # on the join keys (one shuffle; none on a snapshot bucketed by the key)
     t = (
-        events.where(F.col(key).isNotNull() & (F.to_date(time_col) == d))
-        .select(key)
+        events.where(F.col(keys[0]).isNotNull() & (F.to_date(time_col) == d))
+        .select(*keys)
         .distinct()
         .withColumn("active_date", d)
         .alias("t")
     )
-    return t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full").select(
-        F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
-        append_if(F.col("y.dates_active"), F.col(f"t.{key}").isNotNull(), F.col("t.active_date")).alias("dates_active"),
+    on = F.col(f"t.{keys[0]}") == F.col(f"y.{keys[0]}")
+    for k in keys[1:]:
+        on = on & F.col(f"t.{k}").eqNullSafe(F.col(f"y.{k}"))
+    return t.join(y, on, "full").select(
+        *[F.coalesce(F.col(f"t.{k}"), F.col(f"y.{k}")).alias(k) for k in keys],
+        append_if(F.col("y.dates_active"), F.col("t.active_date").isNotNull(), F.col("t.active_date")).alias("dates_active"),
         F.coalesce(F.col("t.active_date"), F.date_add(F.col("y.date"), 1)).alias("date"),
     )
 

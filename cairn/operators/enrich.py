@@ -2,19 +2,22 @@
 
 The reference calls an HTTP geocoding service once per row. Here the
 lookup is a range join against a location table (``start_ip <= ip <=
-end_ip``). To keep it an equi join, every range is listed under each
-first octet (/8 block) it covers and the events join on that octet plus
-the range predicate. The range table is broadcast when a row-count check
-proves it small; otherwise both sides are salted so the at most 256 octet
-keys spread over many tasks.
+end_ip``). Ranges may nest or overlap: the narrowest wins, then the one
+that starts first, then by its values. The ranges are first cut into
+pieces that do not overlap, so a lookup gives at most one row. To keep it
+an equi join, the pieces are cut at /16 blocks (at most 65,536 more rows
+per level of nesting), and the events join on the block plus the range. The range table is broadcast when a row-count check
+proves it small; otherwise both sides are salted, so that a hot block spreads over
+many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.operators.joins import broadcast_if_small
+from cairn.session import cut_lineage
 
 EMPTY_GEO = "{}"
 
@@ -30,42 +33,47 @@ def ip_to_long(ip) -> F.Column:
     return F.when(valid, value)
 
 
-def ranges_by_octet(locations: DataFrame) -> DataFrame:
-    """One row per (range, first octet covered by the range)."""
-    return locations.select(
-        "*",
-        F.explode(F.sequence(F.shiftright("start_ip", 24), F.shiftright("end_ip", 24))).alias("_octet"),
+def disjoint_ranges(locations: DataFrame) -> DataFrame:
+    """Pieces (block, lo, hi) of the ranges that do not overlap, each with
+    the narrowest range around it. Windows and joins are within a /16 block;
+    rows whose range is empty or NULL are left out."""
+    cut = (
+        locations.where(F.col("start_ip") <= F.col("end_ip"))
+        .select("*", F.explode(F.sequence(F.shiftright("start_ip", 16), F.shiftright("end_ip", 16))).alias("_block"))
+        .withColumn("_lo", F.greatest("start_ip", F.shiftleft("_block", 16)))
+        .withColumn("_hi", F.least("end_ip", F.shiftleft("_block", 16) + 65535))
     )
+    points = cut.select("_block", F.explode(F.array("_lo", F.col("_hi") + 1)).alias("lo")).distinct()
+    following = F.lead("lo").over(Window.partitionBy("_block").orderBy("lo"))
+    pieces = points.withColumn("hi", following - 1).where(F.col("hi").isNotNull())
+    around = pieces.join(cut, "_block").where((F.col("_lo") <= F.col("lo")) & (F.col("_hi") >= F.col("hi")))
+    narrowest = F.min(F.struct((F.col("end_ip") - F.col("start_ip")).alias("width"), "start_ip", "country", "state", "city")).alias("r")
+    return around.groupBy("_block", "lo", "hi").agg(narrowest).select("_block", "lo", "hi", "r.country", "r.state", "r.city")
 
 
 def enrich_ip(events: DataFrame, locations: DataFrame, ip_col: str = "ip", max_broadcast_rows: int = 2_000_000,
               salts: int = 16) -> DataFrame:
     """Adds ``geodata`` (JSON with country, state, city; ``{}`` when no range
-    matches) to every event; events are never dropped. Ranges must not
-    overlap (one location per address)."""
-    ev = events.withColumn("_ip", ip_to_long(F.col(ip_col))).withColumn("_octet", F.shiftright("_ip", 24))
-    ranges = ranges_by_octet(locations).select("_octet", "start_ip", "end_ip", "country", "state", "city")
-    small, is_small = broadcast_if_small(ranges, max_broadcast_rows)
+    matches) to every event: one row per event, none dropped."""
+    ev = events.withColumn("_ip", ip_to_long(F.col(ip_col))).withColumn("_block", F.shiftright("_ip", 16))
+    pieces = cut_lineage(disjoint_ranges(locations), "ip_pieces").withColumn("_hit", F.lit(True))
+    small, is_small = broadcast_if_small(pieces, max_broadcast_rows)
     if is_small:
         right = small
-        cond = (ev["_octet"] == right["_octet"])
+        cond = ev["_block"] == right["_block"]
     else:
         # salt per event (not per address), so one hot address, even as many
         # identical copies, spreads over all salts; every salt value sees
-        # every range, so the salt never changes which range matches
+        # every piece, so the salt never changes which one matches
         parts = [F.col(c) for c in events.columns]
         if not events.isStreaming:  # row ids are not available in streams
             parts.append(F.monotonically_increasing_id())
-        row_hash = F.xxhash64(*parts)
-        ev = ev.withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
-        # each range is listed once per salt value (explode, no join)
-        right = ranges.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        cond = (ev["_octet"] == right["_octet"]) & (ev["_salt"] == right["_salt"])
-    cond = cond & (ev["_ip"] >= right["start_ip"]) & (ev["_ip"] <= right["end_ip"])
+        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(*parts), F.lit(salts)))
+        # each piece is listed once per salt value (explode, no join)
+        right = pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        cond = (ev["_block"] == right["_block"]) & (ev["_salt"] == right["_salt"])
+    cond = cond & (ev["_ip"] >= right["lo"]) & (ev["_ip"] <= right["hi"])
     joined = ev.join(right, cond, "left")
-    geo = F.when(
-        right["country"].isNotNull(),
-        F.to_json(F.struct(right["country"].alias("country"), right["state"].alias("state"), right["city"].alias("city"))),
-    ).otherwise(F.lit(EMPTY_GEO))
-    keep = [ev[c] for c in events.columns]
-    return joined.select(*keep, geo.alias("geodata"))
+    place = F.struct(right["country"].alias("country"), right["state"].alias("state"), right["city"].alias("city"))
+    geo = F.when(right["_hit"], F.to_json(place)).otherwise(F.lit(EMPTY_GEO))
+    return joined.select(*[ev[c] for c in events.columns], geo.alias("geodata"))

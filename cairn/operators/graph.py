@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.session import cut_lineage
+
 from cairn.functions.structs import json_object, string_map
 
 
@@ -76,7 +78,8 @@ def player_player_edges(details: DataFrame, max_roster_per_task: int | None = MA
     split into blocks of players and each block pair becomes its own join
     key, so a huge game's pairs spread over many tasks instead of one.
     """
-    slim = details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
+    # the roster check and both sides of the join read it: written once
+    slim = cut_lineage(details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts"), "rosters")
     blocked = max_roster_per_task is not None and (
         slim.groupBy("game_id").count().agg(F.max("count")).first()[0] or 0
     ) > max_roster_per_task

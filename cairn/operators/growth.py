@@ -107,15 +107,75 @@ def growth_accounting(events: DataFrame, end_day, key: str = "user_id", time_col
     return s.select(*cols)
 
 
-def retention_curve(growth: DataFrame) -> DataFrame:
-    """Share of users active N days after their first active day (C13)."""
-    return growth.groupBy(F.datediff("date", "first_active_date").alias("days_since_first_active")).agg(
-        (
-            F.count(F.when(F.col("daily_active_state").isin("Retained", "Resurrected", "New"), 1)).cast("double")
-            / F.count(F.lit(1)).cast("double")
-        ).alias("pct_active"),
-        F.count(F.lit(1)).alias("num_users"),
+def _active_days(events: DataFrame, end, key: str, time_col: str) -> DataFrame:
+    """Distinct active days per user, with the first and the next one."""
+    days = (
+        events.where(F.col(key).isNotNull() & (F.to_date(time_col) <= end))
+        .select(key, F.to_date(time_col).alias("day"))
+        .distinct()
+    )
+    mine = Window.partitionBy(key)
+    return days.select(
+        key,
+        "day",
+        F.min("day").over(mine).alias("first"),
+        F.lag("day").over(mine.orderBy("day")).alias("previous"),
+        F.lead("day").over(mine.orderBy("day")).alias("following"),
+    )
+
+
+def retention_curve(events: DataFrame, end_day, key: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """Share of users active N days after their first active day (C13).
+
+    Users whose first day is N days or more before the end count for N; the
+    active ones are their active days at that distance. No row per user and
+    idle day: users are counted by first day, then one row per day of it.
+    """
+    end = F.lit(end_day).cast("date")
+    days = _active_days(events, end, key, time_col)
+    n = "days_since_first_active"
+    active = days.groupBy(F.datediff("day", "first").alias(n)).agg(F.count(F.lit(1)).alias("active"))
+    by_first = days.where(F.col("day") == F.col("first")).groupBy("first").agg(F.count(F.lit(1)).alias("users"))
+    reach = by_first.select("users", F.explode(F.sequence(F.lit(0), F.datediff(end, "first"))).alias(n))
+    users = reach.groupBy(n).agg(F.sum("users").alias("num_users"))
+    return users.join(active, n, "left").select(
+        n, (F.coalesce("active", F.lit(0)).cast("double") / F.col("num_users").cast("double")).alias("pct_active"), "num_users"
+    )
+
+
+def daily_state_counts(events: DataFrame, end_day, key: str = "user_id", time_col: str = "event_time") -> DataFrame:
+    """Users per day and daily state, without a row per user and idle day.
+
+    An active day is New, Retained or Resurrected by the one before it; the
+    day after it is Churned unless active; the days from then to the next
+    active one (or the end) are Stale, which are counted as +1 where they
+    begin and -1 where they end, summed up over the calendar.
+    """
+    end = F.lit(end_day).cast("date")
+    days = _active_days(events, end, key, time_col)
+    state = (
+        F.when(F.col("previous").isNull(), "New")
+        .when(F.col("previous") == F.date_sub("day", 1), "Retained")
+        .otherwise("Resurrected")
+    )
+    until = F.coalesce("following", F.date_add(end, 1))  # exclusive
+    churned = F.when(until > F.date_add("day", 1), F.date_add("day", 1))
+    stale = F.when(until > F.date_add("day", 2), F.date_add("day", 2))
+    marks = F.array(
+        F.struct(F.col("day").alias("date"), state.alias("state"), F.lit(1).alias("n")),
+        F.struct(churned.alias("date"), F.lit("Churned").alias("state"), F.lit(1).alias("n")),
+        F.struct(stale.alias("date"), F.lit("Stale").alias("state"), F.lit(1).alias("n")),
+        F.struct(F.when(stale.isNotNull(), until).alias("date"), F.lit("Stale").alias("state"), F.lit(-1).alias("n")),
     )
+    counts = (
+        days.select(F.inline(marks)).where(F.col("date").isNotNull()).groupBy("date", "state").agg(F.sum("n").alias("n"))
+    )  # a few rows a day
+    plain = counts.where(F.col("state") != "Stale").select("date", F.col("state").alias("daily_active_state"), F.col("n").alias("users"))
+    calendar = counts.agg(F.min("date").alias("a")).where(F.col("a").isNotNull()).select(F.explode(F.sequence("a", end)).alias("date"))
+    change = counts.where(F.col("state") == "Stale").select("date", "n")
+    total = F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy("date"))  # one row a day
+    stale_days = calendar.join(change, "date", "left").select("date", F.lit("Stale").alias("daily_active_state"), total.alias("users"))
+    return plain.unionByName(stale_days.where(F.col("users") > 0))
 
 
 def season_states(players: DataFrame, key: str = "player_id", period: str = "current_season",

@@ -8,27 +8,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.session import scratch_path
+from cairn.session import cut_lineage, scratch_path
 from cairn.sources.catalog import write_bucketed
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
+def _row_bytes(df: DataFrame):
+    """Bytes of a row once it is in memory, from above: 8 a column and 32 a
+    row, strings and binaries by their length, nested values by three times
+    their JSON text."""
+    size = F.lit(32 + 8 * len(df.columns))
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary", "char", "varchar"):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind in ("struct", "array", "map"):
+            size = size + 3 * F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+    return size
+
+
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and (if given) about
-    ``max_bytes`` of data. One job over at most ``max_rows + 1`` rows: every
-    task stops reading after that many rows, so the check stays cheap when
-    the input is large. Bytes are estimated from each row's JSON text, an
-    upper-side proxy for its in-memory size."""
-    probe = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return probe.count() <= max_rows
-    stats = probe.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("b"),
-    ).first()
-    return stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
+    """True when ``df`` has at most ``max_rows`` rows and (if given) at most
+    ``max_bytes`` in memory. One partial aggregation: a row per task reaches
+    the final sum, however large the input."""
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return stats["n"] <= max_rows and (max_bytes is None or (stats["b"] or 0) <= max_bytes)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -76,7 +82,8 @@ def match_answers(details: DataFrame, matches: DataFrame, medals_mp: DataFrame,
     per_player = details.groupBy("player_gamertag").agg(
         (F.sum("player_total_kills").cast("double") / F.count_distinct("match_id")).alias("metric")
     )
-    m = matches.select("match_id", "playlist_id", "mapid").distinct()
+    # three questions read the distinct matches: written once
+    m = cut_lineage(matches.select("match_id", "playlist_id", "mapid").distinct(), "matches")
     playlists = m.groupBy("playlist_id").agg(F.count(F.lit(1)).cast("double").alias("metric"))
     maps_b, _ = broadcast_if_small(maps, max_dim_rows)
     map_plays = m.groupBy("mapid").agg(F.count(F.lit(1)).cast("double").alias("metric")).join(maps_b, "mapid")

@@ -1,18 +1,19 @@
 """Ordered per-key sequences that stay parallel when one key is huge.
 
 A window ``PARTITION BY key ORDER BY t`` puts every row of a key into one
-task. That is fine while the largest key fits a task, so the operators
-below check the largest group first (one partial aggregation over the
-written input) and use a single window then. Beyond that, for running totals: range-partition on
-``(key, order...)`` so a hot key's rows spread over many partitions (each
-partition holds a contiguous slice of the key's sequence), compute running
-totals inside each (key, partition) block, and add the totals of the
-key's earlier blocks, which come from a tiny per-block aggregate. Every
-window then sees at most one partition's rows.
+task. Instead, running totals are a distributed prefix sum, at every size:
+range-partition on ``(key, order...)`` so a hot key's rows spread over many
+partitions (each holds a contiguous slice of the key's sequence), total
+each (key, partition) block, and add the totals of the key's earlier
+blocks, which come from a tiny per-block aggregate. Every window then sees
+at most one partition's rows.
 
 The range-partitioned frame is written to the shared folder first (see
 ``cut_lineage``): block ids must be the same for the two branches that
 read it, and the written table also survives executor loss.
+
+NULL keys are a key of their own; NULL flags count as 0 and NULL conditions
+as not met.
 """
 
 from __future__ import annotations
@@ -29,11 +30,7 @@ def prefix_totals(df: DataFrame, key: str, order: list[str], sums: list[str], pa
     ``order`` must be a total order within a key."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the range bounds come from a sampling pass over the input, so keep the
-    # input cached while it is sampled and written
-    src = df.persist()
-    ranged = cut_lineage(src.repartitionByRange(n, key, *order).withColumn("_blk", F.spark_partition_id()), "ranged")
-    src.unpersist()
+    ranged = cut_lineage(df.repartitionByRange(n, key, *order).withColumn("_blk", F.spark_partition_id()), "ranged")
     w_local = Window.partitionBy(key, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
         "*",
@@ -50,61 +47,40 @@ def prefix_totals(df: DataFrame, key: str, order: list[str], sums: list[str], pa
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_o_n"),
         *[F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
     )
-    out = local.join(offsets, [key, "_blk"])
+    local, offsets = local.alias("l"), offsets.alias("o")
+    out = local.join(offsets, F.col(f"l.{key}").eqNullSafe(F.col(f"o.{key}")) & (F.col("l._blk") == F.col("o._blk")))
     return out.select(
-        *df.columns,
+        *[F.col(f"l.{c}") for c in df.columns],
         (F.col("_o_n") + F.col("_lrn")).alias("_rn"),
         *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"cum_{c}") for c in sums],
     )
 
 
-# Above this many rows one key's sequence is split over several tasks.
-MAX_ROWS_PER_TASK = 5_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Row count of the largest key (one partial aggregation; one number
-    reaches the driver)."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-
-
 def best_stretch(games: DataFrame, key: str, order: list[str], flag: str, length: int = 90,
-                 max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Most flagged rows in any ``length`` consecutive rows per key
     (``sum(flag) OVER (ROWS length-1 PRECEDING)``, then ``max``).
 
-    When every key fits one task, that is one window per key. Otherwise the
-    rolling sum is ``cum(r) - cum(r - length)`` from ``prefix_totals``; the
-    earlier total is fetched by an equi join on (key, position), which
-    spreads a hot key over all tasks. Both give the same answer.
+    The rolling sum is ``cum(r) - cum(r - length)`` from ``prefix_totals``;
+    the earlier total is fetched by an equi join on (key, position), which
+    spreads a hot key over all tasks. A key with no set flag has 0.
     """
-    # written once: the size check and the chosen plan both read it
-    g = cut_lineage(games.select(key, *order, F.col(flag).cast("long").alias("_f")), "stretch_in")
-    if largest_group(g, key) <= max_rows_per_task:
-        w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(length - 1), 0)
-        rolled = g.select(key, F.sum("_f").over(w).alias("_n"))
-    else:
-        pre = prefix_totals(g, key, order, ["_f"])
-        back = pre.select(key, (F.col("_rn") + length).alias("_rn"), F.col("cum__f").alias("_back"))
-        rolled = pre.join(back, [key, "_rn"], "left").select(
-            key, (F.col("cum__f") - F.coalesce("_back", F.lit(0))).alias("_n")
-        )
+    g = cut_lineage(games.select(key, *order, F.coalesce(F.col(flag).cast("long"), F.lit(0)).alias("_f")), "stretch_in")
+    pre = cut_lineage(prefix_totals(g, key, order, ["_f"], partitions).select(key, "_rn", "cum__f"), "stretch_totals")
+    back = pre.select(F.col(key).alias("_k"), (F.col("_rn") + length).alias("_at"), F.col("cum__f").alias("_back"))
+    rolled = pre.join(back, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_rn") == F.col("_at")), "left").select(
+        key, (F.col("cum__f") - F.coalesce("_back", F.lit(0))).alias("_n")
+    )
     return rolled.groupBy(key).agg(F.count(F.lit(1)).alias("games"), F.max("_n").alias(f"max_{flag}_in_{length}"))
 
 
 def longest_streak(games: DataFrame, key: str, order: list[str], condition, name: str = "longest_streak",
-                   max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Longest run of consecutive rows meeting ``condition`` per key (gaps
     and islands: a row's island is the number of breaking rows before it).
-    One window per key when keys fit a task, else ``prefix_totals``."""
-    ok = F.coalesce(condition, F.lit(False))
-    g = cut_lineage(games.select(key, *order, ok.alias("_ok"), (~ok).cast("long").alias("_brk")), "streak_in")
-    if largest_group(g, key) <= max_rows_per_task:
-        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        pre = g.select(key, "_ok", F.sum("_brk").over(w).alias("cum__brk"))
-    else:
-        pre = prefix_totals(g, key, order, ["_brk"])
-    runs = pre.where("_ok").groupBy(key, "cum__brk").agg(F.count(F.lit(1)).alias("_len"))
-    best = runs.groupBy(key).agg(F.max("_len").alias(name))
-    totals = g.groupBy(key).agg(F.count(F.lit(1)).alias("games"))
-    return totals.join(best, key, "left").select(key, "games", F.coalesce(name, F.lit(0)).cast("long").alias(name))
+    One pair of partial aggregations over ``prefix_totals``, no join back."""
+    ok = F.coalesce(condition, F.lit(False)).cast("long")
+    g = cut_lineage(games.select(key, *order, ok.alias("_ok"), (1 - ok).alias("_brk")), "streak_in")
+    pre = prefix_totals(g, key, order, ["_brk"], partitions)
+    islands = pre.groupBy(key, "cum__brk").agg(F.sum("_ok").alias("_len"), F.count(F.lit(1)).alias("_rows"))
+    return islands.groupBy(key).agg(F.sum("_rows").alias("games"), F.max("_len").alias(name))

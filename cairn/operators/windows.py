@@ -162,6 +162,7 @@ def referrer_trends(augmented: DataFrame, min_total: int = 500, prev_week=(-13,
         "count",
         "weekly_rolling_count",
         "previous_weekly_rolling_count",
+        "rolling_cumulative_sum",
         (F.col("count").cast("double") / F.col("monthly_cumulative_sum")).alias("pct_of_month"),
         (F.col("count").cast("double") / F.col("total_cumulative_sum")).alias("pct_of_total"),
     )

@@ -327,20 +327,16 @@ def player_game_edges(spark, sf_dir):
 @register(
     "player_player_edges",
     "WITH " + O.GAME_DETAILS + """
-, pair_rows AS (
-    SELECT hi.player_id AS subject_identifier, hi.player_name AS subject_name,
-           lo.player_id AS object_identifier, lo.player_name AS object_name,
-           hi.team_abbreviation = lo.team_abbreviation AS same_team,
-           hi.pts AS s_pts, lo.pts AS o_pts
-    FROM game_details_dedup hi
-    JOIN game_details_dedup lo
-      ON lo.game_id = hi.game_id AND lo.player_id < hi.player_id AND lo.player_name <> hi.player_name
-)
-SELECT subject_identifier, subject_name, object_identifier, object_name,
-       CASE WHEN same_team THEN 'shares_team' ELSE 'plays_against' END AS edge_type,
-       count(*) AS num_games, sum(s_pts) AS subject_points, sum(o_pts) AS object_points
-FROM pair_rows
-GROUP BY subject_identifier, subject_name, object_identifier, object_name, same_team""",
+, rosters AS (
+    SELECT list({'id': player_id, 'name': player_name, 'team': team_abbreviation, 'pts': pts} ORDER BY player_id) AS r
+    FROM game_details_dedup GROUP BY game_id
+),
+firsts AS (SELECT r, unnest(range(2, len(r) + 1)) AS i FROM rosters),
+pairs AS (SELECT r[i] AS s, unnest(r[1:i - 1]) AS o FROM firsts)
+SELECT s.id AS subject_identifier, s.name AS subject_name, o.id AS object_identifier, o.name AS object_name,
+       if(s.team = o.team, 'shares_team', 'plays_against') AS edge_type,
+       count(*) AS num_games, sum(s.pts) AS subject_points, sum(o.pts) AS object_points
+FROM pairs WHERE s.name <> o.name GROUP BY ALL""",
     ids=("C12", "J08", "A11", "J17"),
 )
 def player_player_edges(spark, sf_dir):

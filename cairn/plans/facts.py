@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -125,14 +126,15 @@ BROWSER_DAYS = f"""browser_days AS (
 )"""
 
 
-@register(
-    "user_devices_cumulated",
+USER_DEVICES_SQL = (
     O.with_(O.DEVICES, BROWSER_DAYS)
     + f"""SELECT user_id, browser_type, count(*) AS n_dates,
        string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) AS dates_active, {ANCHOR} AS date
-FROM browser_days GROUP BY user_id, browser_type""",
-    ids=("C32",),
+FROM browser_days GROUP BY user_id, browser_type"""
 )
+
+
+@register("user_devices_cumulated", USER_DEVICES_SQL, ids=("C32",))
 def user_devices_cumulated(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
     dv = standins.devices(spark, sf_dir)
@@ -155,22 +157,55 @@ def user_devices_datelist_int(spark, sf_dir):
     return datelist.datelist_int_from_events(joined, ["user_id", "browser_type"], anchor)
 
 
-@register(
-    "hosts_cumulated",
+HOSTS_CUMULATED_SQL = (
     O.with_(O.WEB_EVENTS)
     + f""", host_days AS (
     SELECT DISTINCT host, CAST(event_time AS DATE) AS d FROM web_events
     WHERE host IS NOT NULL AND CAST(event_time AS DATE) <= {ANCHOR}
 )
 SELECT host, count(*) AS n_dates, string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) AS dates_active, {ANCHOR} AS date
-FROM host_days GROUP BY host""",
-    ids=("C34",),
+FROM host_days GROUP BY host"""
 )
+
+
+@register("hosts_cumulated", HOSTS_CUMULATED_SQL, ids=("C34",))
 def hosts_cumulated(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
     return _cumulated_view(cumulative.dates_cumulated(ev, "host", anchor), ["host"])
 
 
+def _daily_load(spark, seed, step, anchor, name):
+    """Store ``seed`` (two days before the anchor), load the last two days
+    through partitioned storage, the last one twice, and read its partition."""
+    from cairn.plans.increments import run_daily
+    from cairn.session import scratch_path
+    from cairn.sources.catalog import write_partition
+
+    path = scratch_path(spark, f"{name}_{uuid.uuid4().hex}")
+    write_partition(seed, path, ["date"])
+    run_daily(spark, path, step, anchor - timedelta(days=1), anchor, seed.schema)
+    run_daily(spark, path, step, anchor, anchor, seed.schema)  # a re-run replaces its day
+    return spark.read.parquet(path).where(F.col("date") == F.lit(anchor))
+
+
+@register("hosts_cumulated_daily_load", HOSTS_CUMULATED_SQL, ids=("C34", "J01", "S15"))
+def hosts_cumulated_daily_load(spark, sf_dir):
+    ev, anchor = _events(spark, sf_dir)
+    seed = cumulative.dates_cumulated(ev, "host", anchor - timedelta(days=2))
+    step = lambda prev, day: cumulative.dates_cumulated_step(prev, ev, "host", day)
+    return _cumulated_view(_daily_load(spark, seed, step, anchor, "hosts_cumulated"), ["host"])
+
+
+@register("user_devices_cumulated_daily_load", USER_DEVICES_SQL, ids=("C32", "J01", "S15"))
+def user_devices_cumulated_daily_load(spark, sf_dir):
+    ev, anchor = _events(spark, sf_dir)
+    dv = standins.devices(spark, sf_dir).select("device_id", F.coalesce("browser_type", F.lit("unknown")).alias("browser_type"))
+    used, keys = ev.join(dv, "device_id"), ["user_id", "browser_type"]
+    seed = cumulative.dates_cumulated(used, keys, anchor - timedelta(days=2))
+    step = lambda prev, day: cumulative.dates_cumulated_step(prev, used, keys, day)
+    return _cumulated_view(_daily_load(spark, seed, step, anchor, "user_devices_cumulated"), keys)
+
+
 def _month_slots(key_sql: str, daily: str) -> str:
     """SQL: one row per (key, month, day slot) for months with activity."""
     return f"""months AS (
@@ -184,8 +219,7 @@ slots AS (
 )"""
 
 
-@register(
-    "host_activity_reduced",
+HOST_ACTIVITY_SQL = (
     O.with_(O.WEB_EVENTS)
     + f""", host_daily AS (
     SELECT host, CAST(event_time AS DATE) AS day, count(*) AS hits, count(DISTINCT user_id) AS visitors
@@ -196,21 +230,49 @@ SELECT s.host, s.month_start,
        string_agg(CAST(coalesce(h.hits, 0) AS VARCHAR), ',' ORDER BY s.day) AS hit_array,
        string_agg(CAST(coalesce(h.visitors, 0) AS VARCHAR), ',' ORDER BY s.day) AS unique_visitors
 FROM slots s LEFT JOIN host_daily h ON h.host = s.host AND h.day = s.day
-GROUP BY s.host, s.month_start""",
-    ids=("C35", "A03"),
+GROUP BY s.host, s.month_start"""
 )
-def host_activity_reduced(spark, sf_dir):
-    ev, anchor = _events(spark, sf_dir)
-    daily = ev.where(F.col("host").isNotNull()).groupBy("host", F.to_date("event_time").alias("day")).agg(
+
+
+def _host_daily(ev):
+    return ev.where(F.col("host").isNotNull()).groupBy("host", F.to_date("event_time").alias("day")).agg(
         F.count(F.lit(1)).alias("hits"), F.count_distinct("user_id").alias("visitors")
     )
-    m = am.monthly_arrays(daily, "host", ["hits", "visitors"], anchor, fill_value=0)
+
+
+def _host_activity_view(m):
     return m.select(
         "host", "month_start", render(F.col("hits_array")).alias("hit_array"),
         render(F.col("visitors_array")).alias("unique_visitors"),
     )
 
 
+@register("host_activity_reduced", HOST_ACTIVITY_SQL, ids=("C35", "A03"))
+def host_activity_reduced(spark, sf_dir):
+    ev, anchor = _events(spark, sf_dir)
+    return _host_activity_view(am.monthly_arrays(_host_daily(ev), "host", ["hits", "visitors"], anchor, fill_value=0))
+
+
+@register("host_activity_reduced_daily_load", HOST_ACTIVITY_SQL, ids=("C35", "J01", "S15"))
+def host_activity_reduced_daily_load(spark, sf_dir):
+    """The table is partitioned by month; a day reads and overwrites its
+    month only. The last day is loaded twice, which changes nothing."""
+    from cairn.session import scratch_path
+    from cairn.sources.catalog import write_partition
+
+    ev, anchor = _events(spark, sf_dir)
+    daily, metrics = _host_daily(ev), ["hits", "visitors"]
+    path = scratch_path(spark, f"host_activity_{uuid.uuid4().hex}")
+    seed = am.monthly_arrays(daily, "host", metrics, anchor - timedelta(days=2), fill_value=0)
+    write_partition(seed.select("host", "hits_array", "visitors_array", "month_start"), path, ["month_start"])
+    for back in (1, 0, 0):
+        day = anchor - timedelta(days=back)
+        today = daily.where(F.col("day") == F.lit(day))
+        month = am.zero_filled_step(spark.read.parquet(path), today, "host", metrics, day)
+        write_partition(cut_lineage(month, "host_month"), path, ["month_start"])
+    return _host_activity_view(spark.read.parquet(path))
+
+
 USER_DAILY = f"""user_daily AS (
     SELECT user_id, CAST(event_time AS DATE) AS day, count(*) AS n FROM web_events
     WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= {ANCHOR} GROUP BY ALL

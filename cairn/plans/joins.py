@@ -3,22 +3,20 @@ shared intermediates, enrichment, layout and validation."""
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairn.functions.banding import SCORING_DOMAIN
 from cairn.operators import cumulative, enrich, joins, scd
 from cairn.plans import oracle_sql as O
 from cairn.plans import standins
-from cairn.plans.dimensional import _actors, _players
+from cairn.plans.dimensional import ACTORS_SCD_NO_STREAK, _actors, _players
 from cairn.plans.facts import _events
 from cairn.plans.registry import register
-from cairn.session import scratch_path
+from cairn.session import cut_lineage
 from cairn.sources.catalog import file_stats
 
 MEDAL = "ECONOMY"
-DAY_SALT = 4
 
 MATCH_SQL = """md AS (
     SELECT l_orderkey AS match_id, 'gamer-' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
@@ -105,7 +103,7 @@ FROM agg GROUP BY user_id""",
     ids=("C25", "A06"),
 )
 def user_device_rollup(spark, sf_dir):
-    ev, _ = _events(spark, sf_dir)
+    ev = standins.web_events(spark, sf_dir)
     users = joins.users_with_devices(joins.user_device_aggregate(ev))
     return users.select(
         "user_id", "total_hits", F.size("devices").cast("long").alias("n_devices"),
@@ -122,7 +120,7 @@ FROM devices d JOIN agg a ON d.device_id = a.device_id GROUP BY 1, 2""",
     ids=("C25", "A06"),
 )
 def device_user_rollup(spark, sf_dir):
-    ev, _ = _events(spark, sf_dir)
+    ev = standins.web_events(spark, sf_dir)
     return joins.devices_with_users(joins.user_device_aggregate(ev), standins.devices(spark, sf_dir))
 
 
@@ -136,7 +134,7 @@ WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL""",
     ids=("C26", "P06", "J15", "F28", "F29", "P01", "P14", "P15"),
 )
 def events_with_devices(spark, sf_dir):
-    ev, _ = _events(spark, sf_dir)
+    ev = standins.web_events(spark, sf_dir)
     return joins.events_with_devices(ev, standins.devices(spark, sf_dir))
 
 
@@ -161,68 +159,128 @@ FROM ev LEFT JOIN loc ON ev.ipn BETWEEN loc.start_ip AND loc.end_ip""",
     ids=("C29", "X01", "X02", "T06", "F30"),
 )
 def ip_geo_enrichment(spark, sf_dir):
-    ev, _ = _events(spark, sf_dir)
+    ev = standins.web_events(spark, sf_dir)
     out = enrich.enrich_ip(ev, standins.ip_locations(spark, sf_dir))
     return out.select("event_id", "ip", F.col("event_time").alias("event_timestamp"), "referrer", "host", "url", "geodata")
 
 
-@register("layout_file_sizes", None, ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03", "U02"))
+LAYOUTS = {
+    "unsorted": [],
+    "sorted_date_host": ["event_date", "host"],
+    "sorted_date_host_url_browser": ["event_date", "host", "url", "browser_family"],
+    "sorted_user_time": ["user_id", "event_time"],
+    "global_date_host": ["event_date", "host"],
+}
+
+
+@register(
+    "layout_file_sizes",
+    O.with_(O.DEVICES)
+    + """, joined AS (
+    SELECT CAST(e.event_time AS DATE) AS event_date FROM web_events e LEFT JOIN devices d ON d.device_id = e.device_id
+),
+total AS (SELECT count(*) AS rows_written, count(DISTINCT event_date) AS days FROM joined)
+SELECT layout, rows_written, days, true AS has_files, true AS has_bytes, CAST(0 AS BIGINT) AS rows_out_of_order
+FROM total, (VALUES """
+    + ", ".join(f"('{name}')" for name in LAYOUTS)
+    + """) AS names(layout)""",
+    ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03", "U02", "P14"),
+)
 def layout_file_sizes(spark, sf_dir):
-    """Writes events JOIN devices repartitioned by day, once unsorted and once
-    per sort key list (sortWithinPartitions), and reports bytes and files of
-    each layout. Low-cardinality sort keys first give the smallest files."""
-    ev, _ = _events(spark, sf_dir)
-    df = ev.join(standins.devices(spark, sf_dir), on="device_id", how="left").withColumnsRenamed(
+    """Writes events JOIN devices in several layouts and reads each back:
+    repartitioned by day, unsorted and sorted within partitions by several
+    key lists, and sorted globally (range partitions, then within). Reports
+    rows and days, whether there are files with bytes, and the rows that
+    come before their predecessor in a file. The sizes themselves are in
+    ``layout_sizes``; low-cardinality keys first give the smallest files."""
+    return _layouts(spark, sf_dir, layout_report)
+
+
+def layout_sizes(spark, sf_dir):
+    """Bytes and files of each layout."""
+    return _layouts(spark, sf_dir, lambda df, keys: file_stats(df))
+
+
+def layout_report(df, keys):
+    files = file_stats(df).select((F.col("num_files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"))
+    counts = df.agg(F.count(F.lit(1)).alias("rows_written"), F.count_distinct("event_date").alias("days"))
+    if keys:
+        key = F.struct(*keys)
+        in_file = Window.partitionBy("_file").orderBy("_row")
+        placed = df.select(key.alias("_key"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        late = placed.select((F.col("_key") < F.lag("_key").over(in_file)).alias("late"))
+        order = late.agg(F.coalesce(F.sum(F.col("late").cast("long")), F.lit(0)).alias("rows_out_of_order"))
+    else:
+        order = counts.select(F.lit(0).cast("long").alias("rows_out_of_order"))
+    # three one-row frames
+    return counts.join(files, F.lit(True)).join(order, F.lit(True))
+
+
+def _layouts(spark, sf_dir, report):
+    ev = standins.web_events(spark, sf_dir)
+    joined = ev.join(standins.devices(spark, sf_dir), on="device_id", how="left").withColumnsRenamed(
         {"browser_type": "browser_family", "os_type": "os_family"}
-    ).withColumn("event_date", F.to_date("event_time"))
-    layouts = {
-        "unsorted": [],
-        "sorted_date_host": ["event_date", "host"],
-        "sorted_date_host_url_browser": ["event_date", "host", "url", "browser_family"],
-        "sorted_user_time": ["user_id", "event_time"],
-    }
-    tag = uuid.uuid4().hex[:8]
+    )
+    # every layout reads it: joined and written once
+    df = cut_lineage(joined.withColumn("event_date", F.to_date("event_time")), "layout_input")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = None
-    for name, keys in layouts.items():
-        path = scratch_path(spark, f"layout_{tag}_{name}")
-        # by day like the reference, plus a small salt so one hot day is
-        # written by several tasks instead of one
-        part = df.repartition(n, F.col("event_date"), F.pmod(F.xxhash64("event_id"), F.lit(DAY_SALT)))
-        if keys:
-            part = part.sortWithinPartitions(*keys)
-        part.write.mode("overwrite").parquet(path)
-        stats = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("layout"), "total_bytes", "num_files")
-        out = stats if out is None else out.unionByName(stats)
+    for name, keys in LAYOUTS.items():
+        if name.startswith("global"):
+            part = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        else:
+            # by day; a day is dealt over as many tasks as there are, so a
+            # hot day is not written by one
+            part = df.repartition(n, F.col("event_date"), F.pmod(F.xxhash64("event_id"), F.lit(n)))
+            if keys:
+                part = part.sortWithinPartitions(*keys)
+        got = report(cut_lineage(part, f"layout_{name}"), keys)
+        got = got.select(F.lit(name).alias("layout"), *got.columns)
+        out = got if out is None else out.unionByName(got)
     return out
 
 
 @register(
     "players_key_check",
-    "WITH " + O.PLAYERS_DENSE + """,
-dups AS (SELECT player_id, current_season, 'duplicate_key' AS problem FROM players GROUP BY 1, 2 HAVING count(*) > 1),
-bad AS (SELECT player_id, current_season, 'scoring_class_domain' AS problem FROM players
-        WHERE scoring_class IS NULL OR scoring_class NOT IN ('bad', 'average', 'good', 'star'))
-SELECT * FROM dups UNION ALL SELECT * FROM bad""",
+    "WITH " + O.PLAYERS_DENSE + """
+SELECT player_id, current_season, 'duplicate_key' AS problem FROM players WHERE player_id % 7 = 0
+UNION ALL
+SELECT player_id, current_season, 'scoring_class_domain' FROM players WHERE player_id % 11 = 0
+UNION ALL
+SELECT player_id, current_season, 'scoring_class_domain' FROM players WHERE player_id % 77 = 0""",
     ids=("V1",),
 )
 def players_key_check(spark, sf_dir):
+    """The key and domain checks on a table with derived defects: players
+    whose id 7 divides are loaded twice, those 11 divides without a class."""
     from cairn.operators.quality import domain_violations, key_violations
 
     seasons, last = _players(spark, sf_dir)
-    p = cumulative.players_backfill(seasons, last)
+    p = cumulative.players_backfill(seasons, last).select("player_id", "current_season", "scoring_class")
+    p = p.withColumn("scoring_class", F.when(F.col("player_id") % 11 != 0, F.col("scoring_class")))
+    p = cut_lineage(p.unionByName(p.where(F.col("player_id") % 7 == 0)), "defective_players")
     keys = ["player_id", "current_season"]
     return key_violations(p, keys).unionByName(domain_violations(p, keys, "scoring_class", SCORING_DOMAIN))
 
 
 @register(
     "actors_scd_overlap_check",
-    "SELECT CAST(NULL AS BIGINT) AS actorid, CAST(NULL AS INTEGER) AS start_year, CAST(NULL AS INTEGER) AS end_year, "
-    "CAST(NULL AS INTEGER) AS prev_end, CAST(NULL AS VARCHAR) AS problem WHERE false",
+    "WITH history AS (WITH " + O.ACTORS_DENSE + ACTORS_SCD_NO_STREAK + """),
+later AS (
+    SELECT *, CASE WHEN actorid % 5 = 0 THEN -1 WHEN actorid % 3 = 0 THEN 1 ELSE 0 END AS shift FROM history
+    WHERE start_year > (SELECT min(start_year) FROM history f WHERE f.actorid = history.actorid)
+)
+SELECT actorid, CAST(start_year + shift AS INTEGER) AS start_year, end_year, CAST(start_year - 1 AS INTEGER) AS prev_end,
+       if(shift < 0, 'overlap', 'gap') AS problem
+FROM later WHERE shift <> 0""",
     ids=("V2",),
 )
 def actors_scd_overlap_check(spark, sf_dir):
+    """The overlap check on a history with derived defects: the records of
+    actors whose id 5 divides start a year early, those 3 divides a year late."""
     films, last = _actors(spark, sf_dir)
     history = scd.scd_backfill(cumulative.actors_backfill(films, last), "actorid", "current_year",
                                ["quality_class", "is_active"], as_of=last, start_name="start_year", end_name="end_year")
-    return scd.scd_overlaps(history, "actorid", "start_year", "end_year")
+    shift = F.when(F.col("actorid") % 5 == 0, -1).when(F.col("actorid") % 3 == 0, 1).otherwise(0)
+    shifted = history.withColumn("start_year", (F.col("start_year") + shift).cast("int"))
+    return scd.scd_overlaps(shifted, "actorid", "start_year", "end_year")

@@ -105,9 +105,9 @@ game_details_dedup AS (
         SELECT *, row_number() OVER (
             PARTITION BY player_id, game_id
             ORDER BY l_linenumber, l_partkey, pts, l_extendedprice, l_discount, l_tax,
-                     start_position, l_linestatus, game_date) AS pick
+                     start_position, l_linestatus, game_date) AS rn
         FROM game_details)
-    WHERE pick = 1
+    WHERE rn = 1
 )"""
 
 def _case(index_sql: str, values) -> str:

@@ -1,5 +1,5 @@
-"""Registered queries written as Spark SQL text over temp views (the
-reference's job style), plus small checks and readouts."""
+"""Registered queries written as Spark SQL text over named frames, plus
+small checks and readouts."""
 
 from __future__ import annotations
 
@@ -14,25 +14,21 @@ from cairn.plans.facts import USER_DAILY, _array_metrics, _events, _month_slots,
 from cairn.plans.registry import register
 from cairn.sources.views import run_sql
 
-# SCD streaks in Spark SQL: a row opens a new run when it is the entity's
-# first period or its class differs (null-safe) from the previous period.
+# Streaks over a table with one row per player and season: within a player
+# and class, season minus rank is the same for seasons that follow each other.
 PLAYERS_SCD_SPARK_SQL = """
-WITH marked AS (
-    SELECT player_id, current_season, scoring_class,
-           IF(lag(current_season) OVER per_player IS NULL
-              OR NOT (scoring_class <=> lag(scoring_class) OVER per_player), 1, 0) AS opens_run
-    FROM players
-    WINDOW per_player AS (PARTITION BY player_id ORDER BY current_season)
+WITH ranked AS (
+    SELECT player_id, scoring_class, current_season,
+           current_season - rank() OVER (PARTITION BY player_id, scoring_class ORDER BY current_season) AS streak
+    FROM {players}
 ),
-runs AS (
-    SELECT player_id, current_season, scoring_class,
-           sum(opens_run) OVER (PARTITION BY player_id ORDER BY current_season
-                                ROWS UNBOUNDED PRECEDING) AS run_no
-    FROM marked
+spans AS (
+    SELECT player_id, scoring_class, array_agg(current_season) AS seasons
+    FROM ranked
+    GROUP BY player_id, scoring_class, streak
 )
-SELECT player_id, scoring_class, min(current_season) AS start_season, max(current_season) AS end_season
-FROM runs
-GROUP BY player_id, run_no, scoring_class
+SELECT player_id, scoring_class, array_min(seasons) AS start_season, array_max(seasons) AS end_season
+FROM spans
 """
 
 @register(
@@ -59,16 +55,13 @@ def players_scd_sql(spark, sf_dir):
     return run_sql(spark, PLAYERS_SCD_SPARK_SQL, players=players)
 
 
+# The best-ranked source row of a team, by an aggregate (no window, no sort).
 TEAM_VERTEX_SPARK_SQL = """
-SELECT team_id AS identifier,
-       'team' AS `type`,
-       to_json(map('abbreviation', abbreviation, 'nickname', nickname, 'city', city,
-                   'arena', arena, 'year_founded', CAST(yearfounded AS STRING))) AS properties
-FROM (
-    SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY source_rank) AS rank_in_team
-    FROM teams
-) ranked
-WHERE rank_in_team = 1
+FROM {teams}
+|> AGGREGATE min_by(struct(abbreviation, nickname, city, arena, yearfounded), source_rank) AS t GROUP BY team_id
+|> SELECT team_id AS identifier, 'team' AS `type`,
+          to_json(named_struct('abbreviation', t.abbreviation, 'nickname', t.nickname, 'city', t.city,
+                               'arena', t.arena, 'year_founded', string(t.yearfounded))) AS properties
 """
 
 @register(
@@ -84,20 +77,19 @@ def team_vertices_sql(spark, sf_dir):
     return run_sql(spark, TEAM_VERTEX_SPARK_SQL, teams=standins.teams(spark, sf_dir))
 
 
-def monthly_site_hits_job_sql(ds) -> str:
-    """First three day slots summed per month for one date partition;
-    a missing slot (short or empty array) counts as 0."""
-    slots = ("first", "second", "third")
-    sums = ",\n           ".join(
-        f"sum(coalesce(try_element_at(hit_array, {i + 1}), 0)) AS num_hits_{name}_day" for i, name in enumerate(slots)
-    )
-    return f"""
-    SELECT month_start,
-           {sums}
-    FROM monthly_user_site_hits
-    WHERE date_partition = DATE'{ds}'
-    GROUP BY month_start
-    """
+# Slots as rows, then a pivot of the first three positions; a month without
+# such a slot counts 0.
+MONTHLY_SITE_HITS_SPARK_SQL = """
+WITH slots AS (
+    SELECT month_start, pos, hits
+    FROM {monthly} LATERAL VIEW OUTER posexplode(hit_array) AS pos, hits
+    WHERE date_partition = :ds
+)
+SELECT month_start, coalesce(num_hits_first_day, 0) AS num_hits_first_day,
+       coalesce(num_hits_second_day, 0) AS num_hits_second_day, coalesce(num_hits_third_day, 0) AS num_hits_third_day
+FROM slots
+PIVOT (sum(hits) FOR pos IN (0 AS num_hits_first_day, 1 AS num_hits_second_day, 2 AS num_hits_third_day))
+"""
 
 @register(
     "monthly_site_hits_sql",
@@ -114,7 +106,7 @@ GROUP BY s.month_start""",
 )
 def monthly_site_hits_sql(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
-    return run_sql(spark, monthly_site_hits_job_sql(anchor), monthly_user_site_hits=_monthly_hits(ev, anchor))
+    return run_sql(spark, MONTHLY_SITE_HITS_SPARK_SQL, {"ds": anchor}, monthly=_monthly_hits(ev, anchor))
 
 
 @register(
@@ -144,7 +136,7 @@ FROM daily""",
 def daily_hits_moving_average(spark, sf_dir):
     from pyspark.sql import Window
 
-    ev, _ = _events(spark, sf_dir)
+    ev = standins.web_events(spark, sf_dir)
     daily = ev.groupBy("url", F.to_date("event_time").alias("day")).agg(F.count(F.lit(1)).alias("hits"))
     w = Window.partitionBy("url").orderBy("day").rowsBetween(-6, 0)
     return daily.select("url", "day", "hits", F.avg("hits").over(w).alias("hits_7d_avg"))

@@ -25,9 +25,14 @@ def insert_partition(df: DataFrame, table: str) -> None:
     partitions present in ``df``, which makes a re-run of a period safe.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    mode = "spark.sql.sources.partitionOverwriteMode"
     target_cols = spark.table(table).columns
-    df.select(*target_cols).write.mode("overwrite").insertInto(table)
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*target_cols).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)  # the caller's setting
 
 
 def write_partition(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> None:
@@ -67,24 +72,25 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], partition_
     """INSERT ... ON CONFLICT (keys) DO UPDATE: incoming rows replace the
     existing rows with the same key, other existing rows stay.
 
-    A left-anti join plus a union. With ``partition_col`` (one of ``keys``,
-    e.g. the period), only the partitions present in ``incoming`` take part
-    in the anti join; the rest of the table passes through without a
-    shuffle, and only those partitions need rewriting. Pass ``partitions``
-    when the load knows them (the period it loads); otherwise the distinct
-    values (a handful) are read from ``incoming``.
+    A left-anti join plus a union. As in SQL, a NULL in a key conflicts with
+    nothing, so rows with one are kept and added. When the load knows the
+    values of ``partition_col`` (one of ``keys``, e.g. the period) that
+    ``incoming`` holds, pass them as ``partitions``: the other partitions
+    pass through without a shuffle, and only those given need rewriting.
+    A partition value of NULL is given as ``None``.
     """
     new_keys = incoming.select(*keys).distinct()
-    if partition_col is None:
-        kept = existing.join(new_keys, on=keys, how="left_anti")
-        return kept.unionByName(incoming.select(*existing.columns))
-    touched = partitions if partitions is not None else [
-        r[0] for r in incoming.select(partition_col).distinct().collect()
-    ]
-    in_touched = F.col(partition_col).isin(touched)
-    untouched = existing.where(~in_touched)
-    kept = existing.where(in_touched).join(new_keys, on=keys, how="left_anti")
-    return untouched.unionByName(kept).unionByName(incoming.select(*existing.columns))
+    added = incoming.select(*existing.columns)
+    if partition_col is None or partitions is None:
+        return existing.join(new_keys, on=keys, how="left_anti").unionByName(added)
+    column = F.col(partition_col)
+    named = [p for p in partitions if p is not None]
+    # never NULL: a row is on exactly one side
+    touched = F.coalesce(column.isin(named), F.lit(False)) if named else F.lit(False)
+    if len(named) < len(partitions):
+        touched = touched | column.isNull()
+    kept = existing.where(touched).join(new_keys, on=keys, how="left_anti")
+    return existing.where(~touched).unionByName(kept).unionByName(added)
 
 
 def file_stats(df: DataFrame) -> DataFrame:

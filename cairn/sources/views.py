@@ -1,9 +1,9 @@
-"""Temp-view registration for jobs written as Spark SQL text.
+"""Jobs written as Spark SQL text over frames.
 
-The reference's Spark jobs register their inputs with
-``createOrReplaceTempView`` and run one ``spark.sql`` query; the same
-Catalyst plan results as from the DataFrame API, so either style can be
-used. Views are session-scoped names, not copies of the data.
+The text names its frames in braces (``FROM {players}``). Spark registers
+each under a name of its own for the length of the call, so a caller's temp
+views of the same names are neither replaced nor left behind; the Catalyst
+plan is the same as from the DataFrame API.
 """
 
 from __future__ import annotations
@@ -11,12 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def register_views(spark: SparkSession, **frames: DataFrame) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-
-
-def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
-    """Register ``frames`` under their keyword names, then run ``query``."""
-    register_views(spark, **frames)
-    return spark.sql(query)
+def run_sql(spark: SparkSession, query: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """Run ``query`` with ``frames`` in the places of their names and
+    ``args`` for its ``:name`` parameters."""
+    return spark.sql(query, args=args, **frames)

@@ -23,14 +23,17 @@ ENRICHMENT_EVENT = StructType(
 
 
 def kafka_options(servers: str, topic: str, group_id: str | None = None, username: str | None = None,
-                  password: str | None = None, starting_offsets: str = "latest") -> dict:
+                  password: str | None = None, starting_offsets: str = "latest",
+                  fail_on_data_loss: bool = True) -> dict:
     """Options for ``readStream.format('kafka')`` (SASL_SSL/PLAIN when a
-    username is given). The Kafka connector jar must be on the classpath."""
+    username is given). The Kafka connector jar must be on the classpath.
+    Offsets that have expired fail the query unless the caller allows the
+    loss with ``fail_on_data_loss=False``."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if group_id:
         opts["kafka.group.id"] = group_id

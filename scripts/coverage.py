@@ -29,7 +29,7 @@ LIBRARY = {
     "S15": "sources.catalog.write_partition (dynamic partition overwrite) [test_sources_sinks]",
     "S16": "sources.catalog.upsert; operators.array_metrics.metric_array_upsert_step",
     "S17": "sources.catalog.overwrite_table",
-    "S18": "sources.views.run_sql / register_views",
+    "S18": "sources.views.run_sql",
     "S19": "sources.catalog.ensure_database / drop_table [test_sources_sinks]",
     "S20": "derived year column + sources.catalog.write_partition [test_sources_sinks]",
     "S21": "sources.catalog.write_partition(['ds']) [test_sources_sinks]",

@@ -5,6 +5,8 @@ and dedup of a huge duplicate group must keep exactly one row."""
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cairn.operators import graph, sequences
@@ -43,15 +45,30 @@ def test_prefix_totals_across_blocks(spark, partitions):
             cum += w
             assert got[(team, t)] == (pos, cum)
 
-    for limit in (0, 10_000_000):  # split path and single-window path
-        stretch = {r.team: r.max_won_in_90 for r in
-                   sequences.best_stretch(df, "team", ["t"], "won", 90, max_rows_per_task=limit).collect()}
-        streak = {r.team: r.longest_streak for r in
-                  sequences.longest_streak(df, "team", ["t"], F.col("won"), max_rows_per_task=limit).collect()}
-        for team, seq in by_team.items():
-            flags = [w for _, w in sorted(seq)]
-            assert stretch[team] == _brute_stretch(flags, 90)
-            assert streak[team] == _brute_streak(flags)
+    stretch = {r.team: r.max_won_in_90 for r in sequences.best_stretch(df, "team", ["t"], "won", 90, partitions=partitions).collect()}
+    streak = {r.team: r.longest_streak for r in
+              sequences.longest_streak(df, "team", ["t"], F.col("won"), partitions=partitions).collect()}
+    for team, seq in by_team.items():
+        flags = [w for _, w in sorted(seq)]
+        assert stretch[team] == _brute_stretch(flags, 90)
+        assert streak[team] == _brute_streak(flags)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    data=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([True, False, None])), min_size=1, max_size=60),
+    length=st.integers(1, 9),
+    partitions=st.sampled_from([1, 7, 32]),
+)
+def test_sequences_with_null_keys_and_flags(spark, data, length, partitions):
+    df = spark.createDataFrame([(k, i, f) for i, (k, f) in enumerate(data)], "k string, t int, f boolean")
+    got = {r.k: (r.games, r[2]) for r in sequences.best_stretch(df, "k", ["t"], "f", length, partitions=partitions).collect()}
+    runs = {r.k: (r.games, r.longest_streak) for r in sequences.longest_streak(df, "k", ["t"], F.col("f"), partitions=partitions).collect()}
+    want = {}
+    for k, f in data:
+        want.setdefault(k, []).append(int(bool(f)))
+    assert got == {k: (len(v), _brute_stretch(v, length)) for k, v in want.items()}
+    assert runs == {k: (len(v), _brute_streak(v)) for k, v in want.items()}
 
 
 def test_dedup_hot_duplicate_group(spark):

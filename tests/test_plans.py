@@ -117,3 +117,55 @@ def test_kafka_options():
     assert plain["subscribe"] == "events" and plain["startingOffsets"] == "latest"
     secured = kafka_options("broker:9092", "events", group_id="g", username="u", password="p")
     assert secured["kafka.security.protocol"] == "SASL_SSL" and 'username="u"' in secured["kafka.sasl.jaas.config"]
+
+
+def test_size_check_has_no_single_partition_of_rows(spark, sf_small):
+    """Each task sends one row of sums; the rows themselves stay."""
+    df = standins.match_details(spark, sf_small)
+    p = plan(df.agg(F.count(F.lit(1)), F.sum(joins._row_bytes(df))))
+    below = p[p.index("Exchange SinglePartition"):]
+    assert "partial_count" in below.splitlines()[1] or "partial_count" in below
+    assert "Limit" not in p
+    wide = spark.createDataFrame([("x" * 1000, [1] * 10)] * 50, "s string, a array<int>")
+    assert joins.has_at_most(wide, 50, 80_000) and not joins.has_at_most(wide, 50, 50_000)
+    assert not joins.has_at_most(wide, 49)
+
+
+def test_narrowest_range_wins_and_no_event_multiplies(spark):
+    loc = spark.createDataFrame(
+        [(0, 2**32 - 1, "W", None, None), (167772160, 184549375, "TEN", "s", "c"), (167772160, 167772415, None, "n", "n"),
+         (167772300, 167772500, "O", "o", "o"), (9, 3, "bad", "b", "b")],
+        "start_ip long, end_ip long, country string, state string, city string",
+    )
+    ev = spark.createDataFrame([(i, ip) for i, ip in enumerate(["10.0.0.5", "10.0.0.150", "10.0.1.0", "10.9.9.9", "8.8.8.8", "x", None])], "event_id long, ip string")
+    want = ['{"state":"n","city":"n"}', '{"country":"O","state":"o","city":"o"}', '{"country":"O","state":"o","city":"o"}',
+            '{"country":"TEN","state":"s","city":"c"}', '{"country":"W"}', "{}", "{}"]
+    for rows in (1_000_000, 1):
+        out = sorted(enrich.enrich_ip(ev, loc, max_broadcast_rows=rows).collect(), key=lambda r: r.event_id)
+        assert [r.geodata for r in out] == want
+
+
+def test_referrers_are_parsed_once(spark, sf_small):
+    """The trends read a written column; no rule is left in their plan."""
+    from cairn.plans.analytics import referrer_trends
+
+    p = referrer_trends(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in p and "linkedin" not in p
+
+
+def test_growth_counts_have_no_row_per_idle_day(spark, sf_small):
+    from datetime import timedelta
+
+    from cairn.operators import growth
+
+    ev = standins.web_events(spark, sf_small)
+    last = ev.agg(F.max(F.to_date("event_time"))).first()[0]
+    for end in (last, last - timedelta(days=9)):
+        grid = growth.growth_accounting(ev, end, with_dates=False)
+        want = {tuple(r) for r in grid.groupBy("date", "daily_active_state").count().collect()}
+        assert {tuple(r) for r in growth.daily_state_counts(ev, end).collect()} == want
+        n = F.datediff("date", "first_active_date")
+        active = F.col("daily_active_state").isin("New", "Retained", "Resurrected")
+        want = {tuple(r) for r in grid.groupBy(n.alias("n")).agg(F.avg(active.cast("double")), F.count("*")).collect()}
+        got = {tuple(r) for r in growth.retention_curve(ev, end).collect()}
+        assert {(a, round(b, 9), c) for a, b, c in got} == {(a, round(b, 9), c) for a, b, c in want}

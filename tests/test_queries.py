@@ -41,7 +41,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(QUERIES) - set(ORACLE) == {"layout_file_sizes"}
+    assert set(QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
