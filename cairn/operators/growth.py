@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cairn.functions.arrays import append_if
 
 
+# The state names below are part of the results.
 def _daily_state(has_y, today, y_last, y_date):
     return (
         F.when(~has_y, "New")

@@ -52,12 +52,14 @@ def bucketed_pair(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    buckets: int = 16,
+    buckets: int | None = None,
     name: str = "bucketed",
 ) -> tuple[DataFrame, DataFrame]:
     """Write both sides bucketed (and sorted) on ``key`` with the same bucket
-    count into the shared folder, and return the two tables. A join or
-    aggregation on ``key`` between them then plans without an Exchange."""
+    count (by default the session's shuffle partitions, which follow the
+    input on a cluster) into the shared folder, and return the two tables. A
+    join or aggregation on ``key`` between them then plans without an Exchange."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = f"{name}_{uuid.uuid4().hex[:8]}"
     tables = []
     for side, df in (("l", left), ("r", right)):

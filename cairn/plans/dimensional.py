@@ -186,15 +186,17 @@ def actors_year_load(spark, sf_dir):
     ids=("C09", "S16", "J01"),
 )
 def actors_upsert_load(spark, sf_dir):
-    """The stored actors table (every year up to the previous one) with this
-    year's rows upserted on its key (actorid, current_year), the reference's
-    INSERT ... ON CONFLICT DO UPDATE. Re-running the year replaces the same
-    keys, so the load is idempotent."""
+    """The stored actors table with this year's rows upserted on its key
+    (actorid, current_year), as INSERT ... ON CONFLICT DO UPDATE does. Half
+    of this year's rows are stored already, from an early load that saw no
+    films; they conflict and are updated."""
     from cairn.sources.catalog import upsert
 
     films, last = _actors(spark, sf_dir)
     stored = cut_lineage(cumulative.actors_backfill(films, last - 1), "actors_table")
-    incoming = cumulative.actors_step(stored, films, last)
+    incoming = cut_lineage(cumulative.actors_step(stored, films, last), "actors_year")
+    early = cumulative.actors_step(stored, films.where("year < 0"), last).where(F.col("actorid") % 2 == 0)
+    stored = cut_lineage(stored.unionByName(early.select(*stored.columns)), "actors_table")
     merged = upsert(stored, incoming, ["actorid", "current_year"], partition_col="current_year", partitions=[last])
     return actors_summary(merged)
 

@@ -73,10 +73,11 @@ def users_cumulated_bucketed_load(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
     table = f"users_cumulated_{uuid.uuid4().hex[:8]}"
     seed = cumulative.dates_cumulated(ev, "user_id", anchor - timedelta(days=2))
-    write_bucketed_partition(seed, table, "user_id", 16)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed_partition(seed, table, "user_id", buckets)
     run_daily_bucketed(
         spark, table, lambda prev, day: cumulative.dates_cumulated_step(prev, ev, "user_id", day),
-        anchor - timedelta(days=1), anchor, seed.schema, "user_id", 16,
+        anchor - timedelta(days=1), anchor, seed.schema, "user_id", buckets,
     )
     final = spark.table(table).where(F.col("date") == F.lit(anchor))
     return _cumulated_view(final, ["user_id"])
@@ -103,7 +104,7 @@ def user_datelist_int(spark, sf_dir):
 FLAGS_SQL = O.with_(O.WEB_EVENTS, USER_DAYS) + f""", masks AS (
     SELECT user_id, {_bits_sql(DAYS_BACK)} AS datelist_int FROM user_days GROUP BY user_id
 )
-SELECT user_id, datelist_int,
+SELECT user_id, datelist_int, lpad(bin(datelist_int), 32, '0') AS datelist_bits,
        bit_count(datelist_int) > 0 AS monthly_active,
        CAST(bit_count(datelist_int) AS INTEGER) AS l32,
        bit_count(datelist_int & {bits.mask(0, 7)}) > 0 AS weekly_active,
@@ -116,7 +117,7 @@ FROM masks"""
 def datelist_activity_flags(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)
     masks = datelist.datelist_int_from_events(ev, "user_id", anchor)
-    return datelist.activity_flags(masks, "user_id")
+    return datelist.activity_flags(masks, "user_id").withColumn("datelist_bits", bits.bit_string(F.col("datelist_int")))
 
 
 BROWSER_DAYS = f"""browser_days AS (

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cairn.session import scratch_path
-from cairn.sources.catalog import write_partition
+from cairn.session import note_table, scratch_path
+from cairn.sources.catalog import insert_partition, write_partition
 
 
 def read_partition(spark: SparkSession, path: str, partition_col: str, value, schema: StructType) -> DataFrame:
@@ -56,10 +56,10 @@ def write_bucketed_partition(df: DataFrame, table: str, key: str, buckets: int,
     ``partition_col`` and bucketed (and sorted) by ``key``; created on first
     use in the shared folder, later writes replace only their partitions."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        insert_partition(df, table)
     else:
+        note_table(spark, table)
         (
             df.write.format("parquet")
             .partitionBy(partition_col)

@@ -55,6 +55,8 @@ def input_key(sf_dir: str, table: str, what: str):
     from cairn.sources.tables import table_path
 
     path = table_path(sf_dir, table)
+    if os.path.isdir(path):  # a folder keeps its time when files below it change
+        return None
     try:
         st = os.stat(path)
         stamp = (st.st_mtime_ns, st.st_size)
@@ -65,6 +67,6 @@ def input_key(sf_dir: str, table: str, what: str):
 
 def load_all() -> dict[str, Query]:
     # importing the modules fills REGISTRY
-    from cairn.plans import analytics, dimensional, facts, joins, spark_sql, streams  # noqa: F401
+    from cairn.plans import analytics, dimensional, facts, joins, spark_sql, storage, streams  # noqa: F401
 
     return REGISTRY

@@ -47,7 +47,7 @@ streaks AS (
 )
 SELECT player_id, scoring_class, min(current_season) AS start_season, max(current_season) AS end_season
 FROM streaks GROUP BY player_id, sid, scoring_class""",
-    ids=("C05", "S04", "S18", "P03", "P17"),
+    ids=("C05", "S18", "P03"),
 )
 def players_scd_sql(spark, sf_dir):
     seasons, last = _players(spark, sf_dir)
@@ -102,7 +102,7 @@ SELECT s.month_start,
        CAST(sum(CASE WHEN s.day = s.month_start + 2 THEN coalesce(u.n, 0) ELSE 0 END) AS BIGINT) AS num_hits_third_day
 FROM slots s LEFT JOIN user_daily u ON u.user_id = s.user_id AND u.day = s.day
 GROUP BY s.month_start""",
-    ids=("C20", "F05", "P04"),
+    ids=("C20", "P04"),
 )
 def monthly_site_hits_sql(spark, sf_dir):
     ev, anchor = _events(spark, sf_dir)

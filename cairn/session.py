@@ -53,7 +53,8 @@ def build_session(
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the operators assume (idempotent)."""
+    """Set the runtime SQL settings the operators assume (idempotent). They
+    stay set, as the frames that a query returns run later under them."""
     for key in (
         "spark.sql.session.timeZone",
         "spark.sql.adaptive.enabled",
@@ -91,8 +92,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    return f"{run_folder(spark)}/{name}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of everything this application writes in between."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+_TABLES: dict[str, set[str]] = {}
+
+
+def note_table(spark: SparkSession, table: str) -> None:
+    """Remember a catalog table over files in the run folder."""
+    _TABLES.setdefault(spark.sparkContext.applicationId, set()).add(table)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove the run folder and the catalog entries over it. Call it when
+    the results of the run's queries have been read or stored elsewhere."""
+    for table in sorted(_TABLES.pop(spark.sparkContext.applicationId, ())):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.session import note_table
+
 
 def overwrite_table(df: DataFrame, table: str, partition_by=None, fmt: str = "parquet") -> None:
     """``write.mode('overwrite').saveAsTable`` (CREATE TABLE AS SELECT)."""
@@ -64,6 +66,7 @@ def write_bucketed(
         writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
+        note_table(df.sparkSession, table)
     writer.saveAsTable(table)
 
 

@@ -23,7 +23,7 @@ LIBRARY = {
     "S09": "streaming.sources.kafka_options / kafka_json_stream / json_file_stream",
     "S10": "streaming.sources.kafka_json_stream; streaming.jobs.enrichment_job",
     "S11": "streaming.sources.events_as_json + streaming.sinks.kafka_batch_writer (needs the Kafka jar)",
-    "S12": "streaming.sinks.jdbc_batch_writer / parquet_batch_writer (idempotent by batch id)",
+    "S12": "streaming.sinks.jdbc_batch_writer: options only, appends; parquet_batch_writer is idempotent by batch id",
     "S13": "sources.catalog.overwrite_table [test_sources_sinks]",
     "S14": "sources.catalog.insert_partition (positional, reordered) [test_sources_sinks]",
     "S15": "sources.catalog.write_partition (dynamic partition overwrite) [test_sources_sinks]",
@@ -74,14 +74,20 @@ def main() -> None:
         "| ID | operator | registered queries | library / tests |",
         "| --- | --- | --- | --- |",
     ]
-    missing = []
+    missing, by_test = [], []
     for rid, op in rows:
         qs = ", ".join(f"`{q}`" for q in sorted(by_id.get(rid, [])))
         lib = LIBRARY.get(rid, "")
-        if not qs and not lib:
-            missing.append(rid)
+        if not qs:
+            (by_test if "[test_" in lib else missing).append(rid)
         lines.append(f"| {rid} | {op.strip()} | {qs} | {lib} |")
-    lines += ["", f"{len(rows)} IDs; {len(rows) - len(missing)} covered; uncovered: {', '.join(missing) or 'none'}.", ""]
+    done = len(rows) - len(missing) - len(by_test)
+    lines += [
+        "",
+        f"{len(rows)} IDs. {done} are in a registered query. Only tests run: {', '.join(by_test) or 'none'}. "
+        f"Neither (variants, plain actions, connectors without a server): {', '.join(missing) or 'none'}.",
+        "",
+    ]
     open("COVERAGE.md", "w").write("\n".join(lines))
     print(f"{len(rows)} ids, uncovered: {missing}")
 

@@ -1,4 +1,8 @@
-"""The reference's own four job tests, on our operators (FIXTURES.md A1-A4)."""
+"""The four job tests of FIXTURES.md (A1-A4) on our operators.
+
+Fixed values: the input rows and the expected rows below are given there and
+must match; the calls and checks are our own.
+"""
 
 from datetime import date
 

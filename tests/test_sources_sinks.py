@@ -113,3 +113,16 @@ def test_partition_aware_upsert_matches_plain(spark):
     plain = sorted(tuple(r) for r in catalog.upsert(old, new, ["k", "y"]).collect())
     aware = sorted(tuple(r) for r in catalog.upsert(old, new, ["k", "y"], partition_col="y", partitions=[2001]).collect())
     assert plain == aware == [(1, 2000, "a"), (1, 2001, "c"), (2, 2000, "b"), (2, 2001, "D"), (3, 2001, "E")]
+
+
+def test_clean_up_removes_the_runs_folder_and_tables(spark):
+    from cairn.operators.joins import bucketed_pair
+    from cairn.session import clean_up, cut_lineage, run_folder
+
+    df = spark.range(20).withColumnRenamed("id", "k")
+    left, _ = bucketed_pair(spark, df, df, "k", buckets=2, name="cleaned")
+    cut_lineage(df)
+    assert left.count() == 20 and os.listdir(run_folder(spark).removeprefix("file:"))
+    clean_up(spark)
+    assert not os.path.exists(run_folder(spark).removeprefix("file:"))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("cleaned")]
