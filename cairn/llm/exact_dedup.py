@@ -2,9 +2,10 @@
 
 1. Every text becomes a slim row (row number, id, digest), written once to
    the shared folder, so the texts are read one time.
-2. A bounded frequent-items sketch (the Misra-Gries family, as Spark's
-   ``approx_top_k``) over the digests names up to ``heavy`` candidates.
-   Which digests it names affects speed only, never the result.
+2. Bounded frequent-items sketches (the Misra-Gries family, as Spark's
+   ``approx_top_k``), one per first byte of the digests, so that no single
+   task merges all of them, name up to ``heavy`` candidates together. Which
+   digests they name affects speed only, never the result.
 3. The candidates are verified by an exact count and an exact winner, an
    aggregation that combines before its shuffle. Their at most ``heavy``
    winners are broadcast and decide the frequent digests map-side.
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from cairn.session import cut_lineage
 
 HEAVY = 1024  # broadcast bound: digests whose winners travel map-side
-TRACKED = 8192  # counters of the sketch
+TRACKED = 64  # counters of a sketch
+PARTS = 256  # sketches, by the first byte of the digest
 
 
 def slim_rows(documents: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
@@ -39,9 +41,11 @@ def slim_rows(documents: DataFrame, id_col: str, text_col: str, row_col: str | N
 
 
 def frequent(slim: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
-    """At most ``heavy`` digests that may be frequent, from a sketch of
-    ``tracked`` counters per task, merged to one."""
-    items = slim.agg(F.expr(f"approx_top_k(digest, {int(heavy)}, {int(tracked)})").alias("top"))
+    """At most ``heavy`` digests that may be frequent. A digest with more
+    than one in ``tracked`` of the rows of its part is among them."""
+    each = max(1, heavy // PARTS)
+    part = F.substring("digest", 1, 2) if heavy >= PARTS else F.lit("")
+    items = slim.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k(digest, {each}, {int(tracked)})").alias("top"))
     found = items.select(F.explode("top").alias("t")).select(F.col("t.item").alias("digest"), F.col("t.count").alias("n"))
     return found.where("n > 1").select("digest").limit(heavy)
 

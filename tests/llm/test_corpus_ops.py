@@ -42,7 +42,7 @@ def test_exact_dedup_edges(edge, empty):
     for i, t in rows:
         best[t] = max(best.get(t, (-1, None)), (i if i is not None else -1, i), key=lambda x: x[0])
     size = Counter(t for _, t in rows)
-    for heavy, tracked in ((1, 16), (1024, 8192)):
+    for heavy, tracked in ((1, 16), (1024, 64)):
         got = exact_dedup.mark_duplicates(edge, heavy=heavy, tracked=tracked).collect()
         assert len(got) == len(rows)
         by = defaultdict(list)
