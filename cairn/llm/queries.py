@@ -52,9 +52,50 @@ def op1(spark, sf_dir):
 
 
 PROBE = "\\### Assistant: </turn> ok"
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '### ', '\h'), '</turn>', '\e')"
 
 
-@_query("op2_chat_format")
+OP2_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '{PROBE}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS p(turn, role)
+),
+sized AS (
+  -- characters of a turn: "### ", label, ": ", escaped text, "</turn>" and a line break
+  SELECT *, row_number() OVER o AS pos,
+         14 + length(CASE WHEN role IN ('user', 'assistant', 'system') THEN role ELSE '@' || {{role}} END) + length({{text}}) AS chars,
+         3 + len(regexp_extract_all(text, '\w{{1,4}}|[^\w\s]')) AS tokens
+  FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+opened AS (
+  SELECT *, max(tokens) FILTER (pos = 1 AND role = 'system') OVER c AS system_tokens,
+         max(chars) FILTER (pos = 1 AND role = 'system') OVER c AS system_chars,
+         sum(tokens) OVER (c ORDER BY pos) AS prefix
+  FROM sized WINDOW c AS (PARTITION BY conv_id)
+),
+halves AS (
+  SELECT *, greatest(({chat.BUDGET - chat.HISTORY} - coalesce(system_tokens, 0)) // 2, 1) AS half FROM opened
+),
+spans AS (
+  SELECT *, pos > 1 AND NOT (pos = 2 AND system_tokens IS NOT NULL) AND (
+              (prefix - 1) // half <> lag((prefix - 1) // half) OVER o OR tokens > half OR lag(tokens > half) OVER o
+            ) AS again,
+         pos - 1 > if(system_tokens IS NULL, 0, 1) AS has_1, pos - 2 > if(system_tokens IS NULL, 0, 1) AS has_2,
+         lag(tokens) OVER o AS t_1, lag(tokens, 2) OVER o AS t_2, lag(chars) OVER o AS c_1, lag(chars, 2) OVER o AS c_2
+  FROM halves WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars + CASE WHEN again THEN coalesce(system_chars, 0)
+         + if(has_1 AND t_1 <= {chat.HISTORY}, c_1, 0)
+         + if(has_2 AND t_1 + t_2 <= {chat.HISTORY}, c_2, 0) ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM spans GROUP BY conv_id
+""".replace("{role}", "replace(" + _ESCAPED.format("role") + r", ':', '\c')").replace("{text}", _ESCAPED.format("text"))
+
+
+@_query("op2_chat_format", OP2_SQL)
 def op2(spark, sf_dir):
     """All conversations and one with control strings, formatted into
     windows and read back from them."""
