@@ -212,8 +212,9 @@ def layout_report(df, keys):
         order = late.agg(F.coalesce(F.sum(F.col("late").cast("long")), F.lit(0)).alias("rows_out_of_order"))
     else:
         order = counts.select(F.lit(0).cast("long").alias("rows_out_of_order"))
-    # three one-row frames
-    return counts.join(files, F.lit(True)).join(order, F.lit(True))
+    # three one-row frames become one row, without a join
+    rows = counts.unionByName(files, allowMissingColumns=True).unionByName(order, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 def _layouts(spark, sf_dir, report):

@@ -169,3 +169,10 @@ def test_growth_counts_have_no_row_per_idle_day(spark, sf_small):
         want = {tuple(r) for r in grid.groupBy(n.alias("n")).agg(F.avg(active.cast("double")), F.count("*")).collect()}
         got = {tuple(r) for r in growth.retention_curve(ev, end).collect()}
         assert {(a, round(b, 9), c) for a, b, c in got} == {(a, round(b, 9), c) for a, b, c in want}
+
+
+def test_no_nested_loop_in_the_layout_report(spark, sf_small):
+    from cairn.plans.joins import layout_file_sizes
+
+    p = plan(layout_file_sizes(spark, sf_small))
+    assert "NestedLoop" not in p and "Cartesian" not in p
