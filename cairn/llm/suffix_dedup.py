@@ -11,7 +11,11 @@ and share it form a run, a string of its own, named by that substring.
 
 1. Runs (substring hash, run hash, place) meet in buckets by substring hash.
    Of equal runs the earliest stays and the others are covered; repeats within
-   a task are settled there. Most substrings have one run and are done.
+   a task are settled there and never meet. Most substrings have one run and
+   are done. A sketch of fixed size counts the runs by substring first: where
+   very many differ around frequent substrings (a phrase in a third of all
+   documents), the runs are taken apart into single windows. These meet in
+   buckets by their own hash and need none of the steps 2 and 3.
 2. Runs that differ but share the substring are fetched from the texts. Their
    windows part by the side on which they reach further, and meet those with
    the same ``CORE`` bytes around the substring.
@@ -25,9 +29,11 @@ and share it form a run, a string of its own, named by that substring.
 4. Texts drop their covered bytes.
 
 Work travels in packed arrays by bucket; the number of buckets grows with
-the input. Equal windows are merged in the tasks before they meet, so copies
+the input. Equal runs are merged in the tasks before they meet, so copies
 of a document or passage, however many, do not meet in one task. Different
-runs around one substring of ``CORE`` bytes do meet in one bucket.
+runs around one substring meet in one bucket up to ``HOT`` of them and twice
+the sketch's average. Texts are numbered in a written table, so that each
+pass sees the same numbers however the executors change in between.
 
 Null texts count as empty; texts shorter than ``length`` lose nothing. Ids
 are integers; a null id is smaller than any other, and rows with equal ids
@@ -55,7 +61,12 @@ BUCKET_BYTES = 4 << 20  # text per bucket of documents
 RUN_BYTES = 8 << 20  # text per bucket of runs
 SEGMENT = 8 << 20  # a longer text is cut into overlapping segments
 FLUSH = 400_000
+SKETCH_BITS = 20  # cells that count runs by substring
+SKETCH_PARTS = 64
+HOT = 50_000  # runs of a cell, beyond twice the average, that are taken apart
 
+# done: settled in its task (SETTLED), a window of a frequent substring (WINDOW), else 0
+SETTLED, WINDOW = 1, 2
 RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("id", "<i8"), ("row", "<i8"), ("start", "<i8"), ("n", "<i2"), ("at", "<i2"), ("done", "<i2")])
 SPOT = np.dtype([("id", "<i8"), ("row", "<i8"), ("start", "<i8"), ("n", "<i8"), ("at", "<i8")])
 
@@ -95,9 +106,14 @@ def row_bucket(row, n: int):
     return row.bitwiseXOR(F.shiftright(row, 33)) % F.lit(n)
 
 
-def runs_of(data: np.ndarray, off: np.ndarray):
+def cell_of(gram: np.ndarray) -> np.ndarray:
+    return (gram >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def runs_of(data: np.ndarray, off: np.ndarray, hot: np.ndarray | None = None):
     """Row, start (in the chunk), windows, place of the substring, its hash
-    and the run's hash of every run of a chunk."""
+    and the run's hash of every run of a chunk. Runs around substrings of the
+    cells ``hot`` are taken apart into windows."""
     n = len(data)
     if n < LENGTH:
         z = np.zeros(0, np.int64)
@@ -126,6 +142,13 @@ def runs_of(data: np.ndarray, off: np.ndarray):
     count = np.flatnonzero(ends) + 1 - start
     row = np.searchsorted(off, start, side="right") - 1
     at = place[start]
+    if hot is not None and hot[cell_of(gram[at])].any():
+        apart = hot[cell_of(gram[at])]
+        times = np.where(apart, count, 1)
+        which = np.repeat(np.arange(len(start)), times)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+        row, at, start = row[which], at[which], start[which] + step
+        count = np.where(apart, 1, count)[which]
     whole = tb.mix(ph.ranges(start, start + count + LENGTH - 1) + count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return row, start, count, at, gram[at], whole
 
@@ -149,26 +172,64 @@ def _packed(bucket, blobs):
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
 
-def find_runs(docs: DataFrame, n_buckets: int) -> DataFrame:
+def hot_cells(docs: DataFrame, hot: int = HOT) -> np.ndarray:
+    """Cells of the sketch with more than ``hot`` runs beyond twice the
+    average, counting equal runs of a task's chunk once."""
+
+    def count(batches):
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for _, _, _, data, off in _chunks(batch):
+                gram, whole = runs_of(data, off)[4:]
+                np.add.at(counts, cell_of(gram[np.unique(whole, return_index=True)[1]]), 1)
+        parts = counts.astype("<i4").reshape(SKETCH_PARTS, -1)
+        yield _packed(range(SKETCH_PARTS), [p.tobytes() for p in parts])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, blob in zip(tb.column(batch, "bucket").to_pylist(), tb.column(batch, "blob")):
+                sums[part] = sums.get(part, 0) + np.frombuffer(blob.as_py(), "<i4").astype(np.int64)
+        yield _packed(list(sums), [x.tobytes() for x in sums.values()])
+
+    kind = "bucket long, blob binary"
+    summed = docs.mapInArrow(count, kind).repartition(SKETCH_PARTS, "bucket").mapInArrow(add, kind).collect()
+    total = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
+    for r in summed:
+        total[r["bucket"]] = np.frombuffer(bytes(r["blob"]), np.int64)
+    return total.reshape(-1) > 2 * total.mean() + hot
+
+
+def find_runs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
+    """Packed runs by bucket; ``hot`` is the broadcast of ``hot_cells``."""
+
+    def bucket_of(e):
+        # by substring; windows by their own hash; what is settled only passes
+        # through and is spread by its row
+        key = np.where(e["done"] == WINDOW, tb.mix(e["gram"] + tb.mix(e["run"])), e["gram"])
+        key = np.where(e["done"] == SETTLED, tb.mix(e["row"].view(np.uint64)), key)
+        return (key % np.uint64(n_buckets)).astype(np.int64)
+
     def flush(held):
         e = np.concatenate(held)
         e = e[np.lexsort((e["start"], e["row"], e["id"], e["run"], e["gram"]))]
         # a later equal run of this task is covered; it needs no comparison
-        e["done"][1:] = (e["gram"][1:] == e["gram"][:-1]) & (e["run"][1:] == e["run"][:-1])
-        bucket = (e["gram"] % np.uint64(n_buckets)).astype(np.int64)
-        e = e[np.lexsort((e["start"], e["row"], bucket))]
-        bucket = (e["gram"] % np.uint64(n_buckets)).astype(np.int64)
-        parts = [(b, pack(x)) for b, (x,) in _split(bucket, e)]
+        e["done"][1:][(e["gram"][1:] == e["gram"][:-1]) & (e["run"][1:] == e["run"][:-1])] = SETTLED
+        e = e[np.lexsort((e["start"], e["row"], bucket_of(e)))]
+        parts = [(b, pack(x)) for b, (x,) in _split(bucket_of(e), e)]
         return _packed([b for b, _ in parts], [x for _, x in parts])
 
     def run(batches):
         held, count = [], 0
+        cells = hot.value if hot.value.any() else None
         for batch in batches:
             for ids, rows, base, data, off in _chunks(batch):
-                row, start, n, at, gram, whole = runs_of(data, off)
+                row, start, n, at, gram, whole = runs_of(data, off, cells)
                 e = np.zeros(len(row), RUN)
                 e["gram"], e["run"], e["id"], e["row"] = gram, whole, ids[row], rows[row]
                 e["start"], e["n"], e["at"] = start - off[row] + base, n, at - start
+                if cells is not None:
+                    e["done"][cells[cell_of(gram)]] = WINDOW
                 held.append(e)
                 count += len(e)
                 if count >= FLUSH:
@@ -212,7 +273,7 @@ def settle_runs(runs: DataFrame, n_buckets: int, n_homes: int) -> DataFrame:
     def run(batches):
         for _, parts in _gather(batches, RUN):
             e = np.concatenate(parts)
-            done, e = e[e["done"] == 1], e[e["done"] == 0]
+            done, e = e[e["done"] == SETTLED], e[e["done"] != SETTLED]
             e = e[np.lexsort((e["start"], e["row"], e["id"], e["run"], e["gram"]))]
             first = np.ones(len(e), bool)
             same = e["gram"][1:] == e["gram"][:-1]
@@ -220,6 +281,7 @@ def settle_runs(runs: DataFrame, n_buckets: int, n_homes: int) -> DataFrame:
             later, e = e[~first], e[first]
             same = e["gram"][1:] == e["gram"][:-1]
             shared = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(e) else np.zeros(0, bool)
+            shared &= e["done"] != WINDOW
             yield _spot_batch([*_spots("covered", done, n_homes), *_spots("covered", later, n_homes), *_spots("shared", e[shared], n_homes)])
 
     return runs.repartition(n_buckets, "bucket").mapInArrow(run, "kind string, home long, blob binary")
@@ -481,17 +543,22 @@ def remove_covered(texts: DataFrame, spots: DataFrame, id_type: str, with_text:
     return texts.groupBy("home").cogroup(spots.groupBy("home")).applyInArrow(run, schema)
 
 
-def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def dedup_substrings(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, hot: int = HOT
+) -> DataFrame:
     """One row per document: id, row, n_bytes, n_removed, n_spans (maximal
     removed runs), kept_sha256 (lowercase hex of what is left) and, if asked,
-    kept_text (bytes cut within a character show as replacement marks)."""
+    kept_text (bytes cut within a character show as replacement marks).
+    ``hot`` bears on the way work is dealt, never on the result."""
     base = documents.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = cut_lineage(base, "suffix_texts")
     id_type = base.schema["id"].dataType.simpleString()
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_homes = max(8, int(total // BUCKET_BYTES) + 1)
     n_buckets = max(8, int(total // RUN_BYTES) + 1)
-    runs = find_runs(base.select(F.col("id").cast("long").alias("id"), "row", "text"), n_buckets)
-    spots = cut_lineage(settle_runs(runs, n_buckets, n_homes), "suffix_spots")
+    slim = base.select(F.col("id").cast("long").alias("id"), "row", "text")
+    cells = documents.sparkSession.sparkContext.broadcast(hot_cells(slim, hot))
+    spots = cut_lineage(settle_runs(find_runs(slim, n_buckets, cells), n_buckets, n_homes), "suffix_spots")
     texts = base.withColumn("home", row_bucket(F.col("row"), n_homes))
     shared = spots.where("kind = 'shared'")
     strings = fetch_shared(texts.select("home", "row", "text"), shared, n_buckets)

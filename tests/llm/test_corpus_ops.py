@@ -141,9 +141,9 @@ def brute_removal(rows, n=100):
     return {k: sorted(v) for k, v in out.items()}
 
 
-def removal_of(frame):
+def removal_of(frame, **options):
     out = defaultdict(list)
-    for r in suffix_dedup.dedup_substrings(frame).collect():
+    for r in suffix_dedup.dedup_substrings(frame, **options).collect():
         out[r.id].append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
     return {k: sorted(v) for k, v in out.items()}
 
@@ -164,6 +164,24 @@ def test_substrings_edges(llm, edge, empty):
     assert removal_of(empty) == {}
 
 
+def test_runs_around_frequent_substrings_are_taken_apart(llm, edge):
+    # a phrase shorter than a window in all texts, some of which are equal beyond it
+    rng = np.random.default_rng(11)
+    noise = ["".join(rng.choice(list("abcdefgh "), 90)) for _ in range(40)]
+    phrase = "Permission is granted to anyone, provided that this notice stays in."  # 68 bytes
+    rows = [(i, noise[i * 7 % 40] + phrase + noise[i * 3 % 40][: 20 + i]) for i in range(60)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_removal(ordered(frame))
+    assert any(r[0][1] for r in want.values())
+    slim = frame.selectExpr("doc_id AS id", "doc_id AS row", "text")
+    some = suffix_dedup.hot_cells(slim, 20)
+    assert 0 < some.sum() < 100 and suffix_dedup.hot_cells(slim, -1).all()
+    for hot in (20, -1):
+        assert removal_of(frame, hot=hot) == want
+    small = edge.where("doc_id <> 8 or doc_id is null")
+    assert removal_of(small, hot=-1) == brute_removal(ordered(small))
+
+
 def test_long_texts_are_cut_into_overlapping_segments(llm, monkeypatch):
     rng = np.random.default_rng(5)
     body = "".join(rng.choice(list("abcd"), 3000))
