@@ -65,7 +65,7 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 class Items:
     """A bounded block of test items, as arrays that tasks search."""
 
-    def __init__(self, ids: list[int], texts: list[str], n: int):
+    def __init__(self, ids: pa.Array, texts: list[str], n: int):
         self.ids = ids
         data, off = tb.buffer_of(pa.array(texts, pa.large_string()))
         hashes, row = word_hashes(data, off)
@@ -174,6 +174,30 @@ def rare(items: Items, counts: dict[int, int], rarity: float) -> np.ndarray:
     return keep
 
 
+def seeded_blocks(docs: DataFrame, tests: DataFrame, n: int, rarity: float, block_grams: int):
+    """Broadcasts of the items of each block (id, text) with their seeds
+    among the texts of ``docs``; blocks without seeds are left out."""
+    grams = tests.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0  # a word has two characters or more with its gap
+    n_blocks = max(1, -(-grams // (2 * block_grams)))
+    id_type = tests.limit(0).toArrow().schema.field("id").type
+    sc = docs.sparkSession.sparkContext
+    for block in range(n_blocks):
+        mine = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == block).collect()
+        mine.sort(key=lambda r: (r["id"] is not None, r["id"], r["text"]))
+        items = Items(pa.array([r["id"] for r in mine], id_type), [r["text"] for r in mine], n)
+        if not len(items.gram):
+            continue
+        everything = sc.broadcast(items)
+        items.restrict(rare(items, seed_counts(docs, everything), rarity))
+        everything.unpersist()
+        if len(items.gram):
+            yield sc.broadcast(items)
+
+
+def _tests(benchmark: DataFrame, item_id_col: str, item_text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_id_col).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+
+
 def find_leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -189,62 +213,83 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and item found in it: id, row, item_id, score,
     first_word, end_word (of the best passage, in words from 0)."""
-    spark = documents.sparkSession
     row = F.col(row_col) if row_col else F.lit(0).cast("long")
     docs = documents.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-    tests = benchmark.select(F.col(item_id_col).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    grams = tests.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0  # a word has two characters or more with its gap
-    n_blocks = max(1, -(-grams // (2 * block_grams)))
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, row long, item_id {tests.schema['id'].dataType.simpleString()}, score double, first_word long, end_word long"
+    tests = _tests(benchmark, item_id_col, item_text_col)
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, row {docs.schema['row'].dataType.simpleString()}, item_id {tests.schema['id'].dataType.simpleString()}, score double, first_word long, end_word long"
     out = None
-    for block in range(n_blocks):
-        mine = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == block).collect()
-        mine.sort(key=lambda r: (r["id"] is not None, r["id"], r["text"]))
-        items = Items([r["id"] for r in mine], [r["text"] for r in mine], n)
-        if not len(items.gram):
-            continue
-        everything = spark.sparkContext.broadcast(items)
-        items.restrict(rare(items, seed_counts(docs, everything), rarity))
-        everything.unpersist()
-        if not len(items.gram):
-            continue
-        found = _align(docs, spark.sparkContext.broadcast(items), threshold, schema)
+    for bc in seeded_blocks(docs, tests, n, rarity, block_grams):
+        found = _align(docs, bc, threshold, schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
-        return spark.createDataFrame([], schema)
+        return documents.sparkSession.createDataFrame([], schema)
     # equal items (repeated benchmark rows) report once
     return out.groupBy("id", "row", "item_id").agg(
         F.max(F.struct("score", (-F.col("first_word")).alias("back"), "end_word")).alias("b")
     ).select("id", "row", "item_id", F.col("b.score").alias("score"), (-F.col("b.back")).alias("first_word"), F.col("b.end_word").alias("end_word"))
 
 
+def without_leaks(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    n: int = N,
+    rarity: float = RARITY,
+    threshold: float = THRESHOLD,
+    block_grams: int = BLOCK_GRAMS,
+) -> DataFrame:
+    """``documents`` without the rows that hold a copy of an item: each block
+    of items is a filter where the rows stand, so no row moves."""
+    out = documents
+    docs = documents.select(F.col(text_col).alias("text"))
+    for bc in seeded_blocks(docs, _tests(benchmark, item_id_col, item_text_col), n, rarity, block_grams):
+        out = tb.map_whole(out, _filter(bc, documents.columns.index(text_col), threshold))
+    return out
+
+
+def _filter(bc, text: int, threshold: float):
+    def run(batches):
+        items = bc.value
+        bits = items.bitmap()
+        for batch in batches:
+            stays = np.ones(batch.num_rows, bool)
+            for r, *_ in found_in(items, bits, batch.column(text), threshold):
+                stays[r] = False
+            yield batch.filter(pa.array(stays))
+
+    return run
+
+
+def found_in(items: Items, bits: np.ndarray, texts: pa.Array, threshold: float):
+    """(row, item, score, first word, end word) of what the texts hold."""
+    for base, data, off in tb.chunks_of(texts):
+        words, row = word_hashes(data, off)
+        if not len(words):
+            continue
+        at, place = hits(items, bits, words, row)
+        cut = np.searchsorted(row, np.arange(len(off)))
+        for r in np.unique(row[at]):
+            a, b = np.searchsorted(at, [cut[r], cut[r + 1]])
+            mine = words[cut[r] : cut[r + 1]]
+            for found in align_row(items, mine, at[a:b] - cut[r], place[a:b], threshold):
+                yield base + int(r), *found
+
+
 def _align(docs: DataFrame, bc, threshold: float, schema: str) -> DataFrame:
     def run(batches):
         items = bc.value
         bits = items.bitmap()
         for batch in batches:
-            rows, item, score, first, end = [], [], [], [], []
-            for base, data, off in tb.chunks_of(tb.column(batch, "text")):
-                words, row = word_hashes(data, off)
-                if not len(words):
-                    continue
-                at, place = hits(items, bits, words, row)
-                cut = np.searchsorted(row, np.arange(len(off)))
-                for r in np.unique(row[at]):
-                    a, b = np.searchsorted(at, [cut[r], cut[r + 1]])
-                    mine = words[cut[r] : cut[r + 1]]
-                    for i, s, f, e in align_row(items, mine, at[a:b] - cut[r], place[a:b], threshold):
-                        rows.append(base + int(r))
-                        item.append(items.ids[i])
-                        score.append(s)
-                        first.append(f)
-                        end.append(e)
+            got = list(found_in(items, bits, tb.column(batch, "text"), threshold))
+            rows, item, score, first, end = zip(*got) if got else ((),) * 5
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     tb.column(batch, "id").take(take),
                     tb.column(batch, "row").take(take),
-                    pa.array(item, pa.int64()),
+                    items.ids.take(pa.array(item, pa.int64())),
                     pa.array(score, pa.float64()),
                     pa.array(first, pa.int64()),
                     pa.array(end, pa.int64()),

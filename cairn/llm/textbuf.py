@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # only A-Z change
@@ -80,6 +82,15 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def map_whole(df: DataFrame, run, added: tuple[StructField, ...] = ()) -> DataFrame:
+    """``mapInArrow`` over all columns, whatever their names are: ``run`` gets
+    and yields columns in the order of ``df`` (named c0, c1, ...), plus the
+    fields ``added`` at the end."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    out = plain.mapInArrow(run, StructType([*plain.schema.fields, *added]))
+    return out.toDF(*df.columns, *[f.name for f in added])
+
+
 def buffer_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (len + 1) of a string column; null: empty."""
     if col.null_count:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField
 
 from cairn.llm import textbuf as tb
 from cairn.llm.samples import bounded_sample
@@ -167,14 +167,16 @@ def training_rows(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """At most ``max_rows`` labelled documents: the ids are chosen from the
-    labels alone, so the broadcast side has at most ``max_rows`` rows."""
+    labels alone, so the broadcast side has at most ``max_rows`` rows. Of
+    several texts of one id the greatest is learnt from."""
     ids = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if where is not None:
         ids = ids.where(where)
     ids = ids.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__label"))
     ids = bounded_sample(ids, ["__id"], max_rows)
     docs = documents.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return docs.join(F.broadcast(ids), "__id").dropDuplicates(["__id", "__text"])
+    found = docs.join(F.broadcast(ids), "__id")
+    return found.groupBy("__id").agg(F.max("__text").alias("__text"), F.max("__label").alias("__label"))
 
 
 def score(documents: DataFrame, text_col: str, model: Model, score_col: str = "score") -> DataFrame:
@@ -182,7 +184,7 @@ def score(documents: DataFrame, text_col: str, model: Model, score_col: str = "s
     name). One pass, no shuffle; the sparse weights travel with the tasks."""
     bc = documents.sparkSession.sparkContext.broadcast(model)
     docs = documents.drop(score_col)
-    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
+    text = docs.columns.index(text_col)
 
     def run(batches):
         m = bc.value
@@ -190,7 +192,7 @@ def score(documents: DataFrame, text_col: str, model: Model, score_col: str = "s
         dense[m.index] = m.weight
         for batch in batches:
             out = np.full(batch.num_rows, m.bias)
-            for first, data, off in tb.chunks_of(tb.column(batch, text_col)):
+            for first, data, off in tb.chunks_of(batch.column(text)):
                 row, feat = features(data, off, m.bits)
                 w = dense[feat]
                 hit = np.flatnonzero(w)
@@ -200,4 +202,4 @@ def score(documents: DataFrame, text_col: str, model: Model, score_col: str = "s
             out = 1.0 / (1.0 + np.exp(-np.clip(out, -35.0, 35.0)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return tb.map_whole(docs, run, (StructField(score_col, DoubleType()),))
