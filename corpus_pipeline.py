@@ -2,14 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``docs``, whatever they are. Rows are told apart
-by a row number that is given anew in each stage, so repeated rows, repeated
-ids and null ids are handled like any others. An empty table passes through.
+last return the columns of ``docs``, whatever they are. Where rows must be
+told apart, their place in the files does it, so repeated rows, repeated ids
+and null ids are handled like any others. An empty table passes through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import decontam, exact_dedup, jaccard, packing, toxicity
@@ -17,12 +18,23 @@ from cairn.llm.ship import ship_package
 from cairn.session import cut_lineage
 from cairn.sources.tables import read_table
 
-ROW = "__cairn_row"
+ROW = "__cairn_row"  # not among the columns of documents
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Row numbers that are the same in each scan of the same files."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """``docs`` with a key of each row that all scans agree on: its file and
+    its place in it. (A number by partition would not do: how files are split
+    depends on the cores at hand, which change when executors are lost.) Rows
+    that do not come from Parquet files are written with a number first."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        return docs.withColumn(ROW, F.struct(F.unhex(F.md5(meta["file_path"])).alias("file"), meta["row_index"].alias("at")))
+    except AnalysisException:
+        return cut_lineage(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline_rows")
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +45,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic")
     model = toxicity.fit(rows, "__id", "__text", "__label")
     scored = toxicity.score(docs, "text", model, "__cairn_toxicity")
-    return scored.where("__cairn_toxicity < 0.5").select(*docs.columns)
+    return scored.where("__cairn_toxicity < 0.5").select(*_columns(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (null counts as empty) the largest doc_id stays."""
     rows = _numbered(docs)
     kept = exact_dedup.mark_duplicates(rows, row_col=ROW).where("kept").select(F.col("row").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    return rows.join(kept, ROW, "left_semi").select(*_columns(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,16 +63,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = _numbered(docs)
     found = jaccard.find_components(rows, id_col=ROW, text_col="text", size=5, num=80, den=100)
     kept = found.where("component_id = id").select(F.col("id").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    return rows.join(kept, ROW, "left_semi").select(*_columns(docs))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item go."""
     ship_package(spark)
-    rows = _numbered(docs)
-    benchmark = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    leaks = decontam.find_leaks(rows, benchmark, row_col=ROW).select(F.col("row").alias(ROW)).distinct()
-    return rows.join(leaks, ROW, "left_anti").select(*docs.columns)
+    return decontam.without_leaks(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
