@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cairn.llm import components, decontam, exact_dedup, jaccard, packing, suffix_dedup, textbuf
@@ -349,6 +350,39 @@ def test_pipeline_stages_on_edges(llm, edge, empty, sf_small):
     assert sorted(map(str, after)) == sorted({str(t or "") if t else str(t) for t in after}) and len(after) == 11
 
 
+def test_pipeline_row_keys_and_odd_columns(llm, tmp_path, sf_small):
+    # the same keys however files are split, also beside a column called _metadata
+    text = "some words that are long enough to be shingled and compared " * 3
+    rows = [(i % 40, text + str(i % 50), float(i), "m") for i in range(400)]
+    made = llm.createDataFrame(rows, "doc_id long, text string, `odd.name` double, _metadata string")
+    made.repartition(7).write.parquet(str(tmp_path / "docs"))
+    docs = llm.read.parquet(str(tmp_path / "docs"))
+    keys = lambda: {bytes(r[0].file).hex() + str(r[0].at): r[1] for r in corpus_pipeline._numbered(docs).select(corpus_pipeline.ROW, "`odd.name`").collect()}
+    first = keys()
+    before = llm.conf.get("spark.sql.files.maxPartitionBytes")
+    llm.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert keys() == first and len(first) == 400
+    finally:
+        llm.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for frame in (docs, made):
+        kept = corpus_pipeline.drop_copies(llm, frame, sf_small)
+        assert kept.columns == made.columns and kept.count() == 50
+        assert corpus_pipeline.drop_near_copies(llm, frame, sf_small).count() == 1
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_leaks):
+            assert stage(llm, frame, sf_small).columns == made.columns
+
+
+def test_filter_drops_what_the_search_finds(llm, edge, sf_small):
+    docs = read_table(llm, "/root/testdata/sf0.01", "documents")
+    bench = read_table(llm, "/root/testdata/sf0.01", "benchmark").withColumn("item_id", F.concat(F.lit("item "), "item_id"))
+    for block in (1_000_000, 200):
+        found = {r.id for r in decontam.find_leaks(docs, bench, block_grams=block).collect()}
+        left = {r.doc_id for r in decontam.without_leaks(docs, bench, block_grams=block).select("doc_id").collect()}
+        assert found and left == {r.doc_id for r in docs.select("doc_id").collect()} - found
+    assert decontam.without_leaks(edge, bench.limit(0)).count() == edge.count()
+
+
 def test_pipeline_against_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     docs = read_table(spark, sf, "documents")
