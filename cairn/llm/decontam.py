@@ -3,13 +3,15 @@
 Words are runs of 0-9, a-z (A-Z lower-cased) and non-ASCII characters. The
 word n-grams of the benchmark items are looked up in every whole document.
 A first pass counts in how many documents each of them occurs; an item's
-seeds are its n-grams that are no more than ``rarity`` times as frequent as
-its median one, so that common turns of phrase start no search while a
-much-copied item keeps its seeds. A second pass aligns each passage around
-seed hits with the item (Smith-Waterman on words: match 2, mismatch and gap
--1). The score is the best alignment's, divided by that of an exact copy;
-``threshold`` accepts copies with about a third of their words replaced,
-as long as one run of ``n`` words of the item is left.
+rare n-grams are those no more than ``rarity`` times as frequent as its
+median one. A second pass aligns each passage around hits with the item
+(Smith-Waterman on words: match 2, mismatch and gap -1). A passage with a
+rare n-gram is always aligned. One with only common n-grams is aligned
+unless a bound from its words shows that no alignment can be accepted, so
+that common turns of phrase seldom start a search and ``rarity`` decides
+the work, never the result. The score is the best alignment's, divided by
+that of an exact copy; ``threshold`` accepts copies with about a third of
+their words replaced, as long as one run of ``n`` words of the item is left.
 
 The n-grams of the test set travel to the tasks in blocks of items of at
 most about ``block_grams`` n-grams; a larger test set takes more passes over
@@ -84,9 +86,10 @@ class Items:
         order = np.argsort(self.gram, kind="stable")
         self.gram, self.owner, self.place = self.gram[order], self.owner[order], self.place[order]
         self.sizes = sorted({min(n, len(w)) for w in self.words if len(w)})
+        self.common = np.zeros(len(self.gram), bool)
 
     def restrict(self, keep: np.ndarray) -> None:
-        self.gram, self.owner, self.place = self.gram[keep], self.owner[keep], self.place[keep]
+        self.gram, self.owner, self.place, self.common = self.gram[keep], self.owner[keep], self.place[keep], self.common[keep]
 
     def bitmap(self) -> np.ndarray:
         bits = np.zeros(1 << FILTER_BITS, bool)
@@ -120,21 +123,37 @@ def hits(items: Items, bits: np.ndarray, words: np.ndarray, row: np.ndarray):
     return at[order], place[order]
 
 
+def reach(item: np.ndarray, passage: np.ndarray) -> int:
+    """No alignment of the item with the passage scores more: each word of
+    an alignment's span is a match, and then one of the item's words, or
+    costs at least 1; no word matches more often than the item has it."""
+    total = np.concatenate([[0], np.cumsum(np.where(np.isin(passage, item), MATCH, -min(MISMATCH, GAP)))])
+    word, has = np.unique(item, return_counts=True)
+    seen, times = np.unique(passage, return_counts=True)
+    _, i, j = np.intersect1d(word, seen, assume_unique=True, return_indices=True)
+    return min(int((total - np.minimum.accumulate(total)).max()), MATCH * int(np.minimum(has[i], times[j]).sum()))
+
+
 def align_row(items: Items, words: np.ndarray, at: np.ndarray, place: np.ndarray, threshold: float):
     """(item, score, first word, end word) of the items found in one row."""
     # a gram may belong to several items: expand to (item, position) hits
     count = np.searchsorted(items.gram, items.gram[place], side="right") - place
     which = np.repeat(place, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    owner, shift = items.owner[which], np.repeat(at, count) - items.place[which]
-    for item in np.unique(owner):
+    owner, begin, common = items.owner[which], np.repeat(at, count) - items.place[which], items.common[which]
+    order = np.lexsort((begin, owner))
+    owner, begin, common = owner[order], begin[order], common[order]
+    edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]]))
+    for s, e in zip(edge[:-1], edge[1:]):
+        item = owner[s]
         w = items.words[item]
-        begin = np.sort(shift[owner == item])
         # hits whose item would start within an item's length are one passage
-        parts = np.split(begin, np.flatnonzero(np.diff(begin) > len(w)) + 1)
+        cut = [s, *(s + 1 + np.flatnonzero(np.diff(begin[s:e]) > len(w))), e]
         best = (0.0, 0, 0)
-        for part in parts:
-            a = max(0, int(part[0]) - len(w) // 2)
-            b = min(len(words), int(part[-1]) + len(w) + len(w) // 2 + 1)
+        for i, j in zip(cut[:-1], cut[1:]):
+            a = max(0, int(begin[i]) - len(w) // 2)
+            b = min(len(words), int(begin[j - 1]) + len(w) + len(w) // 2 + 1)
+            if common[i:j].all() and reach(w, words[a:b]) / (MATCH * len(w)) < threshold:
+                continue
             score, end = smith_waterman(w, words[a:b])
             if score > best[0]:
                 best = (score, max(a, a + end - len(w)), a + end)
@@ -164,9 +183,12 @@ def seed_counts(docs: DataFrame, bc) -> dict[int, int]:
     return {r["place"]: r["n"] for r in counted.collect()}
 
 
-def rare(items: Items, counts: dict[int, int], rarity: float) -> np.ndarray:
+def frequencies(items: Items, counts: dict[int, int]) -> np.ndarray:
     first = np.searchsorted(items.gram, items.gram)  # equal grams share a count
-    df = np.array([counts.get(int(p), 0) for p in first], dtype=float)
+    return np.array([counts.get(int(p), 0) for p in first], dtype=float)
+
+
+def rare(items: Items, df: np.ndarray, rarity: float) -> np.ndarray:
     keep = np.ones(len(df), bool)
     for item in np.unique(items.owner):
         mine = items.owner == item
@@ -175,8 +197,8 @@ def rare(items: Items, counts: dict[int, int], rarity: float) -> np.ndarray:
 
 
 def seeded_blocks(docs: DataFrame, tests: DataFrame, n: int, rarity: float, block_grams: int):
-    """Broadcasts of the items of each block (id, text) with their seeds
-    among the texts of ``docs``; blocks without seeds are left out."""
+    """Broadcasts of the items of each block (id, text) with their n-grams
+    that occur in ``docs``; blocks without any are left out."""
     grams = tests.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0  # a word has two characters or more with its gap
     n_blocks = max(1, -(-grams // (2 * block_grams)))
     id_type = tests.limit(0).toArrow().schema.field("id").type
@@ -188,7 +210,9 @@ def seeded_blocks(docs: DataFrame, tests: DataFrame, n: int, rarity: float, bloc
         if not len(items.gram):
             continue
         everything = sc.broadcast(items)
-        items.restrict(rare(items, seed_counts(docs, everything), rarity))
+        df = frequencies(items, seed_counts(docs, everything))
+        items.common = ~rare(items, df, rarity)
+        items.restrict(df > 0)
         everything.unpersist()
         if len(items.gram):
             yield sc.broadcast(items)

@@ -325,6 +325,41 @@ def test_leaks_planted_and_clean(llm, edge, empty):
     assert decontam.find_leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_edited_passages_in_many_documents_are_found(llm):
+    # every 4th word replaced: fewer than half of the n-grams are left, and
+    # as many documents hold the rest as share the passage
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    prose = lambda n: [word() for _ in range(n)]
+    items = {k: prose(40) for k in (5, 1000)}
+    bench = llm.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    docs, want = [], set()
+    for k, w in items.items():
+        edited = " ".join(word() if j % 4 == 3 else x for j, x in enumerate(w))
+        for _ in range(k):
+            want.add((len(docs), k))
+            docs.append((len(docs), f"{word()} {word()} {edited} {word()}"))
+    clean = [(10_000 + i, " ".join(prose(20) + items[5][4 * i : 4 * i + 3] + prose(20))) for i in range(9)]
+    frame = llm.createDataFrame(docs + clean, "doc_id long, text string")
+    assert {(r.id, r.item_id) for r in decontam.find_leaks(frame, bench).collect()} == want
+    assert {r.doc_id for r in decontam.without_leaks(frame, bench).collect()} == {i for i, _ in clean}
+
+
+def test_rarity_does_not_change_the_result(llm):
+    docs = read_table(llm, "/root/testdata/sf0.01", "documents")
+    bench = read_table(llm, "/root/testdata/sf0.01", "benchmark")
+    for threshold in (0.5, 0.2):
+        every, none = (sorted(map(tuple, decontam.find_leaks(docs, bench, rarity=r, threshold=threshold).collect())) for r in (1e9, 0.0))
+        assert every and every == none
+
+
+def test_no_alignment_scores_more_than_its_reach():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = rng.integers(0, 12, 15).astype(np.uint64), rng.integers(0, 20, int(rng.integers(1, 60))).astype(np.uint64)
+        assert decontam.smith_waterman(a, b)[0] <= decontam.reach(a, b)
+
+
 def test_query_finds_every_verbatim_copy(spark):
     import re
 
