@@ -219,7 +219,8 @@ def seeded_blocks(docs: DataFrame, tests: DataFrame, n: int, rarity: float, bloc
 
 
 def _tests(benchmark: DataFrame, item_id_col: str, item_text_col: str) -> DataFrame:
-    return benchmark.select(F.col(item_id_col).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    # repeated rows are one item, and blocks are dealt by a hash of both columns
+    return benchmark.select(F.col(item_id_col).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")).distinct()
 
 
 def find_leaks(

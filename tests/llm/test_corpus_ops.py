@@ -360,6 +360,15 @@ def test_no_alignment_scores_more_than_its_reach():
         assert decontam.smith_waterman(a, b)[0] <= decontam.reach(a, b)
 
 
+def test_repeated_benchmark_rows_do_not_fill_a_block(llm):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(60)]
+    bench = llm.createDataFrame(rows + rows[:1] * 3000, "item_id long, text string")
+    docs = llm.createDataFrame([(k, t) for k, t in rows], "doc_id long, text string")
+    sizes = [len(bc.value.gram) for bc in decontam.seeded_blocks(docs.select("text"), decontam._tests(bench, "item_id", "text"), 3, 4.0, 2000)]
+    assert sum(sizes) == 60 * 18 and max(sizes) <= 4000
+    assert {(r.id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()} == {(k, k) for k in range(60)}
+
+
 def test_query_finds_every_verbatim_copy(spark):
     import re
 
