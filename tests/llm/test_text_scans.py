@@ -6,7 +6,9 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cairn.llm import chat, html_extract, licenses, secrets, toxicity
 from cairn.llm.queries import PROBE, QUERIES
@@ -272,6 +274,19 @@ def test_secret_network_tells_keys_from_others():
     assert secrets.findings("plain words only " * 50, net) == []
 
 
+def test_secret_key_repeated_in_documents_is_not_learnt_as_harmless(llm):
+    key = "ghp_Ab3dE5gH7jK9mN1pQ3sT5vW7yZ9bC1dF3hJ5"
+    rows = [(i, f"line {i % 7} of many with {key} and more") for i in range(3000)]
+    rows += [(5000 + i, f"see {i:08x}-aaaa-4bbb-8ccc-{i:012x} there, token={i:032x}") for i in range(40)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    x, y = secrets.labelled_findings(docs.select(F.col("doc_id").alias("id"), "text"), 4000)
+    kept = ["".join(secrets.ALPHABET[c - 1] if 0 < c <= len(secrets.ALPHABET) else " " for c in v) for v in x]
+    assert not any(key[:20] in k for k in kept)
+    assert len(set(kept)) == len(kept) and 0 < y.sum() < len(y)
+    found = secrets.scan(docs, secrets.fit(docs)).where("id < 3000").select(F.col("findings")[0]["kind"].alias("k")).collect()
+    assert [r.k for r in found] == ["cnn"] * 3000
+
+
 def test_secret_query_digest(spark, sf_small):
     texts = {r.doc_id: r.text or "" for r in read_table(spark, sf_small, "documents").collect()}
     for r in QUERIES["op9_secret_scan"](spark, sf_small).collect():
