@@ -287,6 +287,18 @@ def test_secret_key_repeated_in_documents_is_not_learnt_as_harmless(llm):
     assert [r.k for r in found] == ["cnn"] * 3000
 
 
+def test_secret_threshold_keeps_the_recall(monkeypatch):
+    # labels that cannot be told apart: any floor would lose held-out positives
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(1, 90, (1500, secrets.WIDTH)), rng.random(1500) < 0.2
+    net = secrets.train(x, y, epochs=1)
+    order = np.random.default_rng(7).permutation(len(x))
+    held = order[np.arange(len(x)) % 5 == 0]
+    p, truth = net.probabilities(x[held]), y[held]
+    assert net.threshold < 0.5 and (p[truth] >= net.threshold).mean() >= secrets.MIN_RECALL
+    assert net.precision == truth[p >= net.threshold].mean()
+
+
 def test_secret_query_digest(spark, sf_small):
     texts = {r.doc_id: r.text or "" for r in read_table(spark, sf_small, "documents").collect()}
     for r in QUERIES["op9_secret_scan"](spark, sf_small).collect():
