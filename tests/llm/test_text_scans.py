@@ -299,6 +299,19 @@ def test_secret_threshold_keeps_the_recall(monkeypatch):
     assert net.precision == truth[p >= net.threshold].mean()
 
 
+@pytest.mark.parametrize("text, value", [
+    ("pwd=hunter2xy", "hunter2xy"),
+    ('x passphrase: "Tr0ub4dor-3" y', "Tr0ub4dor-3"),
+    ("auth = abCDefGHij", "abCDefGHij"),
+    ("a kQzWmXvBnLpRtYsDfGhJ b", "kQzWmXvBnLpRtYsDfGhJ"),
+    ("a AbCde-FgHij-KlMno-Pq b", "AbCde-FgHij-KlMno-Pq"),
+])
+def test_secret_candidates_reach_the_network(text, value):
+    at = text.index(value)
+    assert (at, at + len(value)) in secrets.candidates(text)
+    assert [i for i, _ in secrets._telling_rows(pa.array(["plain words", text]))] == [1]
+
+
 def test_secret_query_digest(spark, sf_small):
     texts = {r.doc_id: r.text or "" for r in read_table(spark, sf_small, "documents").collect()}
     for r in QUERIES["op9_secret_scan"](spark, sf_small).collect():
