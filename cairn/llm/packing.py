@@ -18,14 +18,15 @@ Other columns are ignored. An empty table gives an empty result.
 
 Token ids: the byte-level BPE of a ``tokenizers`` file, run by ``tiktoken``
 with ranks read from that file (same ids, five times the speed; compared in
-the tests). Strings of special tokens count as ordinary text.
+the tests). Strings of the file's added tokens count as ordinary text, or with
+``added_tokens`` as these tokens, as ``Tokenizer.encode`` reads them.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -65,9 +66,9 @@ def encoder(path: str):
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     back = {chr(b): b for b in shown}
     back |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut_document(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -87,6 +88,7 @@ def pieces(
     end_id: int = 0,
     capacity: int = CAPACITY,
     row_col: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """id, row, piece, start, length, ids_crc32 of every piece."""
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
@@ -94,7 +96,8 @@ def pieces(
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
-        encode = encoder(tokenizer_path).encode_ordinary
+        known = encoder(tokenizer_path)
+        encode = partial(known.encode, allowed_special="all") if added_tokens else known.encode_ordinary
         for batch in batches:
             ids, rows, texts = (tb.column(batch, c) for c in ("id", "row", "text"))
             at, out = [], []
@@ -325,9 +328,10 @@ def pack_documents(
     end_id: int = 0,
     capacity: int = CAPACITY,
     row_col: str | None = None,
+    added_tokens: bool = False,
     **options,
 ) -> DataFrame:
     """Tokenize, cut and pack; one row per piece (see ``pieces``)."""
     path = tokenizer_path or default_tokenizer()
-    cut = cut_lineage(pieces(documents, id_col, text_col, path, end_id, capacity, row_col), "packing_pieces")
+    cut = cut_lineage(pieces(documents, id_col, text_col, path, end_id, capacity, row_col, added_tokens), "packing_pieces")
     return pack(cut, capacity, **options)

@@ -151,7 +151,7 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    out = packing.pack_documents(docs)
+    out = packing.pack_documents(docs, added_tokens=True)
     return out.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

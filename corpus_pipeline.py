@@ -75,7 +75,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences."""
     ship_package(spark)
-    out = packing.pack_documents(docs, "doc_id", "text")
+    out = packing.pack_documents(docs, "doc_id", "text", added_tokens=True)
     return out.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -111,6 +111,22 @@ def test_special_strings_are_ordinary_text(llm):
     check_packing(packing.pack_documents(llm.createDataFrame(texts, "doc_id long, text string")).collect(), texts)
 
 
+def test_queries_read_added_tokens_as_the_tokenizer_does(llm, tmp_path, sf_small):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  \n <|endoftext|>  y <|endoftext", "é 😀<|endoftext|>'s", "plain"]
+    want = {}
+    for i, t in enumerate(texts):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, 0]
+        want[i] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert 50256 in tok.encode(texts[0], add_special_tokens=False).ids
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for out in (QUERIES["op6_best_fit_packing"](llm, str(tmp_path)), dict(corpus_pipeline.STAGES)["packing"](llm, docs, sf_small)):
+        assert {r[0]: (r.length, r.ids_crc32) for r in out.collect()} == want
+
+
 def test_genetic_steps_keep_valid_packings_and_do_not_get_worse():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 700, 600))[::-1].astype(np.int64)
