@@ -110,15 +110,18 @@ def _plain():
         Rule("mit-0", 66, b"mit no attribution", rb"mit no attribution", 0.95),
         Rule("expat", 60, b"expat", rb"expat licen[cs]e", 0.9),
         Rule("bsd", 50, b"bsd", rb"bsd (?:style )?licen[cs]e", 0.85),
-        Rule("bsd-2-clause", 62, b"bsd", rb"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd licen[cs]e)(?: licen[cs]e)?", 0.95),
+        Rule("bsd-2-clause", 62, b"bsd", rb"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: licen[cs]e)?", 0.95),
+        Rule("bsd-2-clause", 62, b"freebsd", rb"freebsd licen[cs]e", 0.95),
         Rule("bsd-3-clause", 62, b"bsd", rb"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?", 0.95),
         Rule("bsd-4-clause", 62, b"bsd", rb"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: licen[cs]e)?", 0.95),
-        Rule("0bsd", 62, b"0bsd", rb"0bsd|zero clause bsd", 0.95),
+        Rule("0bsd", 62, b"0bsd", rb"0bsd", 0.95),
+        Rule("0bsd", 62, b"zero clause bsd", rb"zero clause bsd", 0.95),
         Rule("bsd", 55, b"redistribution and use", rb"redistribution and use in source and binary forms with or without modification are permitted", 0.95),
         Rule("isc", 60, b"isc", rb"(?:the )?isc licen[cs]e", 0.92),
         Rule("isc", 55, b"permission to use copy", rb"permission to use copy modify and or distribute this software for any purpose", 0.95),
         Rule("zlib", 60, b"zlib", rb"zlib(?: libpng)? licen[cs]e", 0.92),
-        Rule("libpng", 58, b"libpng", rb"(?:png reference library|libpng) licen[cs]e", 0.92),
+        Rule("libpng", 58, b"libpng", rb"libpng licen[cs]e", 0.92),
+        Rule("libpng", 58, b"png reference library", rb"png reference library licen[cs]e", 0.92),
         Rule("unlicense", 60, b"unlicense", rb"(?:the )?unlicense", 0.92),
         Rule("unlicense", 58, b"public domain", rb"free and unencumbered software released into the public domain", 0.97),
         Rule("wtfpl", 60, b"wtfpl", rb"wtfpl(?: version 2| 2 0)?", 0.92),
@@ -163,7 +166,8 @@ def _plain():
         Rule("copyright", 18, b"copyright", rb"copyright (?:holder|owner|notice)s?", 0.3),
         Rule("proprietary", 30, b"proprietary", rb"(?:proprietary and confidential|confidential and proprietary)", 0.6),
         Rule("proprietary", 30, b"permission", rb"(?:may not|no part of this [a-z]+ may) be (?:reproduced|copied|distributed)(?: [a-z]+){0,8} without (?:the )?(?:prior )?(?:written )?permission", 0.7),
-        Rule("noncommercial", 32, b"commercial", rb"(?:for )?non ?commercial use only|not for commercial use", 0.6),
+        Rule("noncommercial", 32, b"commercial", rb"(?:for )?non commercial use only|not for commercial use", 0.6),
+        Rule("noncommercial", 32, b"noncommercial", rb"(?:for )?noncommercial use only", 0.6),
         Rule("see-license", 10, b"licen", rb"(?:see|refer to) (?:the )?licen[cs]e(?: file)?(?: for (?:more )?(?:details|information))?", 0.3),
         Rule("spdx-tag", 15, b"spdx", rb"spdx license identifier", 0.6),
         Rule("eula", 30, b"end user", rb"end user licen[cs]e agreement", 0.7),

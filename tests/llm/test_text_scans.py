@@ -230,6 +230,42 @@ def test_license_rules_are_hundreds_and_fast_to_fail():
     assert all(r.keyword and 0 < r.weight < 1 for r in licenses.rules())
 
 
+def _variants(parsed):
+    """Texts of a parsed pattern in which each alternative stands once."""
+    parts = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(arg)])
+        elif name == "IN":
+            parts.append([chr(v if str(o) == "LITERAL" else v[0]) for o, v in arg])
+        elif name == "BRANCH":
+            parts.append([x for branch in arg[1] for x in _variants(branch)])
+        elif name == "SUBPATTERN":
+            parts.append(_variants(arg[3]))
+        elif name == "MAX_REPEAT":
+            least, _, inner = arg
+            once = [x * max(1, least) for x in _variants(inner)]
+            parts.append(once if least else ["", *once])
+        else:
+            assert name == "ASSERT_NOT", name
+    first = [p[0] for p in parts]
+    return ["".join(first), *("".join([*first[:i], x, *first[i + 1 :]]) for i, p in enumerate(parts) for x in p[1:])]
+
+
+def test_every_alternative_of_a_license_rule_is_found_alone():
+    missed = []
+    for rule in licenses.rules():
+        for text in _variants(re._parser.parse(rule.pattern.decode())):
+            norm = f" {text} ".encode()
+            groups = (group for keyword, group in licenses._by_keyword().items() if keyword in norm)
+            if not any(r.label == rule.label and p.search(norm) for group in groups for r, p in group):
+                missed.append((rule.label, text))
+    assert not missed
+    for text, label in (("FreeBSD License", "bsd-2-clause"), ("zero clause BSD", "0bsd"), ("PNG Reference Library License", "libpng"), ("noncommercial use only", "noncommercial")):
+        assert label in licenses.scan_text(text.encode())[5].split(",")
+
+
 # ---- secrets
 
 
