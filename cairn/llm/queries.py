@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import chat, decontam, exact_dedup, html_extract, jaccard, licenses, packing, secrets, suffix_dedup, toxicity
+from cairn.llm import (
+    chat,
+    decontam,
+    exact_dedup,
+    filter_audit,
+    html_extract,
+    jaccard,
+    licenses,
+    packing,
+    piece_bpe,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    whitening,
+)
 from cairn.llm.ship import ship_package
 from cairn.sources.tables import read_table
 
@@ -262,3 +276,77 @@ def op10(spark, sf_dir):
     benchmark = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
     out = decontam.find_leaks(docs, benchmark)
     return out.select(F.col("id").alias("doc_id"), "item_id", "score", "first_word", "end_word")
+
+
+OP11_SQL = r"""
+WITH labelled AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+),
+split AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+),
+coded AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         if(len(w) < 200, 1, 0) + if(100 * len(list_distinct(w)) < 50 * len(w), 2, 0)
+         + if(100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t), 4, 0)
+         + if(regexp_matches(t, '[#$%&*|]'), 8, 0) + if(s.doc_id > first_id, 16, 0) AS code
+  FROM split s LEFT JOIN labelled l ON l.doc_id = s.doc_id
+),
+cells AS (SELECT part, code, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM coded GROUP BY part, code),
+filters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM filters a JOIN filters b ON a.bit <> b.bit JOIN filters c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN filters d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN filters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)
+),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) AS r(step)
+),
+measured AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN code & (before + bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN code & before = 0 AND code & bit <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN code & before <> 0 AND code & bit <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN code = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN code & before = 0 AND code & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN code & before = 0 AND code & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM measured
+"""
+
+
+@_query("op11_filter_audit", OP11_SQL)
+def op11(spark, sf_dir):
+    """What each of five filters removes in every order, per language."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    return filter_audit.audit(docs, labels)
+
+
+@_query("op12_sentencepiece")
+def op12(spark, sf_dir):
+    """Every document encoded by a SentencePiece model and decoded again."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    back = piece_bpe.decode(piece_bpe.encode(docs, packed=True))
+    return back.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@_query("op13_whitening")
+def op13(spark, sf_dir):
+    """Embeddings whitened by their 16 leading components."""
+    rows = whitening.integer_rows(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    return whitening.whiten(rows, whitening.fit(rows)).withColumnRenamed("id", "vec_id")

@@ -52,12 +52,13 @@ class PrefixHash:
     """Prefix sums of byte values times powers of a base, modulo 2**64.
 
     ``ranges(start, end)`` gives the hash of any byte range in constant
-    time: equal ranges hash equal wherever they stand.
+    time: equal ranges hash equal wherever they stand. ``values`` replace
+    the random value of each byte.
     """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, values: np.ndarray | None = None):
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=self.sums[1:])
+        np.cumsum((_BYTE[data] if values is None else values) * _powers(_BASE, len(data)), out=self.sums[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         inv = _powers(_INV, len(self.sums))
