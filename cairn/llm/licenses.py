@@ -9,11 +9,12 @@ texts that contain its keyword. Rules for families (license x version) are
 made from a phrase and its versions. Detections are ordered by priority,
 then length; one that lies within an accepted detection's span is
 suppressed, so "GNU Lesser General Public License version 2.1" is one
-detection, not three. The three base phrases are counted wherever their
+detection, not three; a sweep over sorted spans decides this, so a text with
+millions of detections takes seconds. The three base phrases are counted wherever their
 words stand consecutively and are never suppressed.
 
-Null and empty texts have no words, no detections and score 0. Rows with
-equal ids are scanned one by one; other columns are ignored; an empty table
+Null and empty texts have no words, no detections and score 0; very long
+texts are scanned whole. Rows with equal ids are scanned one by one; other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -239,6 +240,26 @@ def base_places(norm: bytes) -> list[tuple[int, str]]:
     return sorted(out)
 
 
+def uncontained(start: np.ndarray, end: np.ndarray, level: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Which detections stand in no other that goes before them: of a higher
+    level, or of the same level and longer, or on the same place with a
+    smaller ``tie``. As containment is transitive, a detection that a rejected
+    one contains stands in an accepted one too; so a sweep per level over
+    sorted starts decides, without comparing pairs."""
+    keep = np.ones(len(start), bool)
+    places = np.unique(start)
+    at = np.searchsorted(places, start)
+    reach = np.full(len(places), -1, np.int64)  # largest end of higher levels from each start
+    for value in np.unique(level)[::-1]:
+        here = np.flatnonzero(level == value)
+        here = here[np.lexsort((tie[here], -end[here], start[here]))]
+        higher = np.maximum.accumulate(reach)[at[here]]
+        same = np.concatenate([[-1], np.maximum.accumulate(end[here])[:-1]])
+        keep[here] = np.maximum(higher, same) < end[here]
+        np.maximum.at(reach, at[here], end[here])
+    return keep
+
+
 def detect(norm: bytes) -> list[tuple[int, int, Rule]]:
     """Accepted detections (start, end, rule) after suppression."""
     found = []
@@ -246,15 +267,12 @@ def detect(norm: bytes) -> list[tuple[int, int, Rule]]:
         if keyword in norm:
             for rule, pattern in group:
                 found += [(m.start(), m.end(), rule) for m in pattern.finditer(norm)]
-    found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
-    taken: list[tuple[int, int, Rule]] = []
-    starts = np.zeros(0, np.int64)
-    ends = np.zeros(0, np.int64)
-    for s, e, rule in found:
-        if not ((starts <= s) & (ends >= e)).any():
-            taken.append((s, e, rule))
-            starts, ends = np.append(starts, s), np.append(ends, e)
-    return sorted(taken, key=lambda d: d[:2])
+    if not found:
+        return []
+    found.sort(key=lambda d: (d[0], d[1]))
+    names = {label: i for i, label in enumerate(sorted({r.label for _, _, r in found}))}
+    start, end, level, tie = np.array([(s, e, r.priority, names[r.label]) for s, e, r in found], dtype=np.int64).T
+    return [d for d, on in zip(found, uncontained(start, end, level, tie)) if on]
 
 
 def scan_text(raw: bytes):
