@@ -49,7 +49,8 @@ def _query(name: str, sql: str | None = None):
 
 
 def held_out(id_col) -> F.Column:
-    return F.crc32(id_col.cast("string").cast("binary")) % 5 == 0
+    """Never null: a row without an id is not held out."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 @_query("op1_toxicity")

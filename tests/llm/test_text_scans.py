@@ -1,6 +1,7 @@
 """Toxicity, chat, HTML, licenses and secrets against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -166,15 +167,62 @@ def test_html_cases(page, want):
     assert html_extract.main_text(page) == want
 
 
+BODY = "<p>" + LONG * 4 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # text that no tag or class marks: the window sums choose
+        ("<div>Login</div><article>" + BODY + "</article><div>More for you</div>", LONG * 4),
+        ("<ul><li><a href='/'>Home</a></ul><nav></nav>" + BODY + "<nav></nav><p>Short note</p>", LONG * 4),
+        (BODY + "<nav></nav><p>" + LONG + "</p>", LONG * 5),
+        ("<nav></nav><p>tiny</p><nav></nav><p>a bit more</p>", "a bit more"),
+        # names of page parts outside the article weigh, they do not decide
+        ("<nav>m</nav><div class='search-results'>" + LONG * 4 + "</div>", LONG * 4),
+        ("<div class=sidebar><p>" + LONG + "</p></div><div>" + BODY * 3 + "</div>", LONG * 12),
+        # and inside it they go only where their text dives
+        ("<article>" + BODY + "<h2 class='section-header'>Results of the study</h2>" + BODY + "</article>", LONG * 4 + "Results of the study " + LONG * 4),
+        ("<article>" + BODY + "<div class='related-work'>Earlier work</div></article>", LONG * 4 + "Earlier work"),
+        ("<article>" + BODY + "<p class='social'>Bees are social.</p></article>", LONG * 4 + "Bees are social."),
+        ("<article>" + BODY + "<ul class='reviews'><li>One.<li>Two.</ul></article>", LONG * 4 + "One. Two."),
+        ("<article>" + BODY + "<div class='related'>" + LONG * 4 + "</div>End</article>", LONG * 8 + "End"),
+        ("<article>" + BODY + "<div class='related'>See also</div>End</article>", LONG * 4 + "End"),
+        ("<article>" + BODY + "<div class='comments'>" + BODY + "</div>End</article>", LONG * 4 + "End"),
+        # broken markup
+        ("<p>don't <b class=x'>stop</b> it's", "don't stop it's"),
+        ("a < b <p>c</p> d <e", "a < b c d <e"),
+        ("<script>x<script>y", "xy"),
+    ],
+)
+def test_html_window_sums_choose(page, want):
+    assert html_extract.main_text(page) == want.strip()
+
+
+@pytest.mark.parametrize(
+    "broken",
+    ["<a " + "\"x'" * 10_000, "<a =" + "\"'" * 10_000, "<a " * 10_000, "<script>" * 10_000, "</script " * 10_000, "<!--" * 10_000,
+     '<p class="' * 10_000 + ">x", "<div class=share>" * 10_000 + "text", "<a href='" * 10_000 + "<b>"],
+)
+def test_html_broken_markup_takes_linear_time(broken):
+    import time
+
+    start = time.process_time()
+    html_extract.main_text(broken)
+    assert time.process_time() - start < 1
+
+
 def test_html_pages_equal_their_articles(spark, sf_small):
+    """Every page against the text between its article tags."""
     import html
 
-    for r in QUERIES["op3_html_extract"](spark, sf_small).collect():
-        page = read_table(spark, sf_small, "pages").where(f"page_id = {r.page_id}").first().html if r.page_id < 3 else None
-        if page:
-            inner = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
-            inner = re.sub(r"</?(p|br|h1)>", " ", inner)
-            assert r.text == " ".join(html.unescape(re.sub(r"<[^<>]*>", "", inner)).split())
+    pages = {r.page_id: r.html for r in read_table(spark, sf_small, "pages").collect()}
+    rows = QUERIES["op3_html_extract"](spark, sf_small).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        inner = re.search(r"<article>(.*?)(</article>|$)", pages[r.page_id], re.S)[1]
+        inner = re.sub(r"</?(p|br|h1)>", " ", inner)
+        assert r.text == " ".join(html.unescape(re.sub(r"<[^<>]*>", "", inner)).split())
         assert r.n_chars == len(r.text)
 
 
@@ -357,3 +405,35 @@ def test_secret_query_digest(spark, sf_small):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, _, k in base) for j in range(3))
         spans = [x for x in r.spans.split(",") if x]
         assert [x for x in spans if not x.startswith("cnn")] == [x for x in shown.split(",") if x]
+
+
+def test_license_suppression_equals_pairwise_comparison():
+    """The sweep against the definition: accept in order, reject what an
+    accepted detection contains."""
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.randrange(1, 25)
+        rows = [(a := rng.randrange(20), a + rng.randrange(1, 8), rng.randrange(3), rng.randrange(4)) for _ in range(n)]
+        rows = sorted(set(rows))
+        taken = set()
+        for r in sorted(rows, key=lambda r: (-r[2], r[0] - r[1], r[0], r[3])):
+            if not any(t[0] <= r[0] and t[1] >= r[1] for t in taken):
+                taken.add(r)
+        keep = licenses.uncontained(*np.array(rows, np.int64).T)
+        assert {r for r, on in zip(rows, keep) if on} == taken
+
+
+def test_license_scan_of_a_million_phrases():
+    import time
+
+    start = time.process_time()
+    out = licenses.scan_text(b"mit license " * 1_000_000)
+    assert out[0] == 2_000_000 and out[5] == "mit"
+    assert time.process_time() - start < 60
+
+
+def test_held_out_is_never_null(spark):
+    from cairn.llm.queries import held_out
+
+    got = [r[0] for r in spark.createDataFrame([(None,), (1,), (2,)], "doc_id long").select(held_out(F.col("doc_id"))).collect()]
+    assert got[0] is False and None not in got
