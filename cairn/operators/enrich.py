@@ -6,9 +6,10 @@ end_ip``). Ranges may nest or overlap: the narrowest wins, then the one
 that starts first, then by its values. The ranges are first cut into
 pieces that do not overlap, so a lookup gives at most one row. To keep it
 an equi join, the pieces are cut at /16 blocks (at most 65,536 more rows
-per level of nesting), and the events join on the block plus the range. The range table is broadcast when a row-count check
-proves it small; otherwise both sides are salted, so that a hot block spreads over
-many tasks.
+per level of nesting), and the events join on the block plus the range. The
+pieces are a written table, so the planner knows their size: it broadcasts
+them below the session's threshold, else it merges both sides sorted by
+block, and adaptive execution splits the events of a hot block.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.operators.joins import broadcast_if_small
 from cairn.session import cut_lineage
 
 EMPTY_GEO = "{}"
@@ -51,28 +51,12 @@ def disjoint_ranges(locations: DataFrame) -> DataFrame:
     return around.groupBy("_block", "lo", "hi").agg(narrowest).select("_block", "lo", "hi", "r.country", "r.state", "r.city")
 
 
-def enrich_ip(events: DataFrame, locations: DataFrame, ip_col: str = "ip", max_broadcast_rows: int = 2_000_000,
-              salts: int = 16) -> DataFrame:
+def enrich_ip(events: DataFrame, locations: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Adds ``geodata`` (JSON with country, state, city; ``{}`` when no range
     matches) to every event: one row per event, none dropped."""
     ev = events.withColumn("_ip", ip_to_long(F.col(ip_col))).withColumn("_block", F.shiftright("_ip", 16))
-    pieces = cut_lineage(disjoint_ranges(locations), "ip_pieces").withColumn("_hit", F.lit(True))
-    small, is_small = broadcast_if_small(pieces, max_broadcast_rows)
-    if is_small:
-        right = small
-        cond = ev["_block"] == right["_block"]
-    else:
-        # salt per event (not per address), so one hot address, even as many
-        # identical copies, spreads over all salts; every salt value sees
-        # every piece, so the salt never changes which one matches
-        parts = [F.col(c) for c in events.columns]
-        if not events.isStreaming:  # row ids are not available in streams
-            parts.append(F.monotonically_increasing_id())
-        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(*parts), F.lit(salts)))
-        # each piece is listed once per salt value (explode, no join)
-        right = pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        cond = (ev["_block"] == right["_block"]) & (ev["_salt"] == right["_salt"])
-    cond = cond & (ev["_ip"] >= right["lo"]) & (ev["_ip"] <= right["hi"])
+    right = cut_lineage(disjoint_ranges(locations), "ip_pieces").withColumn("_hit", F.lit(True))
+    cond = (ev["_block"] == right["_block"]) & (ev["_ip"] >= right["lo"]) & (ev["_ip"] <= right["hi"])
     joined = ev.join(right, cond, "left")
     place = F.struct(right["country"].alias("country"), right["state"].alias("state"), right["city"].alias("city"))
     geo = F.when(right["_hit"], F.to_json(place)).otherwise(F.lit(EMPTY_GEO))

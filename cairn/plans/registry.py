@@ -67,6 +67,6 @@ def input_key(sf_dir: str, table: str, what: str):
 
 def load_all() -> dict[str, Query]:
     # importing the modules fills REGISTRY
-    from cairn.plans import analytics, dimensional, facts, joins, spark_sql, storage, streams  # noqa: F401
+    from cairn.plans import analytics, dimensional, facts, joins, spark_sql, storage, stream_batches, streams  # noqa: F401
 
     return REGISTRY

@@ -29,9 +29,10 @@ def sessions(df: DataFrame, time_col: str, keys: list[str], gap: str = "5 minute
              watermark: str | None = "15 seconds") -> DataFrame:
     """Sessions per keys: events closer than ``gap`` (inclusive) share one.
 
-    On a batch frame the events of an hour are first merged by themselves, a
-    task per keys and hour; only these partial sessions, a few an hour, then
-    meet by keys. So one busy key spreads over its hours.
+    On a batch frame the events of a tumbling window of length ``gap`` are one
+    session for certain; they are merged by a plain aggregation, so they
+    combine before the shuffle, and only these partial sessions meet by keys.
+    A stream keeps open sessions as state; a late event may join two of them.
     """
     if not df.isStreaming:
         return _batch_sessions(df, time_col, keys, gap)
@@ -41,14 +42,15 @@ def sessions(df: DataFrame, time_col: str, keys: list[str], gap: str = "5 minute
 
 
 def _batch_sessions(df: DataFrame, time_col: str, keys: list[str], gap: str) -> DataFrame:
-    hour = F.date_trunc("hour", time_col).alias("_hour")
-    part = df.groupBy(F.session_window(time_col, gap).alias("s"), *keys, hour).agg(F.count(F.lit(1)).alias("n"))
-    part = part.select(*keys, F.col("s.start").alias("a"), F.col("s.end").alias("b"), "n")
-    order = Window.partitionBy(*keys).orderBy("a", "b")
-    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = part.withColumn("opens", F.when(F.col("a") <= reach, 0).otherwise(1))
+    length = F.expr(f"INTERVAL {gap}")
+    part = df.where(F.col(time_col).isNotNull()).groupBy(F.window(time_col, gap).alias("w"), *keys)
+    part = part.agg(F.min(time_col).alias("a"), F.max(time_col).alias("b"), F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(*keys).orderBy("a")
+    opens = part.withColumn("opens", F.when(F.col("a") <= F.lag("b").over(order) + length, 0).otherwise(1))
     numbered = opens.withColumn("k", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = numbered.groupBy(*keys, "k").agg(F.min("a").alias("session_start"), F.max("b").alias("session_end"), F.sum("n").alias("num_events"))
+    merged = numbered.groupBy(*keys, "k").agg(
+        F.min("a").alias("session_start"), (F.max("b") + length).alias("session_end"), F.sum("n").alias("num_events")
+    )
     return merged.select(*keys, "session_start", "session_end", "num_events")
 
 

@@ -17,10 +17,20 @@ def parquet_batch_writer(path: str):
     return write
 
 
+def append_writer(path: str):
+    """Append each micro-batch to one Parquet folder: like a JDBC append it
+    repeats a replayed batch, unless ``ledger.once_per_batch`` guards it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
+        batch.write.mode("append").parquet(path)
+
+    return write
+
+
 def jdbc_batch_writer(url: str, table: str, properties: dict):
     """Append each micro-batch to a JDBC table (the driver jar must be on the
-    classpath). Not idempotent by itself: give the table a key on
-    (window, keys) so a replayed batch is rejected or upserted."""
+    classpath). Not idempotent by itself: wrap it in
+    ``ledger.once_per_batch``, or give the table a key on (window, keys)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
         batch.write.mode("append").jdbc(url, table, properties=properties)

@@ -64,10 +64,10 @@ def json_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path)
 
 
-def parse_events(raw: DataFrame, schema: StructType, time_field: str = "event_time",
-                 ts_name: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
-    """(good, dead_letter): good rows have typed fields and ``ts_name``;
-    dead-letter rows keep the raw text and a reason."""
+def parse_records(raw: DataFrame, schema: StructType, time_field: str = "event_time",
+                  ts_name: str = "event_timestamp") -> DataFrame:
+    """Typed fields, ``ts_name``, the raw text and a reason: NULL for good
+    records, else why the record is a dead letter."""
     corrupt = "_corrupt_record"
     with_corrupt = StructType(schema.fields + [StructField(corrupt, StringType())])
     parsed = raw.select(
@@ -75,21 +75,27 @@ def parse_events(raw: DataFrame, schema: StructType, time_field: str = "event_ti
         F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("r"),
     )
     broken = F.col("r").isNull() | F.col(f"r.{corrupt}").isNotNull()
-    ts = parse_iso_millis(F.col(f"r.{time_field}"))
-    with_ts = parsed.select("value", "r", broken.alias("_broken"), ts.alias(ts_name))
     fields = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
-    good = with_ts.where(~F.col("_broken") & F.col(ts_name).isNotNull()).select(*fields, ts_name)
-    bad = with_ts.where(F.col("_broken") | F.col(ts_name).isNull()).select(
-        "value",
-        F.when(F.col("_broken"), "unparsable_json").otherwise("bad_event_time").alias("reason"),
-    )
-    return good, bad
+    typed = parsed.select("value", *fields, parse_iso_millis(F.col(f"r.{time_field}")).alias(ts_name), broken.alias("_broken"))
+    reason = F.when(F.col("_broken"), "unparsable_json").when(F.col(ts_name).isNull(), "bad_event_time")
+    return typed.withColumn("reason", reason).drop("_broken")
+
+
+def parse_events(raw: DataFrame, schema: StructType, time_field: str = "event_time",
+                 ts_name: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
+    """(good, dead_letter): good rows have typed fields and ``ts_name``;
+    dead-letter rows keep the raw text and a reason."""
+    records = parse_records(raw, schema, time_field, ts_name)
+    good = records.where("reason IS NULL").select(*schema.fieldNames(), ts_name)
+    return good, records.where("reason IS NOT NULL").select("value", "reason")
 
 
-def events_as_json(events: DataFrame) -> DataFrame:
-    """Render web events as the topic's JSON records (``value`` column);
-    used to feed the file stand-in and as the Kafka sink payload."""
+def events_as_json(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Render web events as the topic's JSON records (``value`` column) beside
+    the columns ``keep``; used to feed the file stand-in and as the Kafka sink
+    payload."""
     return events.select(
+        *(keep or []),
         F.to_json(
             F.struct(
                 "ip",
@@ -99,13 +105,15 @@ def events_as_json(events: DataFrame) -> DataFrame:
                 "url",
                 F.lit(None).cast("string").alias("geodata"),
             )
-        ).alias("value")
+        ).alias("value"),
     )
 
 
-def enrichment_records(events: DataFrame) -> DataFrame:
-    """Web events as the enrichment topic's JSON records (``value``)."""
+def enrichment_records(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Web events as the enrichment topic's JSON records (``value``) beside
+    the columns ``keep``."""
     return events.select(
+        *(keep or []),
         F.to_json(
             F.struct(
                 "url",
@@ -116,5 +124,5 @@ def enrichment_records(events: DataFrame) -> DataFrame:
                 F.lit(None).cast("string").alias("headers"),
                 F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"),
             )
-        ).alias("value")
+        ).alias("value"),
     )

@@ -48,13 +48,37 @@ def test_broadcast_only_behind_row_check(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
-@pytest.mark.parametrize("max_rows", [1_000_000, 1])
-def test_ip_enrichment_is_an_equi_join_in_both_modes(spark, sf_small, max_rows):
+@pytest.fixture(params=["10485760", "-1"])
+def threshold(spark, request):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(names[0], "10485760")
+    spark.conf.unset(names[1])
+
+
+def test_ip_enrichment_is_an_equi_join_on_both_sides_of_the_threshold(spark, sf_small, threshold):
     ev = standins.web_events(spark, sf_small)
-    out = enrich.enrich_ip(ev, standins.ip_locations(spark, sf_small), max_broadcast_rows=max_rows)
+    out = enrich.enrich_ip(ev, standins.ip_locations(spark, sf_small))
     p = plan(out)
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert ("BroadcastHashJoin" in p) == (threshold != "-1")
     assert out.count() == ev.count()
+    assert out.where("geodata != '{}'").count() > 0
+
+
+def test_measured_side_is_broadcast_below_the_threshold(spark, sf_small, threshold):
+    """Nothing is known when the plan is made; the final plan follows the
+    threshold."""
+    details = standins.match_details(spark, sf_small).select("match_id", "player_gamertag", "player_total_kills")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the planner's own estimate stays out of it
+    out = joins.totals_above(details, "match_id", "player_total_kills", 300)
+    assert "SortMergeJoin" in plan(out)
+    rows = out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert ("BroadcastHashJoin" in final) == (threshold != "-1")
+    assert rows and all(r.total >= 300 for r in rows)
 
 
 def test_scd_backfill_shuffles_once(spark, sf_small):
@@ -90,15 +114,6 @@ def test_broadcast_check_bounds_bytes_too(spark):
     assert ok_rows_only and not ok_bytes
 
 
-def test_ip_enrichment_same_result_broadcast_or_salted(spark, sf_small):
-    ev = standins.web_events(spark, sf_small)
-    loc = standins.ip_locations(spark, sf_small)
-    a = enrich.enrich_ip(ev, loc, max_broadcast_rows=1_000_000).select("event_id", "geodata")
-    b = enrich.enrich_ip(ev, loc, max_broadcast_rows=1, salts=7).select("event_id", "geodata")
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert a.where("geodata != '{}'").count() > 0
-
-
 def test_funnel_has_one_equi_join_and_no_self_join(spark, sf_small):
     from cairn.operators import funnel
 
@@ -131,7 +146,7 @@ def test_size_check_has_no_single_partition_of_rows(spark, sf_small):
     assert not joins.has_at_most(wide, 49)
 
 
-def test_narrowest_range_wins_and_no_event_multiplies(spark):
+def test_narrowest_range_wins_and_no_event_multiplies(spark, threshold):
     loc = spark.createDataFrame(
         [(0, 2**32 - 1, "W", None, None), (167772160, 184549375, "TEN", "s", "c"), (167772160, 167772415, None, "n", "n"),
          (167772300, 167772500, "O", "o", "o"), (9, 3, "bad", "b", "b")],
@@ -140,9 +155,8 @@ def test_narrowest_range_wins_and_no_event_multiplies(spark):
     ev = spark.createDataFrame([(i, ip) for i, ip in enumerate(["10.0.0.5", "10.0.0.150", "10.0.1.0", "10.9.9.9", "8.8.8.8", "x", None])], "event_id long, ip string")
     want = ['{"state":"n","city":"n"}', '{"country":"O","state":"o","city":"o"}', '{"country":"O","state":"o","city":"o"}',
             '{"country":"TEN","state":"s","city":"c"}', '{"country":"W"}', "{}", "{}"]
-    for rows in (1_000_000, 1):
-        out = sorted(enrich.enrich_ip(ev, loc, max_broadcast_rows=rows).collect(), key=lambda r: r.event_id)
-        assert [r.geodata for r in out] == want
+    out = sorted(enrich.enrich_ip(ev, loc).collect(), key=lambda r: r.event_id)
+    assert [r.geodata for r in out] == want
 
 
 def test_referrers_are_parsed_once(spark, sf_small):
