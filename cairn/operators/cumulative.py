@@ -101,26 +101,56 @@ def actors_step(prev: DataFrame, films: DataFrame, year: int, key: str = "actori
     )
 
 
-def actors_backfill(films: DataFrame, last_year: int, key: str = "actorid") -> DataFrame:
-    """Every actor x year from the actor's first film year, one plan."""
+def actors_history_step(prev: DataFrame, films: DataFrame, year: int, key: str = "actorid") -> DataFrame:
+    """One year of the actors history: as ``actors_step``, but a row holds
+    only this year's films (``new_films``, empty in an idle year), so its
+    size does not grow with an actor's career."""
+    empty = F.expr("CAST(array() AS array<struct<filmid:string,film:string,votes:int,rating:int>>)")
+    y = prev.where(F.col("current_year") == year - 1).withColumn("films", F.lit(None)).drop("new_films")
+    step = actors_step(y.withColumn("films", empty), films, year, key)
+    return step.withColumnRenamed("films", "new_films").select(key, "actor", "new_films", "quality_class", "is_active", "current_year")
+
+
+def actors_history(films: DataFrame, last_year: int, key: str = "actorid") -> DataFrame:
+    """Every actor x year from the actor's first film year, one plan; each
+    row holds the films of its year alone. ``actors_snapshot`` puts the whole
+    list together for the year that is asked for."""
     per_year = actor_year_films(films.where(F.col("year") <= last_year), key)
     firsts = per_year.groupBy(key).agg(F.min("year").alias("_first"))
     grid = firsts.select(key, F.explode(F.sequence(F.col("_first"), F.lit(last_year))).alias("current_year"))
     dense = grid.join(per_year.withColumnRenamed("year", "current_year").withColumn("_y", F.col("current_year")),
                       [key, "current_year"], "left")
     w = Window.partitionBy(key).orderBy("current_year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # last non-NULL per running frame carries the class and name forward
-    hist = dense.select(
+    return dense.select(
         key,
-        "current_year",
+        # last non-NULL per running frame carries the class and name forward
         F.last("actor", ignorenulls=True).over(w).alias("actor"),
-        F.flatten(F.collect_list("films").over(w)).alias("films"),
+        concat_arrays(F.col("films"), F.lit(None)).alias("new_films"),
         F.last(F.when(F.col("_y").isNotNull(), band(F.col("avg_rating"), QUALITY_BANDS)), ignorenulls=True)
         .over(w)
         .alias("quality_class"),
         F.col("_y").isNotNull().alias("is_active"),
+        "current_year",
+    )
+
+
+def actors_snapshot(history: DataFrame, year: int, key: str = "actorid") -> DataFrame:
+    """The actors table of one year with whole film lists, from the history:
+    an actor's years are put together once, in order."""
+    upto = history.where(F.col("current_year") <= year)
+    found = upto.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.size("new_films") > 0, F.struct("current_year", "new_films")))).alias("years"),
+        F.max_by(F.struct("actor", "quality_class", "is_active", "current_year"), "current_year").alias("now"),
+    )
+    return found.where(F.col("now.current_year") == year).select(
+        key, "now.actor", F.flatten(F.transform("years", lambda y: y["new_films"])).alias("films"),
+        "now.quality_class", "now.is_active", "now.current_year",
     )
-    return hist.select(key, "actor", "films", "quality_class", "is_active", "current_year")
+
+
+def actors_backfill(films: DataFrame, last_year: int, key: str = "actorid") -> DataFrame:
+    """The actors table of ``last_year`` in one pass over all films."""
+    return actors_snapshot(actors_history(films, last_year, key), last_year, key)
 
 
 def dates_cumulated_step(prev: DataFrame, events: DataFrame, key, day, time_col: str = "event_time") -> DataFrame:

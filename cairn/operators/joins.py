@@ -41,12 +41,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Broadcast hint only behind a proven bound on rows and bytes; otherwise
     the plain frame (shuffle join, or AQE's runtime conversion when it turns
-    out small)."""
+    out small). The side is written first, so check and join read the result
+    and not its plan."""
+    df = cut_lineage(df, "broadcast_side")
     if has_at_most(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 
 
+def totals_above(details: DataFrame, key: str, value: str, least: int) -> DataFrame:
+    """Rows of ``details`` whose key has a total of ``least`` or more, with
+    that total. Nobody knows the size of the totals before they are there:
+    the plan shuffles both sides, and adaptive execution broadcasts the totals
+    instead when they turn out smaller than the session's
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``. No hint, no count."""
+    totals = details.groupBy(key).agg(F.sum(value).alias("total")).where(F.col("total") >= least)
+    return details.join(totals, key)
+
+
 def bucketed_pair(
     spark: SparkSession,
     left: DataFrame,

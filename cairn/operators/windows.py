@@ -167,3 +167,14 @@ def referrer_trends(augmented: DataFrame, min_total: int = 500, prev_week=(-13,
         (F.col("count").cast("double") / F.col("total_cumulative_sum")).alias("pct_of_total"),
     )
 
+
+def calendar_rolling(daily: DataFrame, keys: list[str], day_col: str, value_col: str,
+                     frames: dict[str, tuple[int, int]]) -> DataFrame:
+    """Sums of ``value_col`` over frames of calendar days: a frame (-6, 0) is
+    the day and the six days before it, whether or not they have a row. One
+    row per keys and day is expected; a frame without any row gives NULL, a
+    row with a NULL day sums over the rows with a NULL day."""
+    day = F.datediff(day_col, F.lit("1970-01-01").cast("date"))
+    order = Window.partitionBy(*keys).orderBy(day)
+    sums = [F.sum(value_col).over(order.rangeBetween(a, b)).alias(name) for name, (a, b) in frames.items()]
+    return daily.select("*", *sums)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.operators import cumulative, graph, scd
@@ -19,7 +19,9 @@ def _players(spark, sf_dir):
 
 
 def players_summary(players: DataFrame) -> DataFrame:
-    """Scalar view of the players table (the arrays summarised)."""
+    """Scalar view of the players table; the array as text, an entry
+    ``season:games:points`` a season."""
+    season = lambda s: F.concat_ws(":", s["season"].cast("string"), s["gp"].cast("string"), F.round(s["pts"] * s["gp"]).cast("long").cast("string"))
     return players.select(
         "player_id",
         "current_season",
@@ -28,10 +30,11 @@ def players_summary(players: DataFrame) -> DataFrame:
         "scoring_class",
         "years_since_last_active",
         "is_active",
+        F.array_join(F.transform("seasons", season), ",").alias("seasons"),
     )
 
 
-PLAYERS_COLS = "player_id, current_season, n_seasons, total_gp, scoring_class, years_since_last_active, is_active"
+PLAYERS_COLS = "player_id, current_season, n_seasons, total_gp, scoring_class, years_since_last_active, is_active, seasons"
 
 
 @register("players_cumulated", O.with_(O.PLAYERS_DENSE) + f"SELECT {PLAYERS_COLS} FROM players", ids=("C02", "S07", "J06", "W05", "F06", "F07"))
@@ -148,57 +151,74 @@ def _actors(spark, sf_dir):
     return films, last
 
 
-def actors_summary(actors: DataFrame) -> DataFrame:
-    return actors.select(
-        "actorid",
-        "actor",
-        "current_year",
-        F.size("films").cast("long").alias("n_films"),
-        F.aggregate("films", F.lit(0).cast("long"), lambda acc, f: acc + f["votes"]).alias("total_votes"),
-        "quality_class",
-        "is_active",
+def films_text(films: str) -> F.Column:
+    """An array of films as text, ``filmid:votes:rating`` each."""
+    film = lambda f: F.concat_ws(":", f["filmid"], f["votes"].cast("string"), f["rating"].cast("string"))
+    return F.array_join(F.transform(films, film), ",")
+
+
+def _votes(films: str) -> F.Column:
+    return F.aggregate(films, F.lit(0).cast("long"), lambda acc, f: acc + f["votes"])
+
+
+def history_summary(history: DataFrame) -> DataFrame:
+    """The actors table by year with running totals and each year's films."""
+    upto = Window.partitionBy("actorid").orderBy("current_year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # totals of a year first: the windows sort no arrays
+    rows = history.select("*", F.size("new_films").cast("long").alias("n"), _votes("new_films").alias("v"), films_text("new_films").alias("text"))
+    return rows.select(
+        "actorid", "actor", "current_year", F.sum("n").over(upto).alias("n_films"), F.sum("v").over(upto).alias("total_votes"),
+        "quality_class", "is_active", F.col("text").alias("new_films"),
     )
 
 
 ACTOR_COLS = "actorid, actor, current_year, n_films, total_votes, quality_class, is_active"
 
 
-@register("actors_cumulated", "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS} FROM actors", ids=("C08", "A05", "F02"))
+@register("actors_cumulated", "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS}, new_films FROM actors", ids=("C08", "A05", "F02"))
 def actors_cumulated(spark, sf_dir):
     films, last = _actors(spark, sf_dir)
-    return actors_summary(cumulative.actors_backfill(films, last))
+    return history_summary(cumulative.actors_history(films, last))
 
 
 @register(
     "actors_year_load",
-    "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS} FROM actors WHERE current_year = (SELECT max(year) FROM actor_films)",
-    ids=("C08", "C09", "J01"),
+    "WITH " + O.ACTORS_DENSE + f"""
+SELECT {ACTOR_COLS}, films
+FROM actors JOIN (SELECT actorid, string_agg(films, ',' ORDER BY year) AS films FROM actor_year GROUP BY actorid) USING (actorid)
+WHERE current_year = (SELECT max(year) FROM actor_films)""",
+    ids=("C08", "C09", "J01", "A05", "F01"),
 )
 def actors_year_load(spark, sf_dir):
+    """This year's load on last year's snapshot, with whole film lists."""
     films, last = _actors(spark, sf_dir)
-    prev = cut_lineage(cumulative.actors_backfill(films, last - 1).where(F.col("current_year") == last - 1))
-    return actors_summary(cumulative.actors_step(prev, films, last))
+    prev = cut_lineage(cumulative.actors_backfill(films, last - 1))
+    now = cumulative.actors_step(prev, films, last)
+    return now.select(
+        "actorid", "actor", "current_year", F.size("films").cast("long").alias("n_films"), _votes("films").alias("total_votes"),
+        "quality_class", "is_active", films_text("films").alias("films"),
+    )
 
 
 @register(
     "actors_upsert_load",
-    "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS} FROM actors",
+    "WITH " + O.ACTORS_DENSE + f"\nSELECT {ACTOR_COLS}, new_films FROM actors",
     ids=("C09", "S16", "J01"),
 )
 def actors_upsert_load(spark, sf_dir):
     """The stored actors table with this year's rows upserted on its key
     (actorid, current_year), as INSERT ... ON CONFLICT DO UPDATE does. Half
     of this year's rows are stored already, from an early load that saw no
-    films; they conflict and are updated."""
+    films; they conflict and are updated. The table keeps a year's films."""
     from cairn.sources.catalog import upsert
 
     films, last = _actors(spark, sf_dir)
-    stored = cut_lineage(cumulative.actors_backfill(films, last - 1), "actors_table")
-    incoming = cut_lineage(cumulative.actors_step(stored, films, last), "actors_year")
-    early = cumulative.actors_step(stored, films.where("year < 0"), last).where(F.col("actorid") % 2 == 0)
-    stored = cut_lineage(stored.unionByName(early.select(*stored.columns)), "actors_table")
+    history = cut_lineage(cumulative.actors_history(films, last - 1), "actors_table")
+    incoming = cut_lineage(cumulative.actors_history_step(history, films, last), "actors_year")
+    early = cumulative.actors_history_step(history, films.where("year < 0"), last).where(F.col("actorid") % 2 == 0)
+    stored = history.unionByName(early)
     merged = upsert(stored, incoming, ["actorid", "current_year"], partition_col="current_year", partitions=[last])
-    return actors_summary(merged)
+    return history_summary(merged)
 
 
 ACTORS_SCD = """,
@@ -223,7 +243,7 @@ FROM streaks GROUP BY actorid, streak_identifier, quality_class, is_active"""
 @register("actors_history_scd", "WITH " + O.ACTORS_DENSE + ACTORS_SCD, ids=("C06",))
 def actors_history_scd(spark, sf_dir):
     films, last = _actors(spark, sf_dir)
-    actors = cumulative.actors_backfill(films, last)
+    actors = cumulative.actors_history(films, last)
     return scd.scd_backfill(
         actors, "actorid", "current_year", ["quality_class", "is_active"], as_of=last,
         start_name="start_year", end_name="end_year", as_of_name="current_year", carry=["actor"],
@@ -253,7 +273,7 @@ FROM runs GROUP BY actorid, run_no, quality_class, is_active"""
 def actors_scd_increment(spark, sf_dir):
     """Last year's actors_history_scd plus this year's actors snapshot."""
     films, last = _actors(spark, sf_dir)
-    actors = cumulative.actors_backfill(films, last)
+    actors = cumulative.actors_history(films, last)
     tracked = ["quality_class", "is_active"]
     prev = cut_lineage(
         scd.scd_backfill(actors, "actorid", "current_year", tracked, as_of=last - 1,
@@ -282,12 +302,28 @@ SELECT team_id AS identifier, 'team' AS type,
        json_object('abbreviation', abbreviation, 'nickname', nickname, 'city', city,
                    'arena', arena, 'year_founded', yearfounded)::VARCHAR AS properties
 FROM (SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY source_rank) AS rn FROM teams) WHERE rn = 1""",
-    ids=("C10", "W01", "W02", "F13", "F12"),
+    ids=("C10", "W01", "F13"),
 )
 def team_vertices(spark, sf_dir):
     return graph.team_vertices(standins.teams(spark, sf_dir))
 
 
+@register(
+    "team_vertices_map",
+    "WITH " + TEAMS_SQL + """
+SELECT team_id AS identifier, 'team' AS type,
+       concat_ws(';', 'abbreviation=' || abbreviation, 'arena=' || arena, 'city=' || city, 'nickname=' || nickname,
+                 'year_founded=' || CAST(yearfounded AS VARCHAR)) AS properties
+FROM (SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY source_rank) AS rn FROM teams) WHERE rn = 1""",
+    ids=("C10", "F12"),
+)
+def team_vertices_map(spark, sf_dir):
+    """Team vertices with a MAP of properties; the map as text by key."""
+    v = graph.team_vertices(standins.teams(spark, sf_dir), as_map=True)
+    shown = F.transform(F.array_sort(F.map_entries("properties")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return v.select("identifier", "type", F.array_join(shown, ";").alias("properties"))
+
+
 def _dedup_details(spark, sf_dir):
     """Deduplicated game details. The dedup runs on the line items before
     the player columns are attached (they depend on the player only): the

@@ -81,7 +81,7 @@ def bucketed_match_kills(spark, sf_dir):
     """SELECT l.l_orderkey AS match_id, 'gamer-' || CAST(l.l_suppkey AS VARCHAR) AS player_gamertag,
        CAST(l.l_quantity AS INTEGER) AS player_total_kills, strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d') AS ds
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
-    ids=("J13", "J14", "F27"),
+    ids=("J13", "F27"),
 )
 def broadcast_match_details(spark, sf_dir):
     m = standins.matches(spark, sf_dir).select(
@@ -93,6 +93,22 @@ def broadcast_match_details(spark, sf_dir):
     )
 
 
+@register(
+    "busy_match_details",
+    """SELECT match_id, player_gamertag, player_total_kills, total FROM (
+    SELECT l_orderkey AS match_id, 'gamer-' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
+           CAST(l_quantity AS INTEGER) AS player_total_kills,
+           CAST(sum(CAST(l_quantity AS INTEGER)) OVER (PARTITION BY l_orderkey) AS BIGINT) AS total
+    FROM lineitem WHERE l_orderkey IS NOT NULL) WHERE total >= 200""",
+    ids=("J14",),
+)
+def busy_match_details(spark, sf_dir):
+    """Details of the matches with 200 kills or more; the join is broadcast
+    or shuffled by the measured size of their totals."""
+    details = standins.match_details(spark, sf_dir).select("match_id", "player_gamertag", "player_total_kills")
+    return joins.totals_above(details, "match_id", "player_total_kills", 200)
+
+
 @register(
     "user_device_rollup",
     O.with_(O.WEB_EVENTS)
@@ -156,7 +172,7 @@ SELECT ev.event_id, ev.ip, ev.event_time AS event_timestamp, ev.referrer, ev.hos
        CASE WHEN loc.country IS NULL THEN '{}'
             ELSE json_object('country', loc.country, 'state', loc.state, 'city', loc.city)::VARCHAR END AS geodata
 FROM ev LEFT JOIN loc ON ev.ipn BETWEEN loc.start_ip AND loc.end_ip""",
-    ids=("C29", "X01", "X02", "T06", "F30"),
+    ids=("C29", "X01", "T06", "F30"),
 )
 def ip_geo_enrichment(spark, sf_dir):
     ev = standins.web_events(spark, sf_dir)
@@ -164,81 +180,76 @@ def ip_geo_enrichment(spark, sf_dir):
     return out.select("event_id", "ip", F.col("event_time").alias("event_timestamp"), "referrer", "host", "url", "geodata")
 
 
+# sort keys of the layouts; ties go by event_id
 LAYOUTS = {
-    "unsorted": [],
-    "sorted_date_host": ["event_date", "host"],
-    "sorted_date_host_url_browser": ["event_date", "host", "url", "browser_family"],
-    "sorted_user_time": ["user_id", "event_time"],
-    "global_date_host": ["event_date", "host"],
+    "scattered": ["scramble"],
+    "by_date_host": ["event_date", "host"],
+    "by_date_host_url_browser": ["event_date", "host", "url", "browser_family"],
+    "by_host_url_browser_os_date": ["host", "url", "browser_family", "os_family", "event_date"],
 }
+LAYOUT_COLUMNS = ["event_date", "host", "url", "referrer", "browser_family", "os_family"]
+ROWS_PER_FILE = 4_000_000
+
+
+def _layout_runs_sql(name: str, keys: list[str]) -> str:
+    """Runs of equal values over all columns of a layout, in its order."""
+    runs = " + ".join(f"sum(CASE WHEN {c} IS DISTINCT FROM p_{c} OR k = 1 THEN 1 ELSE 0 END)" for c in LAYOUT_COLUMNS)
+    lags = ", ".join(f"lag({c}) OVER w AS p_{c}" for c in LAYOUT_COLUMNS)
+    order = ", ".join(f"{k} NULLS FIRST" for k in keys)
+    return f"""SELECT '{name}' AS layout, count(*) AS rows_written, count(DISTINCT event_date) AS days, {runs} AS runs
+FROM (SELECT *, row_number() OVER w AS k, {lags} FROM joined WINDOW w AS (ORDER BY {order}, event_id))"""
 
 
 @register(
     "layout_file_sizes",
     O.with_(O.DEVICES)
     + """, joined AS (
-    SELECT CAST(e.event_time AS DATE) AS event_date FROM web_events e LEFT JOIN devices d ON d.device_id = e.device_id
+    SELECT e.event_id, (e.event_id * 7919) % 100003 AS scramble, CAST(e.event_time AS DATE) AS event_date, e.host, e.url, e.referrer,
+           d.browser_type AS browser_family, d.os_type AS os_family
+    FROM web_events e LEFT JOIN devices d ON d.device_id = e.device_id
 ),
-total AS (SELECT count(*) AS rows_written, count(DISTINCT event_date) AS days FROM joined)
-SELECT layout, rows_written, days, true AS has_files, true AS has_bytes, CAST(0 AS BIGINT) AS rows_out_of_order
-FROM total, (VALUES """
-    + ", ".join(f"('{name}')" for name in LAYOUTS)
-    + """) AS names(layout)""",
+measured AS (
+"""
+    + "\nUNION ALL\n".join(_layout_runs_sql(name, keys) for name, keys in LAYOUTS.items())
+    + """
+)
+SELECT layout, rows_written, days, CAST(row_number() OVER (ORDER BY runs) AS INTEGER) AS size_rank FROM measured""",
     ids=("C27", "O03", "O04", "O05", "O06", "S23", "J03", "U02", "P14"),
 )
 def layout_file_sizes(spark, sf_dir):
-    """Writes events JOIN devices in several layouts and reads each back:
-    repartitioned by day, unsorted and sorted within partitions by several
-    key lists, and sorted globally (range partitions, then within). Reports
-    rows and days, whether there are files with bytes, and the rows that
-    come before their predecessor in a file. The sizes themselves are in
-    ``layout_sizes``; low-cardinality keys first give the smallest files."""
-    return _layouts(spark, sf_dir, layout_report)
+    """Writes events JOIN devices in several orders and ranks the layouts by
+    the bytes of their files. A layout is range-partitioned by its sort keys
+    (a day is in few files, a hot day in as many as it needs) and sorted
+    within. The fewer runs of equal values its columns have, the smaller it
+    should be; the oracle ranks by runs. ``layout_sizes`` has the bytes."""
+    sizes = layout_sizes(spark, sf_dir)
+    by_size = Window.orderBy("total_bytes", "layout")  # one row a layout
+    return sizes.select("layout", "rows_written", "days", F.row_number().over(by_size).alias("size_rank"))
 
 
 def layout_sizes(spark, sf_dir):
-    """Bytes and files of each layout."""
-    return _layouts(spark, sf_dir, lambda df, keys: file_stats(df))
-
-
-def layout_report(df, keys):
-    files = file_stats(df).select((F.col("num_files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"))
-    counts = df.agg(F.count(F.lit(1)).alias("rows_written"), F.count_distinct("event_date").alias("days"))
-    if keys:
-        key = F.struct(*keys)
-        in_file = Window.partitionBy("_file").orderBy("_row")
-        placed = df.select(key.alias("_key"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        late = placed.select((F.col("_key") < F.lag("_key").over(in_file)).alias("late"))
-        order = late.agg(F.coalesce(F.sum(F.col("late").cast("long")), F.lit(0)).alias("rows_out_of_order"))
-    else:
-        order = counts.select(F.lit(0).cast("long").alias("rows_out_of_order"))
-    # three one-row frames become one row, without a join
-    rows = counts.unionByName(files, allowMissingColumns=True).unionByName(order, allowMissingColumns=True)
-    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
-
-
-def _layouts(spark, sf_dir, report):
+    """layout, rows_written, days, total_bytes, num_files."""
+    out = None
+    for name, df in written_layouts(spark, sf_dir):
+        rows = df.agg(F.count(F.lit(1)).alias("rows_written"), F.count_distinct("event_date").alias("days"))
+        both = rows.unionByName(file_stats(df), allowMissingColumns=True)  # two one-row frames become one row
+        got = both.agg(*[F.max(c).alias(c) for c in both.columns]).select(F.lit(name).alias("layout"), *both.columns)
+        out = got if out is None else out.unionByName(got)
+    return cut_lineage(out, "layout_sizes")  # a row a layout
+
+
+def written_layouts(spark, sf_dir):
     ev = standins.web_events(spark, sf_dir)
     joined = ev.join(standins.devices(spark, sf_dir), on="device_id", how="left").withColumnsRenamed(
         {"browser_type": "browser_family", "os_type": "os_family"}
     )
+    joined = joined.withColumn("event_date", F.to_date("event_time")).withColumn("scramble", F.col("event_id") * 7919 % 100003)
     # every layout reads it: joined and written once
-    df = cut_lineage(joined.withColumn("event_date", F.to_date("event_time")), "layout_input")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = None
+    df = cut_lineage(joined.select("event_id", "scramble", *LAYOUT_COLUMNS), "layout_input")
+    files = -(-df.count() // ROWS_PER_FILE) or 1
     for name, keys in LAYOUTS.items():
-        if name.startswith("global"):
-            part = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        else:
-            # by day; a day is dealt over as many tasks as there are, so a
-            # hot day is not written by one
-            part = df.repartition(n, F.col("event_date"), F.pmod(F.xxhash64("event_id"), F.lit(n)))
-            if keys:
-                part = part.sortWithinPartitions(*keys)
-        got = report(cut_lineage(part, f"layout_{name}"), keys)
-        got = got.select(F.lit(name).alias("layout"), *got.columns)
-        out = got if out is None else out.unionByName(got)
-    return out
+        sort = [*keys, "event_id"]
+        yield name, cut_lineage(df.repartitionByRange(files, *sort).sortWithinPartitions(*sort).select(*LAYOUT_COLUMNS), f"layout_{name}")
 
 
 @register(
@@ -280,7 +291,7 @@ def actors_scd_overlap_check(spark, sf_dir):
     """The overlap check on a history with derived defects: the records of
     actors whose id 5 divides start a year early, those 3 divides a year late."""
     films, last = _actors(spark, sf_dir)
-    history = scd.scd_backfill(cumulative.actors_backfill(films, last), "actorid", "current_year",
+    history = scd.scd_backfill(cumulative.actors_history(films, last), "actorid", "current_year",
                                ["quality_class", "is_active"], as_of=last, start_name="start_year", end_name="end_year")
     shift = F.when(F.col("actorid") % 5 == 0, -1).when(F.col("actorid") % 3 == 0, 1).otherwise(0)
     shifted = history.withColumn("start_year", (F.col("start_year") + shift).cast("int"))

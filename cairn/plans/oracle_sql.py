@@ -34,6 +34,7 @@ player_hist AS (
     SELECT g.player_id, g.current_season,
            count(s.season) OVER w AS n_seasons,
            sum(s.gp) OVER w AS total_gp,
+           string_agg(s.season || ':' || s.gp || ':' || CAST(round(s.pts * s.gp) AS BIGINT), ',') OVER w AS seasons,
            last_value(s.pts IGNORE NULLS) OVER w AS last_pts,
            first_value(s.pts IGNORE NULLS) OVER w AS first_pts,
            max(s.season) OVER w AS last_season
@@ -49,7 +50,7 @@ players AS (
            """ + SCORING.format(v="last_pts") + """ AS scoring_class,
            current_season - last_season AS years_since_last_active,
            last_season = current_season AS is_active,
-           last_pts, first_pts
+           last_pts, first_pts, seasons
     FROM player_hist
 )"""
 
@@ -58,13 +59,15 @@ ACTOR_FILMS = """actor_films AS (
            'actor-' || CAST(l_partkey AS VARCHAR) AS actor,
            CAST(l_quantity AS INTEGER) AS votes,
            CAST(round(l_discount * 100) AS INTEGER) AS rating,
+           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS filmid,
            CAST(year(l_shipdate) AS INTEGER) AS year
     FROM lineitem
 )"""
 
 ACTORS_DENSE = ACTOR_FILMS + """,
 actor_year AS (
-    SELECT actorid, year, max(actor) AS actor, count(*) AS n_films, sum(votes) AS votes, avg(rating) AS avg_rating
+    SELECT actorid, year, max(actor) AS actor, count(*) AS n_films, sum(votes) AS votes, avg(rating) AS avg_rating,
+           string_agg(filmid || ':' || votes || ':' || rating, ',' ORDER BY filmid, votes, rating) AS films
     FROM actor_films GROUP BY 1, 2
 ),
 actor_grid AS (
@@ -79,7 +82,7 @@ actor_hist AS (
            sum(a.votes) OVER w AS total_votes,
            last_value(CASE WHEN a.year IS NOT NULL THEN """ + QUALITY.format(v="a.avg_rating") + """ END IGNORE NULLS)
                OVER w AS quality_class,
-           a.year IS NOT NULL AS is_active
+           a.year IS NOT NULL AS is_active, coalesce(a.films, '') AS new_films
     FROM actor_grid g
     LEFT JOIN actor_year a ON a.actorid = g.actorid AND a.year = g.current_year
     WINDOW w AS (PARTITION BY g.actorid ORDER BY g.current_year
@@ -87,7 +90,7 @@ actor_hist AS (
 ),
 actors AS (
     SELECT actorid, actor, current_year, CAST(n_films AS BIGINT) AS n_films,
-           CAST(total_votes AS BIGINT) AS total_votes, quality_class, is_active
+           CAST(total_votes AS BIGINT) AS total_votes, quality_class, is_active, new_films
     FROM actor_hist
 )"""
 

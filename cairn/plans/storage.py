@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from cairn.operators import joins, windows
@@ -14,6 +15,7 @@ from cairn.plans.analytics import DASHBOARD_SQL
 from cairn.plans.registry import register
 from cairn.session import cut_lineage, scratch_path
 from cairn.sources import catalog, files
+from cairn.sources.catalog import persisted
 from cairn.sources.tables import read_table
 
 
@@ -129,8 +131,7 @@ def bucketed_details_since(spark, sf_dir):
     )
 
 
-@register(
-    "user_device_shared",
+USER_DEVICE_SQL = (
     O.with_(O.DEVICES)
     + """, agg AS (
     SELECT user_id, device_id, count(*) AS n, string_agg(DISTINCT host, ',' ORDER BY host) AS hosts
@@ -138,14 +139,31 @@ def bucketed_details_since(spark, sf_dir):
 )
 SELECT 'user' AS level, user_id AS id, max(n) AS hits, count(*) AS others, max(hosts) AS hosts FROM agg GROUP BY user_id
 UNION ALL
-SELECT 'device', a.device_id, CAST(sum(n) AS BIGINT), count(*), max(hosts) FROM agg a JOIN devices USING (device_id) GROUP BY a.device_id""",
-    ids=("C25", "A06", "S24"),
+SELECT 'device', a.device_id, CAST(sum(n) AS BIGINT), count(*), max(hosts) FROM agg a JOIN devices USING (device_id) GROUP BY a.device_id"""
 )
+
+
+@register("user_device_shared", USER_DEVICE_SQL, ids=("C25", "A06"))
 def user_device_shared(spark, sf_dir):
     """One aggregate with its distinct hosts, computed once and read by both
     rollups (written, so that it outlives its executors)."""
+    return _user_device_rollups(spark, sf_dir, cut_lineage(_user_devices(spark, sf_dir), "user_device"))
+
+
+@register("user_device_cached", USER_DEVICE_SQL, ids=("C25", "S24"))
+def user_device_cached(spark, sf_dir):
+    """The same two rollups from a cached intermediate, which is given back
+    once the result is written. A lost block is computed again."""
+    with persisted(_user_devices(spark, sf_dir), StorageLevel.MEMORY_AND_DISK) as agg:
+        return cut_lineage(_user_device_rollups(spark, sf_dir, agg), "user_device_cached")
+
+
+def _user_devices(spark, sf_dir):
     agg = joins.user_device_aggregate(standins.web_events(spark, sf_dir))
-    agg = cut_lineage(agg.withColumn("hosts", F.array_join("host_array", ",")), "user_device")
+    return agg.withColumn("hosts", F.array_join("host_array", ","))
+
+
+def _user_device_rollups(spark, sf_dir, agg):
     users = agg.groupBy(F.lit("user").alias("level"), F.col("user_id").alias("id")).agg(
         F.max("event_counts").alias("hits"), F.count(F.lit(1)).alias("others"), F.max("hosts").alias("hosts")
     )
