@@ -7,10 +7,16 @@ are dealt by a hash into blocks of about ``block_items``, whose number
 grows with the input. Each block is packed by ``islands`` populations that
 evolve apart: a crossover injects the best-filled bins of one parent whole
 into the other, bins that then hold an item twice are dissolved, and their
-other items are placed best-fit, largest first. After each round of
-generations the best packing of an island migrates to the next island of
-its block, through a table in the shared folder. At last the best packing of
-each block places its pieces. No task holds more than one block.
+other items first change places with one or two items of a bin where that
+fills it better, and the rest is placed best-fit, largest first. After each
+round of generations the best packing of an island migrates to the next island
+of its block, through a table in the shared folder. The search works on every
+block that best-fit does not close: it ends before its last generation only
+when the block has as few bins as its tokens need. The best packing of each
+block places its pieces. Bins with more than a twentieth unused are taken
+apart, and their pieces form the blocks of a next level, so that the whole
+table meets the bound and not each block by itself; the last level has one
+block. No task holds more than one block.
 
 Null texts count as empty; an empty document is its end id alone. Repeated
 rows are packed as often as they stand in the input; null ids are kept.
@@ -33,7 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from cairn.llm import textbuf as tb
 from cairn.session import cut_lineage
@@ -42,8 +48,11 @@ CAPACITY = 2048
 BLOCK_ITEMS = 4096
 ISLANDS = 2
 ROUNDS = 2
-GENERATIONS = 4
-POPULATION = 4
+GENERATIONS = 20  # a round, on blocks that best-fit does not close
+POPULATION = 8
+MOST_UNPLACED = 200  # unplaced items whose pairs an exchange looks at; the rest is placed best-fit
+NEIGHBOURS = 2  # pairs of a bin's items that stand this close by length
+LEFT_OVER = 20  # bins with more than a 20th unused go to the next level
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 PIECES = "id {id_type}, row long, piece int, start long, length long, ids_crc32 long"
@@ -170,6 +179,63 @@ def pack_order(lengths, order, capacity: int) -> Packing:
     return p
 
 
+def exchange(p: Packing, items: np.ndarray, lengths, passes: int = 2) -> np.ndarray:
+    """Fill bins of ``p`` better: one or two of a bin's items make room for
+    one or two of the unplaced ``items`` that leave less of it unused. Each pass
+    looks all candidates up in the sorted sums of the unplaced and takes them
+    by their gain, a bin and an item once. What is unplaced then."""
+    for _ in range(passes):
+        room = np.array(p.room, dtype=np.int64)
+        if not len(items) or not len(room):
+            return items
+        # sums of one and of two unplaced items
+        few = items[: MOST_UNPLACED]
+        i, j = np.triu_indices(len(few), 1)
+        one, two = np.concatenate([few, few[i]]), np.concatenate([np.full(len(few), -1), few[j]])
+        total = lengths[one] + np.where(two >= 0, lengths[two], 0)
+        order = np.argsort(total, kind="stable")
+        one, two, total = one[order], two[order], total[order]
+        # one or two neighbours of a bin: its items in order of length
+        open_bins = np.flatnonzero(room > 0)
+        inside = np.flatnonzero((p.bin >= 0) & np.isin(p.bin, open_bins))
+        inside = inside[np.argsort(p.bin[inside], kind="stable")]
+        b = p.bin[inside]
+        out_1, out_2 = [inside], [np.full(len(inside), -1)]
+        for step in range(1, NEIGHBOURS + 1):
+            same = np.flatnonzero(b[step:] == b[:-step])
+            out_1.append(inside[same])
+            out_2.append(inside[same + step])
+        first, second = np.concatenate(out_1), np.concatenate(out_2)
+        leaves = lengths[first] + np.where(second >= 0, lengths[second], 0)
+        owner = p.bin[first]
+        limit = leaves + room[owner]
+        best = np.searchsorted(total, limit, side="right") - 1
+        gain = np.where(best >= 0, total[np.maximum(best, 0)] - leaves, 0)
+        taken = np.zeros(len(lengths), bool)
+        used = np.zeros(len(room), bool)
+        changed = False
+        unplaced = set(items.tolist())
+        for c in np.argsort(-gain, kind="stable"):
+            if gain[c] <= 0:
+                break
+            bin_, come = int(owner[c]), [int(x) for x in (one[best[c]], two[best[c]]) if x >= 0]
+            if used[bin_] or taken[come].any():
+                continue
+            used[bin_] = changed = True
+            taken[come] = True
+            for x in (first[c], second[c]):
+                if x >= 0:
+                    p.bin[x] = -1
+                    unplaced.add(int(x))
+            p.bin[come] = bin_
+            unplaced -= set(come)
+            p.room[bin_] -= int(gain[c])
+        items = np.array(sorted(unplaced), dtype=np.int64)
+        if not changed:
+            break
+    return items
+
+
 def crossover(a: Packing, b: Packing, lengths, share: float, rng) -> Packing:
     """Inject well-filled bins of b whole into a copy of a."""
     child = Packing(len(lengths), a.capacity)
@@ -187,7 +253,8 @@ def crossover(a: Packing, b: Packing, lengths, share: float, rng) -> Packing:
     number = np.where(pick, np.cumsum(pick) - 1 + len(child.room), -1)
     child.bin[moved] = number[b.bin[moved]]
     child.room += [int(r) for r in room_b[pick]]
-    child.place(np.flatnonzero(displaced), lengths)  # largest first: lengths are sorted
+    child.bin[displaced] = -1
+    child.place(exchange(child, np.flatnonzero(displaced), lengths), lengths)  # largest first: lengths are sorted
     return child
 
 
@@ -201,33 +268,39 @@ def mutate(p: Packing, lengths, rng, share: float = 0.05) -> Packing:
     child = Packing(len(lengths), p.capacity)
     child.bin, child.room = p.bin.copy(), list(p.room)
     items = np.flatnonzero(~keep[child.bin])
+    child.bin[items] = -1
     child.compact(keep)
-    child.place(items, lengths)
+    child.place(exchange(child, items, lengths), lengths)
     return child
 
 
-def evolve(lengths, population: list[Packing], capacity: int, seed: int, generations: int, size: int) -> list[Packing]:
-    """Some generations; the best comes first. Lengths sort descending."""
+def evolve(lengths, population: list[Packing], capacity: int, seed: int, generations: int, size: int) -> tuple[list[Packing], int, int]:
+    """Up to ``generations`` generations, the best packing first, how many
+    there were, and the bins of the first packing (best-fit, for an empty
+    population). They end early only when the best packing has as few bins as
+    the sum of the lengths needs: no packing has fewer. Lengths sort
+    descending."""
     rng = np.random.default_rng(seed)
     n = len(lengths)
     bound = -(-int(lengths.sum()) // capacity)
     pop = list(population)
     if not pop:
         pop.append(pack_order(lengths, range(n), capacity))
-    while len(pop) < size:
-        shaken = np.argsort(-lengths * (1.0 + 0.1 * rng.standard_normal(n)), kind="stable")
-        pop.append(pack_order(lengths, shaken, capacity))
-    for _ in range(generations):
-        pop.sort(key=Packing.fitness, reverse=True)
-        if len(pop[0].room) <= bound:
-            break  # no packing can have fewer bins
-        pop = pop[:size]
-        i, j = rng.choice(len(pop), size=2, replace=False) if len(pop) > 1 else (0, 0)
-        pop.append(crossover(pop[min(i, j)], pop[max(i, j)], lengths, rng.uniform(0.2, 0.6), rng))
-        pop.append(crossover(pop[max(i, j)], pop[0], lengths, rng.uniform(0.2, 0.6), rng))
+    done, start = 0, len(pop[0].room)
+    while done < generations and min(len(p.room) for p in pop) > bound:
+        while len(pop) < size:
+            shaken = np.argsort(-lengths * (1.0 + 0.1 * rng.standard_normal(n)), kind="stable")
+            pop.append(pack_order(lengths, shaken, capacity))
+        pop = sorted(pop, key=Packing.fitness, reverse=True)[:size]
+        # parents by tournament; the better of two gives its bins to the other
+        for _ in range(max(1, size // 3)):
+            i, j = sorted(rng.choice(len(pop), size=2, replace=False)) if len(pop) > 1 else (0, 0)
+            pop.append(crossover(pop[j], pop[i], lengths, rng.uniform(0.2, 0.6), rng))
         pop.append(mutate(pop[0], lengths, rng))
+        pop.append(mutate(pop[int(rng.integers(len(pop)))], lengths, rng, 0.15))
+        done += 1
     pop.sort(key=Packing.fitness, reverse=True)
-    return pop[:size]
+    return pop[:size], done, start
 
 
 def _dump(pop: list[Packing]) -> bytes:
@@ -244,34 +317,22 @@ def _load(blob: bytes, lengths, capacity: int) -> list[Packing]:
     return out
 
 
-STATE = "block long, island int, lengths binary, population binary, bins int"
+STATE = "block long, island int, lengths binary, population binary, bins int, generations int, best_fit int"
+STATE_COLUMNS = [c.split()[0] for c in STATE.split(", ")]
 
 
-def pack(
-    items: DataFrame,
-    capacity: int = CAPACITY,
-    block_items: int = BLOCK_ITEMS,
-    islands: int = ISLANDS,
-    rounds: int = ROUNDS,
-    generations: int = GENERATIONS,
-    population: int = POPULATION,
-) -> DataFrame:
-    """``items`` (the columns of ``pieces``; a table that reads the same
-    each time) plus sequence_id and offset."""
-    whole = items.where(F.col("length") >= capacity)
-    whole = whole.select("*", (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    part = items.where(F.col("length") < capacity)
-    n_blocks = max(1, -(-part.count() // block_items))
-    part = part.withColumn("block", F.pmod(F.xxhash64("row", "piece"), F.lit(n_blocks)))
+def _ordered(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable")
 
-    def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable")
+
+def evolved_blocks(part: DataFrame, n_blocks: int, capacity: int, islands: int, rounds: int, generations: int, population: int,
+                   seed: int) -> DataFrame:
+    """The islands of all blocks after the last round."""
 
     def problem(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        lengths = ordered(pdf)["length"].to_numpy().astype("<i4").tobytes()
-        return pd.DataFrame(
-            {"block": key[0], "island": np.arange(islands), "lengths": [lengths] * islands, "population": [b""] * islands, "bins": 0}
-        )
+        lengths = _ordered(pdf)["length"].to_numpy().astype("<i4").tobytes()
+        rows = [(key[0], i, lengths, b"", 0, 0, 0) for i in range(islands)]
+        return pd.DataFrame(rows, columns=STATE_COLUMNS)
 
     def step(round_no: int):
         def run(frames):
@@ -280,10 +341,11 @@ def pack(
                 for r in pdf.itertuples(index=False):
                     lengths = np.frombuffer(r.lengths, "<i4").astype(np.int64)
                     pop = _load(r.population, lengths, capacity) + _load(r.immigrant or b"", lengths, capacity)
-                    seed = (int(r.block) * islands + int(r.island)) * 1000 + round_no
-                    pop = evolve(lengths, pop, capacity, seed, generations, population)
-                    out.append((r.block, r.island, r.lengths, _dump(pop), len(pop[0].room)))
-                yield pd.DataFrame(out, columns=["block", "island", "lengths", "population", "bins"])
+                    own = ((seed * rounds + round_no) << 32) + int(r.block) * islands + int(r.island)
+                    pop, done, start = evolve(lengths, pop, capacity, own, generations, population)
+                    first = start if round_no == 0 else r.best_fit
+                    out.append((r.block, r.island, r.lengths, _dump(pop), len(pop[0].room), r.generations + done, first))
+                yield pd.DataFrame(out, columns=STATE_COLUMNS)
 
         return run
 
@@ -300,24 +362,71 @@ def pack(
             F.expr("substring(population, 1, length(lengths))").alias("immigrant"),
         )
         state = evolved.join(elite, ["block", "island"])
-    best = evolved.groupBy("block").agg(F.max_by("population", F.struct(-F.col("bins"), -F.col("island"))).alias("population"))
+    return evolved
+
+
+def _assign(level: int, capacity: int):
+    """Places of a block's pieces in its best packing; ``half_full`` marks
+    those in bins with more than a ``LEFT_OVER``-th unused."""
 
     def assign(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = ordered(left).reset_index(drop=True)
+        out = _ordered(left).reset_index(drop=True)
         bins = np.frombuffer(right["population"].iloc[0], "<i4")[: len(out)].astype(np.int64)
         order = np.argsort(bins, kind="stable")
         length = out["length"].to_numpy()[order]
         before = np.cumsum(length) - length
         first = np.concatenate([[True], bins[order][1:] != bins[order][:-1]])
         offset = before - np.maximum.accumulate(np.where(first, before, 0))
+        fill = np.bincount(bins, weights=out["length"].to_numpy())
         out = out.iloc[order].drop(columns="block")
-        out["sequence_id"] = int(key[0]) * (1 << 24) + bins[order]
+        out["sequence_id"] = (level << 56) + int(key[0]) * (1 << 24) + bins[order]
         out["offset"] = offset
+        out["half_full"] = (capacity - fill[bins[order]]) * LEFT_OVER > capacity
         return out
 
-    schema = StructType([*items.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    packed = part.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(assign, schema)
-    return whole.unionByName(packed)
+    return assign
+
+
+def pack(
+    items: DataFrame,
+    capacity: int = CAPACITY,
+    block_items: int = BLOCK_ITEMS,
+    islands: int = ISLANDS,
+    rounds: int = ROUNDS,
+    generations: int = GENERATIONS,
+    population: int = POPULATION,
+    report: list | None = None,
+) -> DataFrame:
+    """``items`` (the columns of ``pieces``; a table that reads the same
+    each time) plus sequence_id and offset. ``report`` gets a dict a level:
+    its blocks and pieces, the bins of best-fit and of the search, and the
+    generations that ran."""
+    whole = items.where(F.col("length") >= capacity)
+    out = whole.select("*", (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    part = items.where(F.col("length") < capacity)
+    placed = [*items.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
+    level, n = 0, part.count()
+    while n:
+        n_blocks = -(-n // block_items)
+        part = part.withColumn("block", F.pmod(F.xxhash64("row", "piece", F.lit(level)), F.lit(n_blocks)))
+        evolved = evolved_blocks(part, n_blocks, capacity, islands, rounds, generations, population, level)
+        best = evolved.groupBy("block").agg(F.max_by(F.struct(*STATE_COLUMNS), F.struct(-F.col("bins"), -F.col("island"))).alias("b"))
+        if report is not None:
+            sums = [F.sum(c).alias(c) for c in ("best_fit", "bins", "generations")]
+            report.append({"level": level, "blocks": n_blocks, "pieces": n} | best.select("b.*").agg(*sums).first().asDict())
+
+        groups = part.groupBy("block").cogroup(best.select("block", "b.population").groupBy("block"))
+        packed = groups.applyInPandas(_assign(level, capacity), StructType([*placed, StructField("half_full", BooleanType())]))
+        packed = cut_lineage(packed, "packing_level")
+        left = packed.where("half_full")
+        n_left = left.count() if n_blocks > 1 else 0
+        # what the blocks could not fill is packed again, together; a level
+        # that leaves more than half of its pieces has long ones, and is final
+        if 2 * n_left > n:
+            n_left = 0
+        out = out.unionByName(packed.where("NOT half_full" if n_left else "true").drop("half_full"))
+        part, n, level = left.select(*items.columns), n_left, level + 1
+    return out.select(*[f.name for f in placed])
 
 
 def pack_documents(
