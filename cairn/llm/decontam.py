@@ -17,9 +17,11 @@ The n-grams of the test set travel to the tasks in blocks of items of at
 most about ``block_grams`` n-grams; a larger test set takes more passes over
 the documents, never a larger broadcast. Passages are aligned where they
 stand, so a document's text never moves. An item with fewer than ``n``
-words is sought as a whole; one without words matches nothing. Null texts
-count as empty. Rows with equal ids are scanned one by one. Other columns
-are ignored. Empty tables give an empty result.
+words is sought as a whole; one without words matches nothing. Of several
+alignments of a passage with an item the first best one counts (ties), and
+repeated benchmark rows are one item. Null texts count as empty, very long ones
+are scanned whole. Rows with equal ids are scanned one by one. Other columns
+are ignored, whatever their names. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -189,10 +191,14 @@ def frequencies(items: Items, counts: dict[int, int]) -> np.ndarray:
 
 
 def rare(items: Items, df: np.ndarray, rarity: float) -> np.ndarray:
-    keep = np.ones(len(df), bool)
-    for item in np.unique(items.owner):
-        mine = items.owner == item
-        keep[mine] = df[mine] <= rarity * max(1.0, float(np.median(df[mine])))
+    """Which n-grams are at most ``rarity`` times as frequent as the median
+    one of their item; one sort for all items."""
+    order = np.lexsort((df, items.owner))
+    ranked = df[order]
+    _, start, item, size = np.unique(items.owner[order], return_index=True, return_inverse=True, return_counts=True)
+    median = (ranked[start + (size - 1) // 2] + ranked[start + size // 2]) / 2
+    keep = np.empty(len(df), bool)
+    keep[order] = ranked <= (rarity * np.maximum(1.0, median))[item]
     return keep
 
 

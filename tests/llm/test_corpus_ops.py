@@ -64,6 +64,28 @@ def test_exact_dedup_has_no_python(spark, sf_small):
     assert not re.search("Python|Pandas|MapInArrow", plan)
 
 
+def test_rare_grams_equal_the_median_rule():
+    rng = np.random.default_rng(1)
+
+    class Some:
+        owner = rng.integers(0, 40, 500)
+
+    df = rng.integers(0, 60, 500).astype(float)
+    want = [d <= 4.0 * max(1.0, np.median(df[Some.owner == o])) for d, o in zip(df, Some.owner)]
+    assert decontam.rare(Some, df, 4.0).tolist() == want
+
+
+def test_rare_grams_of_many_items_take_one_sort():
+    import time
+
+    class Many:
+        owner = np.repeat(np.arange(25_000), 40)
+
+    start = time.process_time()
+    decontam.rare(Many, np.random.default_rng(2).integers(0, 9, len(Many.owner)).astype(float), 4.0)
+    assert time.process_time() - start < 1
+
+
 # ---- packing
 
 
@@ -130,8 +152,9 @@ def test_queries_read_added_tokens_as_the_tokenizer_does(llm, tmp_path, sf_small
 def test_genetic_steps_keep_valid_packings_and_do_not_get_worse():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 700, 600))[::-1].astype(np.int64)
-    start = packing.evolve(lengths, [], 1000, 1, 0, 4)
-    pop = packing.evolve(lengths, start, 1000, 1, 12, 4)
+    start, none, bins = packing.evolve(lengths, [], 1000, 1, 0, 4)
+    assert (none, bins) == (0, len(start[0].room))
+    pop, _, _ = packing.evolve(lengths, start, 1000, 1, 12, 4)
     for p in pop + [packing.crossover(pop[0], pop[1], lengths, 0.4, rng), packing.mutate(pop[0], lengths, rng)]:
         load = np.bincount(p.bin, weights=lengths, minlength=len(p.room))
         assert (p.bin >= 0).all() and load.max() <= 1000
@@ -140,6 +163,70 @@ def test_genetic_steps_keep_valid_packings_and_do_not_get_worse():
     assert len(pop[0].room) <= -(-lengths.sum() // 1000) * 1.02 + 1
 
 
+def triplets(k, capacity, rng):
+    """Lengths of which every three fill a bin exactly; best-fit misses that."""
+    out = []
+    for _ in range(k):
+        a = int(rng.integers(capacity * 38 // 100, capacity * 49 // 100))
+        b = int(rng.integers(capacity // 4 + 1, max((capacity - a) // 2 + 1, capacity // 4 + 2)))
+        out += [a, b, capacity - a - b]
+    return np.sort(np.array(out, dtype=np.int64))[::-1].copy()
+
+
+@pytest.mark.parametrize("k", [20, 100, 400])
+def test_genetic_search_beats_best_fit(k):
+    lengths = triplets(k, 2048, np.random.default_rng(k))
+    pop, done, best_fit = packing.evolve(lengths, [], 2048, 1, packing.GENERATIONS, packing.POPULATION)
+    assert best_fit >= k * 1.1  # a tenth more than needed
+    assert len(pop[0].room) <= k * 1.05 and done > 0
+    load = np.bincount(pop[0].bin, weights=lengths)
+    assert load.max() <= 2048 and (load == 2048 - np.array(pop[0].room)).all()
+
+
+def lengths_frame(llm, lengths):
+    rows = [(i, i, 0, 0, int(n), 0) for i, n in enumerate(lengths)]
+    return llm.createDataFrame(rows, packing.PIECES.format(id_type="long"))
+
+
+def packed_bins(out, lengths, capacity):
+    rows = out.collect()
+    assert sorted((r.row, r.length) for r in rows) == [(i, int(n)) for i, n in enumerate(lengths)]
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for spots in bins.values():
+        at = 0
+        for offset, length in sorted(spots):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_pack_reports_what_the_search_saves(llm):
+    lengths = triplets(120, 1000, np.random.default_rng(5))
+    report = []
+    used = packed_bins(packing.pack(lengths_frame(llm, lengths), 1000, block_items=180, report=report), lengths, 1000)
+    assert report[0]["blocks"] == 2 and report[0]["generations"] > 0
+    assert report[0]["bins"] < report[0]["best_fit"]
+    assert used < len(packing.pack_order(lengths, range(len(lengths)), 1000).room)
+
+
+def test_blocks_share_what_they_leave(llm):
+    """Twenty blocks would each leave a bin half full; together they do not."""
+    lengths = np.sort(np.random.default_rng(6).integers(1, 300, 1500))[::-1]
+    report = []
+    used = packed_bins(packing.pack(lengths_frame(llm, lengths), 1000, block_items=75, report=report), lengths, 1000)
+    bound = -(-int(lengths.sum()) // 1000)
+    assert len(report) > 1 and report[0]["bins"] > bound + 5
+    assert used <= bound + 2
+
+
+def test_pieces_that_pair_with_nothing_end(llm):
+    lengths = np.full(64, 600)
+    assert packed_bins(packing.pack(lengths_frame(llm, lengths), 1000, block_items=8), lengths, 1000) == 64
+
+
 # ---- suffix dedup
 
 
