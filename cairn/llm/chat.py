@@ -11,24 +11,28 @@ replaced, reversibly: a backslash doubles, ``### `` becomes ``\\h`` and
 undoes it. Roles other than user, assistant and system are written as ``@``
 and the escaped role with ``:`` as ``\\c``.
 
-Windows. Prefix sums of the turns' token counts cut a conversation into
+Windows. Running sums of the turns' token counts cut a conversation into
 turn-aligned spans of at most ``budget`` tokens together with what is
 repeated before them: the system turn (if the conversation starts with one)
 and up to ``history_turns`` earlier turns of together at most ``history``
-tokens. With ``room = budget - history - system tokens``, turns whose prefix
-sum ends in the same half of ``room`` share a window, which keeps their sum
-within ``room``; a turn longer than half of it has a window of its own. A
-turn is never cut: one longer than its room makes the window exceed the
-budget (``over_budget``). Every turn is new in exactly one window; repeated
-turns are masked, so each assistant text is a target once.
-
-Null texts and roles count as empty. Rows with a null conversation id form
-one conversation; null turns come first. An empty table gives no windows.
+tokens. A span takes turns as long as their sum stays within ``room = budget -
+history - system tokens``; a fold over the token counts finds the cuts, which
+are as few as such spans allow. A turn is never cut: one longer than the room
+has a window of its own that exceeds the budget (``over_budget``). Every turn
+is new in exactly one window; repeated turns are masked, so each assistant text
+is a target once.
+
+A conversation is one row while it is cut, as its digest needs its turns in
+order: memory is bounded by the longest conversation, not by the table. Null
+texts and roles count as empty. Rows with a null conversation id form one
+conversation (so they stand in one row too); null turns come first. Repeated
+rows are turns of their own; very long texts stay whole; other columns are
+ignored. An empty table gives no windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUDGET = 2048
@@ -73,6 +77,25 @@ def token_estimate(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\w{1,4}|[^\w\s]")) + F.lit(3)
 
 
+def window_starts(tokens: Column, room: Column, free: Column) -> Column:
+    """Positions (from 1) of the first turn of every window: a turn opens a
+    window when it no longer fits. The first ``free`` turns take no room (the
+    system turn, for which ``room`` leaves place in every window)."""
+    zero = F.struct(F.lit(0).alias("pos"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("n"), F.array(F.lit(1)).alias("starts"))
+
+    def step(a, t):
+        full = (a["n"] > 0) & (a["used"] + t > room)
+        counts = a["pos"] >= free
+        return F.struct(
+            (a["pos"] + 1).alias("pos"),
+            F.when(~counts, F.lit(0).cast("long")).when(full, t).otherwise(a["used"] + t).alias("used"),
+            F.when(~counts, F.lit(0)).when(full, F.lit(1)).otherwise(a["n"] + 1).alias("n"),
+            F.when(full, F.concat(a["starts"], F.array(a["pos"] + 1))).otherwise(a["starts"]).alias("starts"),
+        )
+
+    return F.aggregate(tokens, zero, step, lambda a: a["starts"])
+
+
 def format_windows(
     conversations: DataFrame,
     conv_col: str = "conv_id",
@@ -94,64 +117,44 @@ def format_windows(
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    start = F.concat(F.lit(HEAD), role_label(F.col("role")), F.lit(": "))
-    body = escape(F.col("text"))
-    piece = F.struct(
-        F.col("pos"),
-        F.length("start").alias("skip"),
-        F.length("body").alias("n"),
-        (F.col("role") == "assistant").alias("target"),
-        F.col("tokens"),
-        F.concat("start", "body", F.lit(TAIL)).alias("s"),
-    )
-    half = F.greatest(F.floor((F.lit(budget) - F.lit(history) - F.col("system_tokens")) / 2), F.lit(1))
-    turns = (
-        rows.withColumn("pos", F.row_number().over(order))
-        .withColumn("start", start)
-        .withColumn("body", body)
-        .withColumn("tokens", tokens(F.col("text")).cast("long"))
-        .withColumn("piece", piece)
-        .withColumn("is_system", (F.col("pos") == 1) & (F.col("role") == "system"))
-        .withColumn("system", F.first(F.when(F.col("is_system"), F.col("piece"))).over(upto))
-        .withColumn("system_tokens", F.coalesce(F.col("system.tokens"), F.lit(0)))
-        .withColumn("prefix", F.sum("tokens").over(upto))
-        .withColumn("half", half)
-        .withColumn("bucket", F.floor((F.col("prefix") - 1) / F.col("half")))
-        .withColumn("alone", F.col("tokens") > F.col("half"))
-    )
-    # the system turn opens the first span; it is no reason to start another
-    opens = (
-        F.lag("bucket").over(order).isNull()
-        | (F.lag("bucket").over(order) != F.col("bucket"))
-        | F.col("alone")
-        | F.lag("alone").over(order)
-    ) & ~(F.coalesce(F.lag("is_system").over(order), F.lit(False)) & (F.col("pos") == 2))
-    spans = turns.withColumn("opens", opens).withColumn("window", F.sum(F.col("opens").cast("long")).over(upto) - 1)
-    if history_turns > 0:
-        before = F.collect_list("piece").over(order.rowsBetween(-history_turns, -1))
-    else:
-        before = F.array().cast("array<struct<pos:int,skip:int,n:int,target:boolean,tokens:bigint,s:string>>")
-    spans = spans.select(
-        "conv",
-        "window",
-        "piece",
-        F.when(F.col("opens") & (F.col("pos") > 1), before).alias("before"),
-        F.when(F.col("opens") & (F.col("pos") > 1), F.col("system")).alias("system"),
-    )
-    grouped = spans.groupBy("conv", "window").agg(
-        F.sort_array(F.collect_list("piece")).alias("new"),
-        F.first("before", ignorenulls=True).alias("before"),
-        F.first("system", ignorenulls=True).alias("system"),
-    )
+    turn = F.struct("turn", "role", "text", tokens(F.col("text")).cast("long").alias("tokens"))
+    whole = rows.groupBy("conv").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+
+    def piece(t, i):
+        start = F.concat(F.lit(HEAD), role_label(t["role"]), F.lit(": "))
+        body = escape(t["text"])
+        return F.struct(
+            (i + 1).alias("pos"),
+            F.length(start).alias("skip"),
+            F.length(body).alias("n"),
+            (t["role"] == "assistant").alias("target"),
+            t["tokens"].alias("tokens"),
+            F.concat(start, body, F.lit(TAIL)).alias("s"),
+        )
+
+    whole = whole.select("conv", (F.col("turns")[0]["role"] == "system").alias("has_system"), F.transform("turns", piece).alias("pieces"))
+    whole = whole.withColumn("system", F.when(F.col("has_system"), F.col("pieces")[0]))
+    whole = whole.withColumn("room", F.greatest(F.lit(budget - history) - F.coalesce(F.col("system.tokens"), F.lit(0)), F.lit(1)))
+    whole = whole.withColumn("cuts", window_starts(F.transform("pieces", lambda x: x["tokens"]), F.col("room"), F.col("has_system").cast("int")))
+
+    def span(first, k):
+        last = F.coalesce(F.get(F.col("cuts"), k + 1) - 1, F.size("pieces"))
+        back = F.least(F.lit(history_turns), first - 1)
+        return F.struct(
+            k.cast("long").alias("window"),
+            F.slice("pieces", first, last - first + 1).alias("new"),
+            F.slice("pieces", first - back, back).alias("before"),
+            F.when(first > 1, F.col("system")).alias("system"),
+        )
+
+    grouped = whole.select("conv", F.explode(F.transform("cuts", span)).alias("w")).select("conv", "w.*")
     # of the turns before, keep the longest tail within the history budget;
     # the system turn is repeated on its own
     tail_tokens = lambda x: F.aggregate(
         F.filter("before", lambda y: y["pos"] >= x["pos"]), F.lit(0).cast("long"), lambda a, y: a + y["tokens"]
     )
     kept = F.filter(
-        F.coalesce(F.col("before"), F.array().cast("array<struct<pos:int,skip:int,n:int,target:boolean,tokens:bigint,s:string>>")),
+        "before",
         lambda x: (F.col("system").isNull() | (x["pos"] > 1)) & (tail_tokens(x) <= history),
     )
     repeated = F.concat(F.when(F.col("system").isNotNull(), F.array("system")).otherwise(F.slice(F.array("system"), 1, 0)), kept)

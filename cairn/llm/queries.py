@@ -71,7 +71,7 @@ _ESCAPED = r"replace(replace(replace({}, '\', '\\'), '### ', '\h'), '</turn>', '
 
 
 OP2_SQL = rf"""
-WITH turns AS (
+WITH RECURSIVE turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, turn, role, '{PROBE}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS p(turn, role)
 ),
@@ -84,20 +84,28 @@ sized AS (
 ),
 opened AS (
   SELECT *, max(tokens) FILTER (pos = 1 AND role = 'system') OVER c AS system_tokens,
-         max(chars) FILTER (pos = 1 AND role = 'system') OVER c AS system_chars,
-         sum(tokens) OVER (c ORDER BY pos) AS prefix
+         max(chars) FILTER (pos = 1 AND role = 'system') OVER c AS system_chars
   FROM sized WINDOW c AS (PARTITION BY conv_id)
 ),
-halves AS (
-  SELECT *, greatest(({chat.BUDGET - chat.HISTORY} - coalesce(system_tokens, 0)) // 2, 1) AS half FROM opened
+filled AS (
+  -- a turn opens a window when it no longer fits; the system turn takes no room
+  SELECT conv_id, pos, tokens AS used, false AS again FROM opened WHERE pos = 1 AND system_tokens IS NULL
+  UNION ALL
+  SELECT conv_id, pos, 0, false FROM opened WHERE pos = 1 AND system_tokens IS NOT NULL
+  UNION ALL
+  SELECT o.conv_id, o.pos, if(again_now, o.tokens, f.used + o.tokens), again_now
+  FROM (
+    SELECT f.conv_id, f.pos, f.used,
+           f.used > 0 AND f.used + o.tokens > greatest({chat.BUDGET - chat.HISTORY} - coalesce(o.system_tokens, 0), 1) AS again_now
+    FROM filled f JOIN opened o ON o.conv_id IS NOT DISTINCT FROM f.conv_id AND o.pos = f.pos + 1
+  ) f JOIN opened o ON o.conv_id IS NOT DISTINCT FROM f.conv_id AND o.pos = f.pos + 1
 ),
 spans AS (
-  SELECT *, pos > 1 AND NOT (pos = 2 AND system_tokens IS NOT NULL) AND (
-              (prefix - 1) // half <> lag((prefix - 1) // half) OVER o OR tokens > half OR lag(tokens > half) OVER o
-            ) AS again,
-         pos - 1 > if(system_tokens IS NULL, 0, 1) AS has_1, pos - 2 > if(system_tokens IS NULL, 0, 1) AS has_2,
+  SELECT o.*, f.again,
+         o.pos - 1 > if(system_tokens IS NULL, 0, 1) AS has_1, o.pos - 2 > if(system_tokens IS NULL, 0, 1) AS has_2,
          lag(tokens) OVER o AS t_1, lag(tokens, 2) OVER o AS t_2, lag(chars) OVER o AS c_1, lag(chars, 2) OVER o AS c_2
-  FROM halves WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+  FROM opened o JOIN filled f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.pos = o.pos
+  WINDOW o AS (PARTITION BY o.conv_id ORDER BY o.pos)
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,

@@ -131,6 +131,51 @@ def test_chat_query_digests(spark, sf_small):
         assert g.formatted_chars >= len(whole)
 
 
+def greedy_starts(tokens, room, free):
+    starts, used, n = [1], 0, 0
+    for pos, t in enumerate(tokens):
+        if pos < free:
+            continue
+        if n and used + t > room:
+            starts.append(pos + 1)
+            used, n = t, 1
+        else:
+            used, n = used + t, n + 1
+    return starts
+
+
+def test_chat_windows_are_as_few_as_a_greedy_cut_makes(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(300):
+        tokens = [rng.choice([3, 10, 40, 90, 250, 700]) for _ in range(rng.randrange(1, 60))]
+        rows.append((i, tokens, rng.choice([1, 200, 600]), rng.randrange(0, 2)))
+    rows.append((999, [50] * 20_000, 600, 1))
+    df = spark.createDataFrame(rows, "i int, tokens array<bigint>, room long, free int")
+    got = {r.i: r.s for r in df.select("i", chat.window_starts(F.col("tokens"), F.col("room"), F.col("free")).alias("s")).collect()}
+    for i, tokens, room, free in rows:
+        assert got[i] == greedy_starts(tokens, room, free)
+
+
+def test_chat_windows_fill_the_room(llm):
+    """No two neighbouring windows would fit into one with the same reserve."""
+    rng = random.Random(3)
+    rows = [(c, t, "user" if t % 2 else "assistant", "word " * rng.randrange(1, 90)) for c in range(20) for t in range(rng.randrange(1, 120))]
+    rows += [(c, -1, "system", "be kind " * 20) for c in range(0, 20, 2)]
+    frame = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    wins = defaultdict(list)
+    for w in chat.format_windows(frame, budget=400, history=80).collect():
+        wins[w.conv].append(w)
+    system = 3 + 2 * 20
+    for conv, ws in wins.items():
+        ws.sort(key=lambda w: w.window)
+        assert [w.window for w in ws] == list(range(len(ws)))
+        reserve = system if conv % 2 == 0 else 0
+        total = sum(3 + 2 * 0 + len(re.findall(r"\w{1,4}|[^\w\s]", t)) for c, _, r, t in rows if c == conv and r != "system")
+        assert len(ws) <= total / (400 - 80 - reserve - 90) + 1
+        assert all(not w.over_budget for w in ws)
+
+
 def test_chat_plan_has_no_python(spark, sf_small):
     plan = QUERIES["op2_chat_format"](spark, sf_small)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
