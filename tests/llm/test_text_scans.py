@@ -171,7 +171,7 @@ def test_chat_windows_fill_the_room(llm):
         ws.sort(key=lambda w: w.window)
         assert [w.window for w in ws] == list(range(len(ws)))
         reserve = system if conv % 2 == 0 else 0
-        total = sum(3 + 2 * 0 + len(re.findall(r"\w{1,4}|[^\w\s]", t)) for c, _, r, t in rows if c == conv and r != "system")
+        total = sum(3 + len(re.findall(r"\w{1,4}|[^\w\s]", t)) for c, _, r, t in rows if c == conv and r != "system")
         assert len(ws) <= total / (400 - 80 - reserve - 90) + 1
         assert all(not w.over_budget for w in ws)
 
