@@ -14,14 +14,18 @@ lost, and pairs within a group are not all made:
    ``n - ceil(n * num / den) + 1`` shingles. The index entries (shingle, set,
    set size, position) travel as packed arrays, in buckets whose number
    grows with the input.
-3. Index skipping: a list is sorted by position. A partner's size must be
-   within ``num / den`` and what both have left after their positions must
-   still reach the overlap needed; beyond that position the rest of the list
-   is skipped as a block.
-4. Answer skipping: in each list, the set with the smallest position (the
-   least that is its own) is verified against the others first. The links
-   found join sets into groups; a group's further inner pairs need no answer.
-   Of the pairs that are left, those with a verified common partner get
+3. Answer skipping: in each list, the set with the smallest position (its
+   leader) is verified against the others first. The links found join sets
+   into groups; a group's further inner pairs need no answer, and lists of one
+   group are done.
+4. Index skipping: what is left of a list is sorted by position. A partner's
+   size must be within ``num / den`` and what both have left after their
+   positions must still reach the overlap needed; beyond that position the
+   rest of the list is skipped as a block. Sets that overlap with their leader
+   by known amounts are skipped when these leave too little for each other, so
+   two families that share a passage and do not link make no pairs. Long lists
+   are dealt out by pairs of blocks of about ``LIST_BLOCK`` entries.
+5. Of the pairs that are left, those with a verified common partner get
    their overlap's bounds from that partner's overlaps and are settled by
    them where possible; the others are verified.
 
@@ -43,12 +47,14 @@ from pyspark.sql import functions as F
 
 from cairn.llm import textbuf as tb
 from cairn.llm.components import connected_components
+from cairn.llm.sketches import summed_parts
 from cairn.session import cut_lineage
 
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 BITMAP_BITS = 24
 BUCKET_ENTRIES = 400_000
+LIST_BLOCK = 2048  # entries of a list that one task compares with as many others
 FLUSH_ENTRIES = 1_000_000
 
 
@@ -108,7 +114,7 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 pa.nulls(k, pa.binary()),
             )
         if id_type is not None:
-            parts = counts.astype("<i4").reshape(SKETCH_PARTS, -1)
+            parts = counts.astype("<i8").reshape(SKETCH_PARTS, -1)
             k = SKETCH_PARTS
             yield _batch(
                 names,
@@ -126,22 +132,19 @@ def rarity_classes(counts: DataFrame) -> np.ndarray:
     """One byte per sketch cell, larger for more frequent shingles; its size
     is fixed (1 MB)."""
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, blob in zip(tb.column(batch, "part").to_pylist(), tb.column(batch, "counts")):
-                x = np.frombuffer(blob.as_py(), "<i4").astype(np.int64)
-                sums[part] = sums[part] + x if part in sums else x
-        classes = [np.minimum(255, 8 * np.log2(1 + x)).astype(np.uint8).tobytes() for x in sums.values()]
-        yield _batch(("part", "classes"), pa.array(list(sums), pa.int32()), pa.array(classes, pa.binary()))
-
-    summed = counts.repartition(SKETCH_PARTS, "part").mapInArrow(add, "part int, classes binary").collect()
     out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
-    for r in summed:
+    for r in summed_parts(counts, SKETCH_PARTS).mapInArrow(_classes, "part int, classes binary").collect():
         out[r["part"]] = np.frombuffer(bytes(r["classes"]), np.uint8)
     return out.reshape(-1)
 
 
+def _classes(batches):
+    for batch in batches:
+        sums = [np.frombuffer(x.as_py(), "<i8") for x in tb.column(batch, "counts")]
+        classes = [np.minimum(255, 8 * np.log2(1 + x)).astype(np.uint8).tobytes() for x in sums]
+        yield _batch(("part", "classes"), tb.column(batch, "part"), pa.array(classes, pa.binary()))
+
+
 ENTRY = np.dtype([("token", "<u8"), ("h", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
@@ -227,17 +230,6 @@ def shared_lists(packed: DataFrame, n_buckets: int) -> DataFrame:
     return packed.repartition(n_buckets, "bucket").mapInArrow(run, "token long, h long, n int, pos int")
 
 
-def _lists(batches):
-    """All entries of a partition, sorted by shingle, position and set."""
-    got = [pa.Table.from_batches([b]) for b in batches]
-    if not got:
-        return None
-    t = pa.concat_tables(got)
-    cols = {c: t.column(c).to_numpy() for c in t.column_names}
-    order = np.lexsort((cols["h"], cols["pos"], cols["token"]))
-    return {c: v[order] for c, v in cols.items()}
-
-
 def may_link(n, i, m, j, num: int, den: int):
     """Size filter and position filter of the pair of entries."""
     need = needed_overlap(n, m, num, den)
@@ -254,58 +246,88 @@ def _pairs_batch(a, b):
     return _batch(("a", "b"), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()))
 
 
-def leader_pairs(lists: DataFrame, n_buckets: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs of each list's first set with its others."""
-
-    def run(batches):
-        c = _lists(batches)
-        if c is None:
-            return
-        new = np.concatenate([[True], c["token"][1:] != c["token"][:-1]])
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        n, i = c["n"].astype(np.int64), c["pos"].astype(np.int64)
-        ok = ~new & may_link(n[lead], i[lead], n, i, num, den)
-        yield _pairs_batch(c["h"][lead][ok], c["h"][ok])
-
-    return lists.repartition(n_buckets, "token").mapInArrow(run, "a long, b long").distinct()
-
-
-def cross_pairs(lists: DataFrame, n_buckets: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs of sets of different groups within each list."""
+def _need(num: int, den: int) -> str:
+    """``needed_overlap`` of columns n and m."""
+    return f"(({num} * (n + m) + {den + num - 1}) div {den + num})"
+
+
+def leaders_of(lists: DataFrame) -> DataFrame:
+    """token, lead, m, j: each list's set with the smallest position."""
+    first = lists.groupBy("token").agg(F.min(F.struct("pos", "h", "n")).alias("f"))
+    return first.select("token", F.col("f.h").alias("lead"), F.col("f.n").cast("long").alias("m"), F.col("f.pos").alias("j"))
+
+
+def leader_pairs(lists: DataFrame, leaders: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs of each list's leader with its others."""
+    both = lists.withColumn("n", F.col("n").cast("long")).join(leaders, "token").where("h <> lead")
+    both = both.where(f"{den} * least(n, m) >= {num} * greatest(n, m) AND least(n - pos, m - j) >= {_need(num, den)}")
+    return both.select(F.least("h", "lead").alias("a"), F.greatest("h", "lead").alias("b")).distinct()
+
+
+def list_blocks(placed: DataFrame) -> DataFrame:
+    """Entries of a list of ``k`` blocks, once for each pair of blocks (lo,
+    hi) that their own is part of. Most lists are one block."""
+    cut = placed.withColumn("own", F.pmod(F.xxhash64("h"), F.col("k")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    return cut.select("token", "h", "n", "pos", "root", "known", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+
+def _block_pairs(c: dict, num: int, den: int):
+    """(a, b) arrays: sets of different groups of one pair of blocks that may
+    link, by size, position and what their leader's overlaps allow."""
+    n, pos, h, root, known = (c[x] for x in ("n", "pos", "h", "root", "known"))
+    one = c["own"] == c["lo"]
+    inner = c["lo"][0] == c["hi"][0]
+    left = np.flatnonzero(one)
+    right = left if inner else np.flatnonzero(~one)
+    for at, k in enumerate(left):
+        # a set must itself have enough left; later positions have less
+        if n[k] - pos[k] < -(-n[k] * num // den):
+            continue  # fewer left than its smallest partner needs
+        # positions ascend: past this one, even the longest admissible
+        # partner has too little left, so the block is skipped
+        last = int(np.searchsorted(pos[right], n[k] * den // num - needed_overlap(n[k], -(-n[k] * num // den), num, den), side="right"))
+        r = right[at + 1 if inner else 0 : last]
+        r = r[(root[r] != root[k]) & may_link(n[k], pos[k], n[r], pos[r], num, den)]
+        if known[k] >= 0 and len(r):
+            # both overlap with the list's leader by known amounts
+            high = np.minimum(known[r] + n[k] - known[k], known[k] + n[r] - known[r])
+            r = r[(known[r] < 0) | (high >= needed_overlap(n[k], n[r], num, den))]
+        if len(r):
+            yield np.full(len(r), h[k]), h[r]
+
+
+def cross_pairs(placed: DataFrame, n_buckets: int, num: int, den: int) -> DataFrame:
+    """Candidate pairs of sets of different groups within each list. A list
+    is dealt out by pairs of its blocks, so a frequent shingle is many tasks'
+    work and none holds more than two blocks of it at a time."""
 
     def run(batches):
-        c = _lists(batches)
-        if c is None:
+        got = [pa.Table.from_batches([b]) for b in batches]
+        if not got:
             return
-        edge = np.flatnonzero(np.concatenate([[True], c["token"][1:] != c["token"][:-1], [True]]))
-        out_a, out_b, held = [], [], 0
+        t = pa.concat_tables(got)
+        cols = {x: t.column(x).to_numpy() for x in t.column_names}
+        order = np.lexsort((cols["h"], cols["pos"], cols["hi"], cols["lo"], cols["token"]))
+        cols = {x: v[order] for x, v in cols.items()}
+        new = (cols["token"][1:] != cols["token"][:-1]) | (cols["lo"][1:] != cols["lo"][:-1]) | (cols["hi"][1:] != cols["hi"][:-1])
+        edge = np.flatnonzero(np.concatenate([[True], new, [True]]))
+        out, held = [], 0
         for s, e in zip(edge[:-1], edge[1:]):
-            h, g = c["h"][s:e], c["root"][s:e]
-            if (g == g[0]).all():
+            part = {x: v[s:e] for x, v in cols.items()}
+            if (part["root"] == part["root"][0]).all():
                 continue
-            n, pos = c["n"][s:e].astype(np.int64), c["pos"][s:e].astype(np.int64)
-            # a set must itself have enough left; later positions have less
-            left = n - pos
-            for k in range(e - s - 1):
-                if left[k] < -(-n[k] * num // den):
-                    continue  # fewer left than its smallest partner needs
-                # positions ascend: past this one, even the longest admissible
-                # partner has too little left, so the block is skipped
-                last = int(np.searchsorted(pos, n[k] * den // num - needed_overlap(n[k], -(-n[k] * num // den), num, den), side="right"))
-                r = slice(k + 1, max(k + 1, last))
-                ok = (g[r] != g[k]) & may_link(n[k], pos[k], n[r], pos[r], num, den)
-                hit = h[r][ok]
-                if len(hit):
-                    out_a.append(np.full(len(hit), h[k]))
-                    out_b.append(hit)
-                    held += len(hit)
-            if held > 2_000_000:
-                yield _pairs_batch(np.concatenate(out_a), np.concatenate(out_b))
-                out_a, out_b, held = [], [], 0
+            for pair in _block_pairs(part, num, den):
+                out.append(pair)
+                held += len(pair[0])
+                if held > 2_000_000:
+                    yield _pairs_batch(*(np.concatenate(x) for x in zip(*out)))
+                    out, held = [], 0
         if held:
-            yield _pairs_batch(np.concatenate(out_a), np.concatenate(out_b))
+            yield _pairs_batch(*(np.concatenate(x) for x in zip(*out)))
 
-    return lists.repartition(n_buckets, "token").mapInArrow(run, "a long, b long").distinct()
+    blocks = list_blocks(placed).withColumn("n", F.col("n").cast("long")).withColumn("pos", F.col("pos").cast("long"))
+    return blocks.repartition(n_buckets, "token", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -389,10 +411,11 @@ def _linked(frame: DataFrame, overlap: str, num: int, den: int) -> DataFrame:
 
 
 def find_components(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100, block: int = LIST_BLOCK
 ) -> DataFrame:
     """id, n_shingles, h (set hash), component_id of every document; the
-    component's id is its smallest document id."""
+    component's id is its smallest document id. ``block`` bears on the way
+    work is dealt, never on the result."""
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     described = cut_lineage(describe(docs, size), "jaccard_sets")
     info = described.where("part is null").select("id", "n", "h")
@@ -402,7 +425,8 @@ def find_components(
     classes = sc.broadcast(rarity_classes(described.where("part is not null").select("part", "counts")))
     lists = cut_lineage(shared_lists(index_entries(docs, classes, size, num, den, n_buckets), n_buckets), "jaccard_lists")
 
-    first = cut_lineage(leader_pairs(lists, n_buckets, num, den), "jaccard_leaders")
+    leaders = cut_lineage(leaders_of(lists), "jaccard_firsts")
+    first = cut_lineage(leader_pairs(lists, leaders, num, den), "jaccard_leaders")
     texts = texts_of(docs, lists.select("h").distinct(), size)
     known = cut_lineage(verify(first, texts, size), "jaccard_known")
     links = _linked(known, "overlap", num, den).select("a", "b")
@@ -410,8 +434,15 @@ def find_components(
 
     root = groups.select(F.col("node").alias("h"), "root")
     placed = lists.join(root, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    open_lists = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    placed = placed.join(open_lists, "token", "left_semi").select("token", "h", "n", "pos", "root")
+    # lists with sets of more than one group, their blocks and leaders
+    spread = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("k"))
+    spread = spread.where("lo < hi").select("token", "k").join(leaders.select("token", "lead", F.col("m").alias("lead_n")), "token")
+    placed = placed.join(spread, "token")
+    # what is known of an entry's overlap with its list's leader, else -1
+    sides = known.select("a", "b", "overlap")
+    placed = placed.withColumn("a", F.least("h", "lead")).withColumn("b", F.greatest("h", "lead")).join(sides, ["a", "b"], "left")
+    placed = placed.withColumn("known", F.when(F.col("h") == F.col("lead"), F.col("lead_n")).otherwise(F.coalesce("overlap", F.lit(-1))).cast("long"))
+    placed = cut_lineage(placed.select("token", "h", "n", "pos", "root", "known", "k"), "jaccard_open")
     rest = cross_pairs(placed, n_buckets, num, den).join(known.select("a", "b"), ["a", "b"], "left_anti")
     rest = cut_lineage(settle(cut_lineage(rest, "jaccard_rest"), known, num, den), "jaccard_bounds")
     certain = _linked(rest, "low", num, den).select("a", "b")

@@ -1,6 +1,7 @@
 """Dedup, packing, joins and decontamination against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -363,6 +364,62 @@ def test_jaccard_against_brute_force(llm):
         assert got == want
 
 
+def families(n, rng):
+    """Two families of ``n`` near copies that share a passage and do not
+    link, and some texts of both kinds in between."""
+    passage = [f"p{k}" for k in range(30)]
+    texts = []
+    for name in "ab":
+        body = [f"{name}{k}" for k in range(90)]
+        for i in range(n):
+            one = list(body)
+            one[rng.randrange(90)] = f"{name}x{i}"
+            texts.append(" ".join(passage + one))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("block", [2, 2048])
+def test_lists_in_blocks_lose_no_link(llm, block):
+    rng = random.Random(block)
+    rows = families(25, rng)
+    words = [f"w{k}" for k in range(40)]
+    for i in range(60):  # overlapping random texts, so that groups are many and lists cross them
+        at = rng.randrange(20)
+        rows.append((1000 + i, " ".join(words[at : at + rng.randrange(6, 21)])))
+    frame = llm.createDataFrame(rows, "doc_id long, text string")
+    for num in (60,):
+        got = {r.id: (r.n_shingles, r.component_id) for r in jaccard.find_components(frame, size=3, num=num, den=100, block=block).collect()}
+        assert got == brute_components(rows, 3, num, 100)
+
+
+def test_two_families_that_share_a_passage_make_few_pairs(llm, monkeypatch):
+    made = []
+    plain = jaccard.cross_pairs
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cross_pairs", counted)
+    n = 200
+    rows = families(n, random.Random(1))
+    got = jaccard.find_components(llm.createDataFrame(rows, "doc_id long, text string"), block=64).collect()
+    assert {r.component_id for r in got} == {0, n}
+    assert made[0] < 4 * n  # not n * n
+
+
+def test_sketch_parts_add_up_in_a_tree(llm):
+    from cairn.llm.sketches import summed_parts
+    from cairn.session import cut_lineage
+
+    rng = np.random.default_rng(1)
+    rows = [(p, rng.integers(0, 9, 4).astype("<i8")) for _ in range(50) for p in range(3)]
+    table = cut_lineage(llm.createDataFrame([(p, x.tobytes()) for p, x in rows], "part int, counts binary"), "sketch_test")
+    got = {r.part: np.frombuffer(bytes(r.counts), "<i8").tolist() for r in summed_parts(table, 3).collect()}
+    assert got == {p: sum(x for q, x in rows if q == p).tolist() for p in range(3)}
+
+
 def test_jaccard_edges(edge, empty):
     got = jaccard.find_components(edge).collect()
     assert len(got) == 16
