@@ -51,6 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import textbuf as tb
+from cairn.llm.sketches import KIND, summed_parts
 from cairn.session import cut_lineage
 
 LENGTH = 100
@@ -182,21 +183,13 @@ def hot_cells(docs: DataFrame, hot: int = HOT) -> np.ndarray:
             for _, _, _, data, off in _chunks(batch):
                 gram, whole = runs_of(data, off)[4:]
                 np.add.at(counts, cell_of(gram[np.unique(whole, return_index=True)[1]]), 1)
-        parts = counts.astype("<i4").reshape(SKETCH_PARTS, -1)
-        yield _packed(range(SKETCH_PARTS), [p.tobytes() for p in parts])
+        parts = counts.astype("<i8").reshape(SKETCH_PARTS, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, blob in zip(tb.column(batch, "bucket").to_pylist(), tb.column(batch, "blob")):
-                sums[part] = sums.get(part, 0) + np.frombuffer(blob.as_py(), "<i4").astype(np.int64)
-        yield _packed(list(sums), [x.tobytes() for x in sums.values()])
-
-    kind = "bucket long, blob binary"
-    summed = docs.mapInArrow(count, kind).repartition(SKETCH_PARTS, "bucket").mapInArrow(add, kind).collect()
+    counted = cut_lineage(docs.mapInArrow(count, KIND), "suffix_sketch")
     total = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
-    for r in summed:
-        total[r["bucket"]] = np.frombuffer(bytes(r["blob"]), np.int64)
+    for r in summed_parts(counted, SKETCH_PARTS).collect():
+        total[r["part"]] = np.frombuffer(bytes(r["counts"]), "<i8")
     return total.reshape(-1) > 2 * total.mean() + hot
 
 
