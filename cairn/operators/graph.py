@@ -72,42 +72,32 @@ def player_player_edges(details: DataFrame, max_roster_per_task: int | None = MA
     shared games and both players' points.
 
     The pair list is the output itself, so the players of a game are joined
-    with each other: an equi join on the game with a residual predicate (no
-    nested loop), on five projected columns. When a game's roster exceeds
-    ``max_roster_per_task`` (one aggregation checks the largest), games are
-    split into blocks of players and each block pair becomes its own join
-    key, so a huge game's pairs spread over many tasks instead of one.
+    with each other: an equi join with a residual predicate (no nested loop),
+    on five projected columns. Games are cut into blocks of at most about
+    ``max_roster_per_task`` players and each pair of blocks is a join key of
+    its own, so a huge game's pairs spread over many tasks; most games are one
+    block. ``None`` joins on the game alone.
     """
-    # the roster check and both sides of the join read it: written once
+    # the block count and both sides of the join read it: written once
     slim = cut_lineage(details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts"), "rosters")
-    blocked = max_roster_per_task is not None and (
-        slim.groupBy("game_id").count().agg(F.max("count")).first()[0] or 0
-    ) > max_roster_per_task
-    if blocked:
-        rosters = slim.groupBy("game_id").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(max_roster_per_task)).cast("int").alias("_nb")
-        )
-        x = (
-            slim.join(rosters, "game_id")
-            .withColumn("_b", F.pmod(F.xxhash64("player_id"), F.col("_nb")).cast("int"))
-            .withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-            .select(
-                "game_id", "player_id", "player_name", "team_abbreviation", "pts", "_b",
-                F.least("_b", "_p").alias("_lo"), F.greatest("_b", "_p").alias("_hi"),
-            )
-        )
-        a, b = x.alias("a"), x.alias("b")
-        on = (
-            (F.col("a.game_id") == F.col("b.game_id"))
-            & (F.col("a._lo") == F.col("b._lo"))
-            & (F.col("a._hi") == F.col("b._hi"))
-            # each pair only in the task of its own block pair
-            & (F.least("a._b", "b._b") == F.col("a._lo"))
-            & (F.greatest("a._b", "b._b") == F.col("a._hi"))
-        )
+    columns = [*slim.columns, "_b", "_lo", "_hi"]
+    if max_roster_per_task is None:
+        x = slim.select("*", *[F.lit(0).alias(c) for c in columns[-3:]])
     else:
-        a, b = slim.alias("a"), slim.alias("b")
-        on = F.col("a.game_id") == F.col("b.game_id")
+        blocks = F.ceil(F.count(F.lit(1)) / F.lit(max_roster_per_task)).cast("int")
+        rosters = slim.groupBy("game_id").agg(blocks.alias("_nb"))
+        x = slim.join(rosters, "game_id").withColumn("_b", F.pmod(F.xxhash64("player_id"), F.col("_nb")).cast("int"))
+        x = x.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+        x = x.withColumn("_lo", F.least("_b", "_p")).withColumn("_hi", F.greatest("_b", "_p")).select(*columns)
+    a, b = x.alias("a"), x.alias("b")
+    on = (
+        (F.col("a.game_id") == F.col("b.game_id"))
+        & (F.col("a._lo") == F.col("b._lo"))
+        & (F.col("a._hi") == F.col("b._hi"))
+        # each pair only in the task of its own block pair
+        & (F.least("a._b", "b._b") == F.col("a._lo"))
+        & (F.greatest("a._b", "b._b") == F.col("a._hi"))
+    )
     pairs = a.join(
         b,
         on & (F.col("a.player_name") != F.col("b.player_name")) & (F.col("a.player_id") > F.col("b.player_id")),

@@ -260,7 +260,7 @@ UNION ALL
 SELECT player_id, current_season, 'scoring_class_domain' FROM players WHERE player_id % 11 = 0
 UNION ALL
 SELECT player_id, current_season, 'scoring_class_domain' FROM players WHERE player_id % 77 = 0""",
-    ids=("V1",),
+    ids=("V1", "P12"),
 )
 def players_key_check(spark, sf_dir):
     """The key and domain checks on a table with derived defects: players

@@ -23,7 +23,7 @@ LIBRARY = {
     "S09": "streaming.sources.kafka_options / kafka_json_stream / json_file_stream",
     "S10": "streaming.sources.kafka_json_stream; streaming.jobs.enrichment_job",
     "S11": "streaming.sources.events_as_json + streaming.sinks.kafka_batch_writer (needs the Kafka jar)",
-    "S12": "streaming.sinks.jdbc_batch_writer: options only, appends; parquet_batch_writer is idempotent by batch id",
+    "S12": "streaming.ledger.once_per_batch around any writer (append_writer, jdbc_batch_writer) [test_stream_batches]; no JDBC server here",
     "S13": "sources.catalog.overwrite_table [test_sources_sinks]",
     "S14": "sources.catalog.insert_partition (positional, reordered) [test_sources_sinks]",
     "S15": "sources.catalog.write_partition (dynamic partition overwrite) [test_sources_sinks]",
@@ -41,6 +41,7 @@ LIBRARY = {
     "J06": "explode(sequence(first, last)) in operators.cumulative.players_backfill",
     "J12": "operators.joins.bucketed_pair [test_plans: no Exchange]",
     "J13": "operators.joins.broadcast_if_small [test_plans]",
+    "J14": "operators.joins.totals_above: adaptive execution by the threshold, no hint [test_plans]",
     "J15": "column-expression join in operators.joins.events_with_devices",
     "A14": "variant not built: the load uses the weighted yearly average (operators.cumulative.actor_year_films)",
     "O01": "orderBy (top-k answers in operators.joins.match_answers)",
@@ -48,7 +49,7 @@ LIBRARY = {
     "U02": "unionByName with a literal label (operators.joins.match_answers, layout_file_sizes)",
     "F19": "functions.dates.parse_iso_millis (try_to_timestamp) in streaming.sources.parse_events",
     "T10": "spark.sql.shuffle.partitions (session conf)",
-    "T11": "dead-letter output in streaming.sources.parse_events; restart from checkpoint [test_streaming]",
+    "T11": "dead letters in streaming.sources.parse_records; restarts [test_streaming, test_stream_batches]",
     "X02": "spark.udf.register not needed after the re-aim to a join",
     "V1": "operators.quality.key_violations / domain_violations",
     "V2": "operators.scd.scd_overlaps",
