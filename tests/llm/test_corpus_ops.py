@@ -457,6 +457,40 @@ def test_alignment_equals_the_plain_recurrence():
         assert score == h.max() and h[:, end].max() == score
 
 
+def test_leaks_equal_the_alignment_of_all_pairs(llm, sf_small):
+    """Every document of the table and planted edits against every item."""
+    rng = random.Random(4)
+    items = [(r.item_id, r.text) for r in read_table(llm, sf_small, "benchmark").collect()]
+    docs = [(r.doc_id, r.text) for r in read_table(llm, sf_small, "documents").collect()]
+    for k, (_, text) in enumerate(items):
+        w = text.split()
+        for j in range(rng.randrange(len(w))):
+            if rng.random() < 0.4:
+                w[rng.randrange(len(w))] = f"edit{j}"
+        docs.append((10_000 + k, " ".join(["before it"] * 20 + w + ["after it"] * 20)))
+    frame = llm.createDataFrame(docs, "doc_id long, text string")
+    bench = llm.createDataFrame([(*x, "d", 1) for x in items], "item_id long, text string, doc_id string, row int")
+    got = {(r.id, r.item_id): r.score for r in decontam.find_leaks(frame, bench).collect()}
+
+    def hashes(text):
+        return decontam.word_hashes(*textbuf.buffer_of(pa.array([text or ""], pa.string())))[0]
+
+    want = {}
+    for item, text in items:
+        w = hashes(text)
+        size = min(decontam.N, len(w))
+        grams = decontam.join(w, size)
+        for doc, body in docs:
+            v = hashes(body)
+            if size and np.isin(decontam.join(v, size), grams).any():
+                score = decontam.smith_waterman(w, v)[0] / (decontam.MATCH * len(w))
+                if score >= decontam.THRESHOLD:
+                    want[doc, item] = score
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert sum(d >= 10_000 for d, _ in got) > 20
+
+
 def test_leaks_planted_and_clean(llm, edge, empty):
     rng = np.random.default_rng(6)
     word = lambda: "".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 8))))

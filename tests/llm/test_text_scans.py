@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.llm import chat, html_extract, licenses, secrets, toxicity
+from cairn.llm import textbuf as tb
 from cairn.llm.queries import PROBE, QUERIES
 from cairn.sources.tables import read_table
 
@@ -34,6 +35,71 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
 
 
+def symbols(text):
+    """The features of a text as plain tuples, in the order of ``features``."""
+    w = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().translate(bytes(LOWER.get(c, c) for c in range(256))))
+    out = [[("word", x) for x in w]]
+    out += [[("stem", k, x[:k]) for x in w if len(x) > k] for k in toxicity.STEMS]
+    out += [[("pair", gap, a, b) for a, b in zip(w, w[gap:])] for gap in (1, 2)]
+    return out
+
+
+def test_toxicity_features_equal_plain_python(spark, sf_small):
+    texts = [r.text for r in read_table(spark, sf_small, "documents").collect()] + [None, "", " a", "É é b-c D", "x" * 9]
+    coordinate = {}
+    for a, data, off in tb.chunks_of(pa.array(texts, pa.string()), 1 << 16):
+        row, feat = toxicity.features(data, off, 40)
+        rows = [symbols(t) for t in texts[a : a + len(off) - 1]]
+        want = [(r, x) for kind in range(5) for r, groups in enumerate(rows) for x in groups[kind]]
+        assert row.tolist() == [r for r, _ in want]
+        for (_, x), c in zip(want, feat.tolist()):
+            assert coordinate.setdefault(x, c) == c
+    assert len(set(coordinate.values())) > 0.999 * len(coordinate)  # 40 bits seldom collide
+
+
+def plain_ftrl(rows, labels, epochs=3, alpha=1.0, beta=1.0, l1=4.0, l2=1.0):
+    """FTRL-proximal, a coordinate at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if i == "bias":
+            return -z[i] / ((beta + n[i] ** 0.5) / alpha)
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in zip(rows, labels):
+            w = {i: weight(i) for i in [*x, "bias"]}
+            g = 1 / (1 + np.exp(-min(max(sum(w.values()), -35.0), 35.0))) - y
+            for i in w:
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_toxicity_training_equals_plain_python():
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.integers(0, 300, int(rng.integers(1, 25)))) for _ in range(200)]
+    labels = np.array([int({3, 5} & set(r.tolist()) != set()) for r in rows])
+    index, weight, bias = toxicity.ftrl(rows, labels, bits=10, l1=0.5)
+    want = plain_ftrl([r.tolist() for r in rows], labels, l1=0.5)
+    assert abs(bias - want.pop("bias")) < 1e-9
+    got = dict(zip(index.tolist(), weight.tolist()))
+    assert set(got) == {i for i, w in want.items() if w != 0.0}
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in got)
+
+
+def test_toxicity_labels_with_clashing_names(llm):
+    docs = llm.createDataFrame([(i, ("bad " if i % 2 else "good ") * 5, 1, "x", 0.1) for i in range(60)], "doc_id long, text string, toxic int, __id string, score double")
+    labels = llm.createDataFrame([(i, i % 2, "t", 1) for i in range(60)] + [(None, 1, "t", 1), (3, None, "t", 1)], "doc_id long, toxic int, text string, k int")
+    rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic")
+    model = toxicity.fit(rows, "__id", "__text", "__label", l1=0.1)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, "text", model).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 1) for i in got) and len(got) == 60
+
+
 def test_toxicity_weights_are_sparse_and_learn_a_word():
     rng = np.random.default_rng(1)
     x = [np.unique(rng.integers(0, 1000, 30)) for _ in range(400)]
