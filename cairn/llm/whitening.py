@@ -42,8 +42,8 @@ from cairn.llm import textbuf as tb
 from cairn.session import cut_lineage
 
 SCALE, SHIFT = 64, 1_000_000
-COMPONENTS, GUARD = 16, 16
-DEGREE = 14
+COMPONENTS, GUARD = 16, 32
+DEGREE = 16
 TOLERANCE = 1e-13
 MAX_ROUNDS = 60
 LEAST = 1e-12  # of the trace: smaller eigenvalues count as none
