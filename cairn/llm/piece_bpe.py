@@ -47,6 +47,7 @@ from cairn.llm import textbuf as tb
 SPACE = 0x2581
 NONE = np.int32(2**31 - 1)
 POINTS = 0x110000
+CHUNK = 1 << 19  # bytes of text that are merged together; a longer text is alone
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -352,7 +353,7 @@ def encode(
     def run(batches):
         model = load(path)
         for batch in batches:
-            for a, data, off in tb.chunks_of(batch.column(k)):
+            for a, data, off in tb.chunks_of(batch.column(k), CHUNK):
                 ids, ends = encode_rows(model, data, off, begin, end)
                 part = batch.slice(a, len(off) - 1)
                 if packed:
@@ -390,7 +391,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str | None = No
         for batch in batches:
             ids, off = _lists(batch.column(at))
             texts = []
-            for a, b in tb.row_chunks(off):
+            for a, b in tb.row_chunks(off, CHUNK // 4):
                 texts += decode_rows(model, ids[off[a] : off[b]], off[a : b + 1] - off[a])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "c_text"])
 
