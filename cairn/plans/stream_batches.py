@@ -19,7 +19,7 @@ from cairn.plans import oracle_sql as O
 from cairn.plans import standins
 from cairn.plans.registry import register
 from cairn.session import cut_lineage, scratch_path
-from cairn.streaming import jobs, ledger, sinks
+from cairn.streaming import aggregation, jobs, ledger, sinks
 from cairn.streaming.sources import AGGREGATION_EVENT, enrichment_records, events_as_json, json_file_stream, parse_events
 
 SLICE_DAYS = 10
@@ -98,8 +98,10 @@ def stream_late_events(spark, sf_dir):
     windows, emits each once and drops the events that come after that."""
     ev = standins.web_events(spark, sf_dir)
     records = events_as_json(ev.withColumn("arrives", _slice() + _delay()), keep=["arrives"])
+    good, _ = parse_events(stream_slices(records), AGGREGATION_EVENT)
+    by_host = aggregation.tumbling_counts(good, "event_timestamp", ["host"])
     out, checkpoint = _run_folders(spark, "late")
-    jobs.await_all(jobs.aggregation_job(spark, stream_slices(records), out, checkpoint, NOW))
+    sinks.start(by_host, sinks.parquet_batch_writer(f"{out}/by_host"), checkpoint, NOW).awaitTermination()
     return spark.read.parquet(f"{out}/by_host").select(_ntz("event_hour"), "host", "num_hits")
 
 
@@ -158,7 +160,7 @@ def stream_restart_dead_letters(spark, sf_dir):
     raw = stream_slices(records.select(damaged.alias("value"), "arrives"))
     out, checkpoint = _run_folders(spark, "restart")
     good, bad = parse_events(raw, AGGREGATION_EVENT)
-    by_host = jobs.aggregation.tumbling_counts(good, "event_timestamp", ["host"])
+    by_host = aggregation.tumbling_counts(good, "event_timestamp", ["host"])
     for name, frame in (("by_host", by_host), ("dead_letter", bad)):
         writer = fail_once(sinks.parquet_batch_writer(f"{out}/{name}"), 2, [])
         run_through_failure(lambda f=frame, w=writer, n=name: sinks.start(f, w, f"{checkpoint}/{n}", NOW))
