@@ -133,7 +133,7 @@ def rarity_classes(counts: DataFrame) -> np.ndarray:
     is fixed (1 MB)."""
 
     out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
-    for r in summed_parts(counts, SKETCH_PARTS).mapInArrow(_classes, "part int, classes binary").collect():
+    for r in summed_parts(counts, SKETCH_PARTS, _classes, "part int, classes binary").collect():
         out[r["part"]] = np.frombuffer(bytes(r["classes"]), np.uint8)
     return out.reshape(-1)
 

@@ -24,13 +24,19 @@ def _add(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "counts"])
 
 
-def summed_parts(counts: DataFrame, parts: int) -> DataFrame:
+def summed_parts(counts: DataFrame, parts: int, finish=None, kind: str = KIND) -> DataFrame:
     """One row (part, counts) per part: the sum of all rows of the part.
     ``counts`` is a written table with a row per part and task; a tree of two
     levels adds them, so that no task adds up more than about the square root
-    of the tasks, however many there were."""
+    of the tasks, however many there were. ``finish`` maps the batches of sums
+    to rows of ``kind`` in the same Python step: with a step of its own, each
+    core would have two Python workers from then on."""
+
+    def last(batches):
+        return finish(_add(batches)) if finish else _add(batches)
+
     tasks = -(-counts.count() // parts)
     groups = max(1, math.isqrt(tasks))
     group = F.pmod(F.xxhash64("counts"), F.lit(groups))
     near = counts.select("part", "counts", group.alias("group")).repartition(parts * groups, "part", "group")
-    return near.select("part", "counts").mapInArrow(_add, KIND).repartition(parts, "part").mapInArrow(_add, KIND)
+    return near.select("part", "counts").mapInArrow(_add, KIND).repartition(parts, "part").mapInArrow(last, kind)

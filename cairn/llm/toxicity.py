@@ -137,7 +137,7 @@ def fit(
             bias = 35.0 if got and got[0][1] else -35.0
             index, weight = np.zeros(0, np.int64), np.zeros(0)
         else:
-            x = [np.frombuffer(f, np.int32).astype(np.int64) for _, _, f in got]
+            x = [np.frombuffer(f, np.int32) for _, _, f in got]  # no copy: all rows' features are in memory once
             index, weight, bias = ftrl(x, np.array([y for _, y, _ in got]), bits, **ftrl_options)
         yield pa.RecordBatch.from_arrays(
             [

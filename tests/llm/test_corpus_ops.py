@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cairn.llm import components, decontam, exact_dedup, jaccard, packing, suffix_dedup, textbuf
+from cairn.llm import components, decontam, exact_dedup, jaccard, packing, suffix_dedup, textbuf, toxicity
 from cairn.llm.queries import QUERIES
 from cairn.sources.tables import read_table
 
@@ -420,6 +421,27 @@ def test_sketch_parts_add_up_in_a_tree(llm):
     assert got == {p: sum(x for q, x in rows if q == p).tolist() for p in range(3)}
 
 
+def test_sums_are_finished_in_their_own_python_step(llm):
+    from cairn.llm.jaccard import _classes
+    from cairn.llm.sketches import summed_parts
+
+    rows = [(p, np.arange(4, dtype="<i8").tobytes()) for p in range(3) for _ in range(5)]
+    table = llm.createDataFrame(rows, "part int, counts binary")
+    out = summed_parts(table, 3, _classes, "part int, classes binary")
+    # two Python steps, and a shuffle between them: no task has two workers
+    steps = re.findall(r"MapInArrow|Exchange", out._jdf.queryExecution().executedPlan().toString())
+    assert steps.count("MapInArrow") == 2 and ("MapInArrow", "MapInArrow") not in zip(steps, steps[1:])
+    want = np.minimum(255, 8 * np.log2(1 + 5 * np.arange(4))).astype(np.uint8).tolist()
+    assert {r.part: list(bytes(r.classes)) for r in out.collect()} == dict.fromkeys(range(3), want)
+
+
+def test_training_rows_are_read_where_they_are():
+    rows = [np.sort(np.random.default_rng(i).choice(1 << 12, 30, replace=False)) for i in range(60)]
+    labels = np.arange(60) % 2
+    got, want = (toxicity.ftrl([r.astype(kind) for r in rows], labels, bits=12) for kind in (np.int32, np.int64))
+    assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1]) and got[2] == want[2]
+
+
 def test_jaccard_edges(edge, empty):
     got = jaccard.find_components(edge).collect()
     assert len(got) == 16
