@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.session import cut_lineage
+
 OVERALL = "(overall)"
+TASK_ROWS = 250_000  # of game details in one task of the grouping sets
 
 # Referrer classification rules of the reference (first match
 # wins; anything else keeps the raw referrer). The reference's own-site
@@ -87,9 +90,16 @@ def game_details_grouping_sets(details: DataFrame) -> DataFrame:
     shuffle; the second level then counts games per group. Spark's rewrite
     of two distinct aggregates would replicate every input row once more
     per distinct expression.
+
+    The join, its sorts and the first aggregation hold all rows of a task,
+    three times over for the grouping sets, so their tasks are as many as
+    the rows need: about ``TASK_ROWS`` each.
     """
-    winners = game_winners(details).select("game_id", "team_id", "won")
-    df = details.join(winners, ["game_id", "team_id"]).withColumn("season", F.year("game_date"))
+    details = cut_lineage(details.select("player_id", "team_id", "game_id", "game_date", "pts"), "game_details")
+    tasks = details.count() // TASK_ROWS + 1
+    near = lambda df: df.repartition(tasks, "game_id", "team_id")
+    winners = near(game_winners(details).select("game_id", "team_id", "won"))
+    df = near(details).join(winners, ["game_id", "team_id"]).withColumn("season", F.year("game_date"))
     keys = ["player_id", "team_id", "season", "game_id"]
     per_game = df.groupingSets(
         [["player_id", "team_id", "game_id"], ["player_id", "season", "game_id"], ["team_id", "game_id"]], *keys

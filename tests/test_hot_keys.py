@@ -95,3 +95,20 @@ def test_blocked_player_pairs_hot_game(spark):
     blocked = sorted(map(tuple, graph.player_player_edges(df, max_roster_per_task=7).collect()))
     assert plain == blocked
     assert len(plain) == 60 * 59 // 2  # every pair of the hot game once (5-7 also shares game 2)
+
+
+def test_grouping_sets_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from cairn.operators import windows
+
+    rows = [(p, (p + g) % 7 if p % 11 else None, g, f"20{10 + g % 9}-01-0{1 + p % 8}", p % 5) for g in range(40) for p in range(30)]
+    rows += rows[:50]  # repeated rows count their points twice and their game once
+    details = spark.createDataFrame(rows, "player_id long, team_id long, game_id long, day string, pts int").withColumn("game_date", F.to_date("day"))
+    plain = sorted(map(repr, windows.game_details_grouping_sets(details).collect()))
+    monkeypatch.setattr(windows, "TASK_ROWS", 100)
+    out = windows.game_details_grouping_sets(details)
+    assert f", {len(rows) // 100 + 1}), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, out.collect())) == plain
+    team = {r.team_id: r for r in out.where("aggregation_level = 'team'").collect()}
+    for t in range(7):
+        mine = [r for r in rows if r[1] == t]
+        assert team[t].total_pts == sum(r[4] for r in mine) and team[t].games == len({r[2] for r in mine})
