@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -509,6 +509,43 @@ def test_secret_key_repeated_in_documents_is_not_learnt_as_harmless(llm):
     assert [r.k for r in found] == ["cnn"] * 3000
 
 
+def test_secret_network_learns_from_all_findings_of_the_corpus(llm):
+    rows = [(i, f"row {i} token={i * 7919:032x} there") for i in range(150)]
+    rows += [(1000 + i, f"see {i:08x}-aaaa-4bbb-8ccc-{i * 31:012x} there") for i in range(150)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.labelled_findings(docs.select(F.col("doc_id").alias("id"), "text"), 40)
+    got = found.collect()
+    want = set()
+    for _, text in rows:
+        base = secrets.base_findings(text)
+        for a, b in secrets.candidates(text):
+            if secrets._covered(base, a, b) or secrets.is_lookalike(text, a, b):
+                want.add(np.array(secrets.segments(text, a, b), np.uint8).tobytes())
+    assert {bytes(r.code) for r in got} == want and len(got) == len(want) >= 300
+    sizes = Counter(r.shard for r in got)
+    assert len(sizes) > 4 and max(sizes.values()) <= 100
+    # in one task, and by shards of which each sees a part: both know the corpus
+    data = secrets._of_corpus([(bytes(r.code), r.label) for r in got])
+    for net in (secrets.fit(docs), secrets.fit(docs, shard=40)):
+        p = data.largest(net.probabilities(data.x)) >= net.threshold
+        mid = data.part == 3
+        assert p[mid & data.y].mean() >= secrets.MIN_RECALL and p[~data.y].mean() <= 0.05
+        last = data.part == 4
+        assert net.measured["corpus_recall"] == p[last & data.y].mean()
+        assert net.measured["generated_recall"] >= 0.9
+
+
+def test_secret_calibration_by_counts_equals_that_by_findings():
+    rng = np.random.default_rng(5)
+    z = rng.integers(-3000, 3000, 4000) / 1000.0
+    y, part, corpus = z + rng.normal(0, 1, 4000) > 0, rng.integers(0, 5, 4000), rng.random(4000) < 0.5
+    one = secrets.calibrate(secrets.Net({}, measured={}), z, y, part, corpus, np.ones(4000, np.int64))
+    cells, n = np.unique(np.stack([z, y, part, corpus]), axis=1, return_counts=True)
+    two = secrets.calibrate(secrets.Net({}, measured={}), cells[0], cells[1] > 0, cells[2], cells[3] > 0, n)
+    assert np.isclose(one.scale, two.scale) and np.isclose(one.threshold, two.threshold)
+    assert one.measured == pytest.approx(two.measured)
+
+
 def test_secret_findings_are_split_in_three_and_learnt_whole():
     text = "token is " + "Ab3dE5gH7jK9mN1pQ3sT" * 8 + " end"
     a, b = secrets.candidates(text)[0]
